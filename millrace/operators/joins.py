@@ -1,0 +1,22 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when it has at most this many rows; beyond it the
+# join falls back to a shuffle (sort-merge) join, which AQE may still turn
+# into a broadcast from runtime statistics.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast when it holds at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (the limit stops the scan
+    early), so it is cheap exactly when the side is small.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
