@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.partitioning import spread_narrow_input
+
 
 @contextmanager
 def cached(df: DataFrame):
@@ -36,11 +38,13 @@ def cached(df: DataFrame):
 
 
 def fit_pipeline(stages: Sequence, df: DataFrame, cache: bool = True) -> PipelineModel:
+    """Fit a pipeline; the training frame is spread over the cores when it
+    arrives in too few partitions, and cached for the fit."""
     pipe = Pipeline(stages=list(stages))
     if not cache:
         return pipe.fit(df)
-    with cached(df):
-        return pipe.fit(df)
+    with cached(spread_narrow_input(df)) as train:
+        return pipe.fit(train)
 
 
 def naive_bayes(label: str = "label", features: str = "features", smoothing: float = 1.0,
@@ -103,8 +107,8 @@ def cross_validate(estimator, grid: list, evaluator, df: DataFrame, folds: int =
     candidate fits run ``parallelism`` at a time."""
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator,
                         numFolds=folds, parallelism=parallelism, seed=seed)
-    with cached(df):
-        return cv.fit(df)
+    with cached(spread_narrow_input(df)) as train:
+        return cv.fit(train)
 
 
 def auc_evaluator(label: str = "label", raw: str = "rawPrediction") -> BinaryClassificationEvaluator:

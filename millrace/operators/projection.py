@@ -27,9 +27,10 @@ def run_sql(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
     return spark.sql(sql, **frames)
 
 
-def format_column(df: DataFrame, col: str, text: str, out: str | None = None) -> DataFrame:
-    """``text + value`` for one column (by name)."""
-    return df.select(F.concat(F.lit(text), F.col(col)).alias(out or col))
+def format_column(df: DataFrame, col: str | int, text: str, out: str | None = None) -> DataFrame:
+    """``text + value`` for one column, addressed by name or by position."""
+    name = df.columns[col] if isinstance(col, int) else col
+    return df.select(F.concat(F.lit(text), F.col(name).cast("string")).alias(out or name))
 
 
 def filter_equal(df: DataFrame, left: str, right: str) -> DataFrame:

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.partitioning import spread_narrow_input
+
 _AVRO_TYPES = {T.IntegerType: "int", T.LongType: "long", T.FloatType: "float",
                T.DoubleType: "double", T.BooleanType: "boolean", T.StringType: "string"}
 _FIXED = {"double": "<f8", "float": "<f4"}
@@ -213,7 +215,7 @@ def decode_payload(df: DataFrame, value_col: str, schema, keep: Sequence[str] =
     out = T.StructType([df.schema[k] for k in keep] + list(st.fields))
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow_schema = to_arrow_schema(out)
-    return df.select(*keep, value_col).mapInArrow(
+    return spread_narrow_input(df.select(*keep, value_col)).mapInArrow(
         lambda it: _decode_batches(it, value_col, keep, spec, arrow_schema), out)
 
 
@@ -229,5 +231,5 @@ def encode_payload(df: DataFrame, cols: Sequence[str], out_col: str = "value",
     out = T.StructType([df.schema[k] for k in keep] + [T.StructField(out_col, T.BinaryType())])
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow_schema = to_arrow_schema(out)
-    return df.select(*keep, *cols).mapInArrow(
+    return spread_narrow_input(df.select(*keep, *cols)).mapInArrow(
         lambda it: _encode_batches(it, cols, keep, spec, out_col, arrow_schema), out)

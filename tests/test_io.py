@@ -56,3 +56,13 @@ def test_tuple_text_and_table_sink(spark, scratch):
     dup = from_rows(spark, [("g@x", 1), ("g@x", 2), ("h@x", 0)], "email STRING, cluster INT")
     write_table(dup, tpath, dedupe=["email"])
     assert spark.read.parquet(tpath).count() == 2
+
+
+def test_read_many_ordered_and_format_by_position(spark, scratch):
+    from millrace.operators.projection import format_column
+    base = scratch("ordered")
+    for i in (1, 0):
+        write_csv(from_rows(spark, [(f"n{i}",)], "name STRING"), f"{base}/f{i}", single_file=True)
+    df = read_many(spark, f"{base}/*/*.csv", ordered=True)
+    assert [r.name for r in df.collect()] == ["n0", "n1"]
+    assert [r[0] for r in format_column(df, 0, "Name:").collect()] == ["Name:n0", "Name:n1"]
