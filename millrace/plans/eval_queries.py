@@ -107,8 +107,8 @@ def q_confusion_matrix(spark, sf_dir):
 
 @query("precision_recall_f1", sql=nb_sql("""
 , cells AS (SELECT label AS l, prediction AS p, count(*) AS n FROM scored GROUP BY 1, 2),
-sup AS (SELECT l AS class, sum(n) AS support FROM cells GROUP BY 1),
-prd AS (SELECT p AS class, sum(n) AS predicted FROM cells GROUP BY 1),
+sup AS (SELECT l AS class, CAST(sum(n) AS BIGINT) AS support FROM cells GROUP BY 1),
+prd AS (SELECT p AS class, CAST(sum(n) AS BIGINT) AS predicted FROM cells GROUP BY 1),
 tp AS (SELECT l AS class, n AS tp FROM cells WHERE l = p),
 per AS (SELECT coalesce(sup.class, prd.class) AS class, coalesce(tp.tp, 0) AS tp,
                coalesce(sup.support, 0) AS support, coalesce(prd.predicted, 0) AS predicted
@@ -121,7 +121,7 @@ m AS (SELECT class, support,
 f AS (SELECT *, CASE WHEN precision + recall > 0
                      THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM m),
 w AS (SELECT CAST(NULL AS DOUBLE) AS class, sum(precision * support) / sum(support) AS precision,
-             sum(recall * support) / sum(support) AS recall, sum(support) AS support,
+             sum(recall * support) / sum(support) AS recall, CAST(sum(support) AS BIGINT) AS support,
              sum(f1 * support) / sum(support) AS f1 FROM f)
 SELECT class, round(precision, 9) AS precision, round(recall, 9) AS recall,
        support, round(f1, 9) AS f1 FROM f

@@ -89,9 +89,9 @@ WITH q AS (SELECT l_orderkey, l_linenumber,
                   CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity END AS l_quantity
            FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_quantity,
-       CASE WHEN l_quantity IS NULL THEN NULL WHEN l_quantity < 10 THEN 0.0
-            WHEN l_quantity < 20 THEN 1.0 WHEN l_quantity < 30 THEN 2.0
-            WHEN l_quantity < 40 THEN 3.0 ELSE 4.0 END AS bucket
+       CAST(CASE WHEN l_quantity IS NULL THEN NULL WHEN l_quantity < 10 THEN 0
+                 WHEN l_quantity < 20 THEN 1 WHEN l_quantity < 30 THEN 2
+                 WHEN l_quantity < 40 THEN 3 ELSE 4 END AS DOUBLE) AS bucket
 FROM q
 """)
 def q_bucketize(spark, sf_dir):

@@ -7,6 +7,8 @@ import __spark_entry__ as entry
 from conftest import SF001
 from tools.oracle_check import _rows, duck
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "float": "FLOAT", "boolean": "BOOLEAN", "binary": "BLOB"}
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 
@@ -29,6 +31,8 @@ def test_matches_oracle(spark, con, name):
     rel = con.sql(SQL[name])
     dcols, drows = list(rel.columns), rel.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+    assert spark_types == dict(zip(dcols, [str(t) for t in rel.types]))
     assert len(srows) == len(drows)
     assert _rows(df.columns, srows, None) == _rows(dcols, drows, None)
 
