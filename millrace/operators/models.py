@@ -9,6 +9,7 @@ Training input is cached around the fit and released afterwards.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 
@@ -18,6 +19,8 @@ from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegressio
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +63,36 @@ def kmeans(k: int, seed: int, features: str = "features", max_iter: int = 20,
                   predictionCol=prediction)
 
 
+def nearest_centre(vec_col: str, centres: Sequence[Sequence[float]]):
+    """Index of the nearest centre (squared Euclidean; first on ties) of an
+    ``array<double>`` column, as built-in higher-order functions.
+
+    The centres travel as one constant (a folded ``from_json`` literal of
+    k x d doubles, bounded by k and d, not by the data), so the assignment
+    runs inside each task with no join and no pairs emitted.
+    """
+    cs = F.from_json(F.lit(json.dumps([[float(v) for v in c] for c in centres])),
+                     "array<array<double>>")
+    dists = F.transform(cs, lambda c: F.aggregate(
+        F.zip_with(F.col(vec_col), c, lambda a, b: (a - b) * (a - b)),
+        F.lit(0.0), lambda acc, x: acc + x))
+    return (F.array_position(dists, F.array_min(dists)) - 1).cast("int")
+
+
+def lloyd_step(df: DataFrame, vec_col: str, centres: Sequence[Sequence[float]],
+               cluster_col: str = "cluster") -> DataFrame:
+    """One k-means (Lloyd) iteration from given centres: assign every vector
+    to its nearest centre, then average per cluster. Returns
+    ``(cluster, centre array<double>, n)``; the per-cluster mean is a
+    partial/final vector aggregate, so a cluster holding most rows is
+    reduced per task before the shuffle."""
+    assigned = df.select(nearest_centre(vec_col, centres).alias(cluster_col),
+                         array_to_vector(F.col(vec_col)).alias("_v"))
+    means = assigned.groupBy(cluster_col).agg(Summarizer.mean(F.col("_v")).alias("_m"),
+                                              F.count(F.lit(1)).alias("n"))
+    return means.select(cluster_col, vector_to_array(F.col("_m")).alias("centre"), "n")
+
+
 def logistic_regression(label: str = "label", features: str = "features",
                         max_iter: int = 10, reg: float = 0.0,
                         elastic_net: float = 0.0) -> LogisticRegression:

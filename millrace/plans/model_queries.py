@@ -3,13 +3,13 @@ regression, trees, perceptron, cross validation, persistence, scoring."""
 
 from __future__ import annotations
 
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.features import assembler, scaler, to_array, to_vector
+from millrace.operators.features import assembler, scaler, to_vector
 from millrace.operators.models import (auc_evaluator, cross_validate, cv_results,
-                                       decision_tree, fit_pipeline, kmeans, load_model,
+                                       decision_tree, fit_pipeline, kmeans, lloyd_step,
+                                       load_model,
                                        logistic_regression, model_params, param_grid,
                                        perceptron, probability_of, random_forest, save_model)
 from millrace.operators.sampling import tag_split
@@ -71,16 +71,6 @@ def embedding_vectors(spark, sf_dir):
                     .alias("embedding"))
 
 
-def nearest_centre(vec_col: str, centres: list[list[float]]):
-    """Index of the nearest centre (squared Euclidean, first on ties) as a
-    built-in expression; the centres are a literal of k x d doubles."""
-    dists = [F.aggregate(F.zip_with(F.col(vec_col), F.array(*[F.lit(float(v)) for v in c]),
-                                    lambda a, b: (a - b) * (a - b)),
-                         F.lit(0.0), lambda acc, x: acc + x) for c in centres]
-    arr = F.array(*dists)
-    return (F.array_position(arr, F.array_min(arr)) - 1).cast("int")
-
-
 @query("kmeans_step", sql=f"""
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 c AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cid, v AS ce FROM e
@@ -101,12 +91,9 @@ def q_kmeans_step(spark, sf_dir):
     e = embedding_vectors(spark, sf_dir)
     # k rows, k fixed: a bounded read to the driver.
     centres = [r["embedding"] for r in e.orderBy("vec_id").limit(KMEANS_K).collect()]
-    assigned = e.select(nearest_centre("embedding", centres).alias("cluster"),
-                        to_vector("embedding").alias("v"))
-    means = assigned.groupBy("cluster").agg(Summarizer.mean(F.col("v")).alias("m"),
-                                            F.count(F.lit(1)).alias("n"))
-    return means.select("cluster", F.posexplode(to_array("m")).alias("dim", "centre"), "n") \
-        .select("cluster", "dim", F.round("centre", 6).alias("centre"), "n")
+    step = lloyd_step(e, "embedding", centres)
+    return (step.select("cluster", F.posexplode("centre").alias("dim", "centre"), "n")
+            .select("cluster", "dim", F.round("centre", 6).alias("centre"), "n"))
 
 
 @query("kmeans_assign", note="rows only: k-means++ initialisation has no SQL form")
