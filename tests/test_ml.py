@@ -97,3 +97,11 @@ def test_evaluation_small(spark):
     assert abs(m.mse - 0.5) < 1e-12 and abs(m.mae - 0.5) < 1e-12 and abs(m.r2 - (-1.0)) < 1e-12
     pc = {r["class"]: r for r in per_class_metrics(df).collect()}
     assert pc[1.0].precision == 0.5 and pc[None].support == 4
+
+
+def test_auc_hard_single_class_raises(spark):
+    import pytest
+    df = spark.createDataFrame([(0.0, 1.0), (0.0, 0.0)], "label double, prediction double")
+    with pytest.raises(Exception, match="single class"):
+        auc_hard(df).collect()
+    assert auc_hard(df, require_both_classes=False).first().auc is None
