@@ -19,8 +19,10 @@ def test_parse_delimited_lenient_and_strict(spark):
     # trailing empty fields are dropped, as a JVM split does -> missing = null
     assert tuple(got[1]) == (8, "Bo", "Rome", "RM", None)
     assert tuple(got[2]) == (None, "Cy", None, None, None)
-    with pytest.raises(Exception):
-        parse_delimited(lines, SCHEMA, strict=True).collect()
+    with pytest.raises(Exception, match="cannot cast field 0"):
+        parse_delimited(lines.filter("value LIKE 'x%'"), SCHEMA, strict=True).collect()
+    with pytest.raises(Exception, match="missing field 4"):
+        parse_delimited(lines.filter("value LIKE '8%'"), SCHEMA, strict=True).collect()
 
 
 def test_csv_round_trip_inferred_and_fixed(spark, scratch):
