@@ -6,25 +6,10 @@ Importing this package registers every query module; ``queries()`` and
 
 from __future__ import annotations
 
+from millrace.plans import (column_queries, eval_queries, feature_queries,  # noqa: F401
+                            io_queries, model_queries, quality_queries, stream_queries,
+                            text_queries)
 from millrace.plans import registry
-from millrace.plans import text_queries  # noqa: F401  (registers queries)
-
-_MODULES = [
-    "millrace.plans.io_queries",
-    "millrace.plans.column_queries",
-    "millrace.plans.quality_queries",
-    "millrace.plans.feature_queries",
-    "millrace.plans.model_queries",
-    "millrace.plans.eval_queries",
-    "millrace.plans.stream_queries",
-]
-
-for _name in _MODULES:
-    try:
-        __import__(_name)
-    except ModuleNotFoundError as exc:  # module not written yet
-        if exc.name != _name:
-            raise
 
 
 def queries():
