@@ -3,15 +3,16 @@ regression, trees, perceptron, cross validation, persistence, scoring."""
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.features import assembler, scaler, to_vector
 from millrace.operators.models import (auc_evaluator, cross_validate, cv_results,
                                        decision_tree, fit_pipeline, kmeans, lloyd_step,
-                                       load_model,
-                                       logistic_regression, model_params, param_grid,
-                                       perceptron, probability_of, random_forest, save_model)
+                                       load_model, logistic_regression, model_params,
+                                       param_grid, perceptron, probability_of, random_forest,
+                                       save_model)
 from millrace.operators.sampling import tag_split
 from millrace.plans.lineitem_nb import NB_FEATURES, nb_fit, nb_input, nb_scored, nb_sql
 from millrace.plans.registry import query, table
@@ -26,11 +27,12 @@ def q_naive_bayes_params(spark, sf_dir):
     model, _ = nb_fit(spark, sf_dir)
     nb = model.stages[-1]
     theta = nb.theta.toArray()
-    rows = [(float(c), round(float(nb.pi[c]), 9), *[round(float(t), 9) for t in theta[c]])
-            for c in range(len(nb.pi))]
+    # K x F parameters (bounded by the model, not the data)
+    rows = [(float(c), float(nb.pi[c]), *[float(t) for t in theta[c]]) for c in range(len(nb.pi))]
     cols = ["label", "pi"] + [f"theta_{i}" for i in range(theta.shape[1])]
     schema = T.StructType([T.StructField(c, T.DoubleType()) for c in cols])
-    return spark.createDataFrame(rows, schema)
+    params = spark.createDataFrame(rows, schema)
+    return params.select("label", *[F.round(c, 9).alias(c) for c in cols[1:]])
 
 
 @query("naive_bayes_predict", sql=nb_sql("""
@@ -147,7 +149,6 @@ def q_multilayer_perceptron(spark, sf_dir):
 
 def _cv(spark, sf_dir):
     df = signal_frame(spark, sf_dir).filter(F.col("split") == "train")
-    from pyspark.ml import Pipeline
     lr = logistic_regression(max_iter=10)
     pipe = Pipeline(stages=[assembler(NB_FEATURES, "raw"), scaler("raw", "features"), lr])
     grid = param_grid(lr, {"regParam": [0.0, 0.01]})
