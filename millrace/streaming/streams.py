@@ -28,9 +28,9 @@ def open_stream(spark: SparkSession, fmt: str, path: str | None = None, schema=N
 
 
 def land_files(df: DataFrame, path: str, n_files: int, fmt: str = "parquet") -> str:
-    """Write a frame as ``n_files`` files, the shape of a landing folder that
-    a file stream source consumes."""
-    df.repartition(n_files).write.mode("overwrite").format(fmt).save(path)
+    """Publish a frame to a landing folder as ``n_files`` files - the file
+    counterpart of a topic, which a file stream source then consumes."""
+    publish(df.repartition(n_files), fmt, path)
     return path
 
 
