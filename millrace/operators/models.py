@@ -13,12 +13,13 @@ import json
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -40,10 +41,25 @@ def cached(df: DataFrame):
         df.unpersist()
 
 
-def fit_pipeline(stages: Sequence, df: DataFrame, cache: bool = True) -> PipelineModel:
-    """Fit a pipeline; the training frame is spread over the cores when it
-    arrives in too few partitions, and cached for the fit."""
+# Estimators that read their input once when fitted (a count, a sum or a
+# mean per column or class); transformers read nothing at fit time.
+SINGLE_PASS = (NaiveBayes, StringIndexer, Imputer, OneHotEncoder, StandardScaler)
+
+
+def needs_cache(stages: Sequence) -> bool:
+    """True when some stage makes repeated passes over its input (iterative
+    optimisers, tree growing, k-means)."""
+    return any(not isinstance(s, (Transformer, *SINGLE_PASS)) for s in stages)
+
+
+def fit_pipeline(stages: Sequence, df: DataFrame, cache: bool | None = None) -> PipelineModel:
+    """Fit a pipeline. With an iterative stage (``cache=None`` decides) the
+    training frame is spread over the cores when it arrives in too few
+    partitions and cached for the fit; single-pass pipelines read the
+    source directly, since caching would cost as much as it saves."""
     pipe = Pipeline(stages=list(stages))
+    if cache is None:
+        cache = needs_cache(stages)
     if not cache:
         return pipe.fit(df)
     with cached(spread_narrow_input(df)) as train:

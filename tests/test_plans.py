@@ -92,3 +92,12 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     plan = plan_of(out, final=True)
     assert "partial_count" in plan
     assert out.filter("word = 'hot'").first().n == 10000
+
+
+def test_cache_only_for_iterative_fits():
+    from millrace.operators.features import assembler, indexer, scaler
+    from millrace.operators.models import (logistic_regression, naive_bayes, needs_cache,
+                                           random_forest)
+    assert not needs_cache([indexer(["a"], ["b"]), assembler(["b"]), naive_bayes()])
+    assert needs_cache([assembler(["b"], "raw"), scaler("raw", "features"), logistic_regression()])
+    assert needs_cache([assembler(["b"]), random_forest()])
