@@ -68,3 +68,20 @@ def test_read_many_ordered_and_format_by_position(spark, scratch):
     df = read_many(spark, f"{base}/*/*.csv", ordered=True)
     assert [r.name for r in df.collect()] == ["n0", "n1"]
     assert [r[0] for r in format_column(df, 0, "Name:").collect()] == ["Name:n0", "Name:n1"]
+
+
+def test_jvm_split_matches_java_rule(spark):
+    from millrace.sources.files import jvm_split
+
+    def java_split(v, sep):
+        if v == "":
+            return [""]
+        parts = v.split(sep)
+        while parts and parts[-1] == "":
+            parts.pop()
+        return parts
+
+    cases = ["", ",", ",,", "a", "a,", ",a", "a,,b,,", "a.b", "x,y,z"]
+    df = spark.createDataFrame([(c,) for c in cases], "v string")
+    got = {r.v: r.p for r in df.select("v", jvm_split(F.col("v"), ",").alias("p")).collect()}
+    assert all(got[c] == java_split(c, ",") for c in cases)
