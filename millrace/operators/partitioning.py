@@ -27,6 +27,8 @@ def spread_narrow_input(df: DataFrame, factor: int = 2) -> DataFrame:
     if not par or par <= 1:
         return df
     target = par * factor
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave the plan alone
         return df
-    return df.repartition(target)
+    return df if n >= target else df.repartition(target)
