@@ -185,6 +185,8 @@ def _decode_batches(batches, value_col, keep, spec, out_schema):
 
 def _encode_batches(batches, cols, keep, spec, out_col, out_schema):
     fixed = _fixed_dtype(spec)
+    value_type = out_schema.field(out_col).type
+    off_type = np.int64 if pa.types.is_large_binary(value_type) else np.int32
     for batch in batches:
         n = batch.num_rows
         kept = [batch.column(k) for k in keep]
@@ -193,15 +195,23 @@ def _encode_batches(batches, cols, keep, spec, out_col, out_schema):
             recs = np.empty(n, dtype=fixed)
             for name, a in zip(fixed.names, arrays):
                 recs[name] = a.to_numpy(zero_copy_only=False)
-            offsets = (np.arange(n + 1, dtype=np.int32) * fixed.itemsize)
-            value = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()),
-                                                           pa.py_buffer(recs.tobytes())])
+            offsets = np.arange(n + 1, dtype=off_type) * fixed.itemsize
+            value = pa.Array.from_buffers(value_type, n, [None, pa.py_buffer(offsets.tobytes()),
+                                                          pa.py_buffer(recs.tobytes())])
         else:
             pyrows = zip(*[a.to_pylist() for a in arrays]) if arrays else iter([()] * n)
-            value = pa.array([encode_record(spec, r) for r in pyrows], type=pa.binary())
+            value = pa.array([encode_record(spec, r) for r in pyrows], type=value_type)
         yield pa.RecordBatch.from_arrays(kept + [value], schema=out_schema)
 
 
+def _arrow_schema(spark: SparkSession, schema: T.StructType):
+    """The Arrow schema Spark expects back from ``mapInArrow`` (large
+    binary/string types when the session asks for them)."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    large = str(spark.conf.get("spark.sql.execution.arrow.useLargeVarTypes", "false")).lower()
+    return to_arrow_schema(schema, prefers_large_types=large == "true")
+
+
 def decode_payload(df: DataFrame, value_col: str, schema, keep: Sequence[str] = ()) -> DataFrame:
     """Binary column -> typed columns of ``schema`` (plus ``keep`` columns).
     Works on batch and streaming frames."""
@@ -213,8 +223,7 @@ def decode_payload(df: DataFrame, value_col: str, schema, keep: Sequence[str] =
         return df.select(*keep, rec.alias("_rec")).select(*keep, "_rec.*")
     spec = _spec(st)
     out = T.StructType([df.schema[k] for k in keep] + list(st.fields))
-    from pyspark.sql.pandas.types import to_arrow_schema
-    arrow_schema = to_arrow_schema(out)
+    arrow_schema = _arrow_schema(df.sparkSession, out)
     return spread_narrow_input(df.select(*keep, value_col)).mapInArrow(
         lambda it: _decode_batches(it, value_col, keep, spec, arrow_schema), out)
 
@@ -229,7 +238,6 @@ def encode_payload(df: DataFrame, cols: Sequence[str], out_col: str = "value",
         return df.select(*keep, to_avro(F.struct(*cols), avro_schema_json(st)).alias(out_col))
     spec = _spec(st)
     out = T.StructType([df.schema[k] for k in keep] + [T.StructField(out_col, T.BinaryType())])
-    from pyspark.sql.pandas.types import to_arrow_schema
-    arrow_schema = to_arrow_schema(out)
+    arrow_schema = _arrow_schema(df.sparkSession, out)
     return spread_narrow_input(df.select(*keep, *cols)).mapInArrow(
         lambda it: _encode_batches(it, cols, keep, spec, out_col, arrow_schema), out)

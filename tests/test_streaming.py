@@ -84,3 +84,18 @@ def test_console_sink_and_foreach_batch_idempotent(spark, scratch):
     write(replay, 99)
     write(replay, 99)  # the same batch id replayed overwrites its folder
     assert total() == 600
+
+
+def test_payload_with_large_arrow_types(spark):
+    key = "spark.sql.execution.arrow.useLargeVarTypes"
+    old = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        df = spark.createDataFrame([(1, "a", None), (2, "b", "b@x")], USER)
+        dec = decode_payload(encode_payload(df, ["id", "name", "email"], schema=USER), "value", USER)
+        assert sorted(tuple(r) for r in dec.collect()) == [(1, "a", None), (2, "b", "b@x")]
+        nums = spark.range(100).selectExpr("CAST(id AS DOUBLE) AS a")
+        enc = encode_payload(nums, ["a"], schema="a DOUBLE NOT NULL")
+        assert decode_payload(enc, "value", "a DOUBLE NOT NULL").count() == 100
+    finally:
+        spark.conf.set(key, old)
