@@ -9,19 +9,26 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.operators.models import load_model, save_model
 from millrace.plans.lineitem_nb import nb_fit, nb_input, nb_sql
 from millrace.plans.registry import query, table
 from millrace.session import shared_path
 from millrace.streaming.payload import decode_payload, encode_payload
-from millrace.streaming.streams import (for_each_batch, land_files, open_stream, score_stream,
-                                        to_parquet)
-from millrace.operators.models import load_model, save_model
+from millrace.streaming.streams import (files_per_trigger, for_each_batch, land_files,
+                                        open_stream, score_stream, to_parquet)
 
 PRICE_FIELDS = "l_quantity DOUBLE NOT NULL, l_extendedprice DOUBLE NOT NULL, " \
                "l_discount DOUBLE NOT NULL, l_tax DOUBLE NOT NULL"
 PRICE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 USER_FIELDS = "id INT NOT NULL, name STRING NOT NULL, email STRING"
-LANDING_FILES = 4
+LANDING_FILES = 4   # minimum number of landed files
+MICRO_BATCHES = 4   # each stream drains its landing folder in about this many batches
+
+
+def landing_stream(spark, landing):
+    """File stream over a landing folder, rate-limited to ~MICRO_BATCHES batches."""
+    return open_stream(spark, "parquet", landing, spark.read.parquet(landing).schema,
+                       maxFilesPerTrigger=files_per_trigger(spark, landing, MICRO_BATCHES))
 
 
 @query("payload_round_trip", sql="""
@@ -61,8 +68,7 @@ _EVENT_COLS = ["event_id", "user_id", "event_type", "value", "props"]
 def q_stream_source(spark, sf_dir):
     landing = land_files(table(spark, sf_dir, "events").select(*_EVENT_COLS),
                          shared_path(spark, "events-landing"), LANDING_FILES)
-    schema = spark.read.parquet(landing).schema
-    stream = open_stream(spark, "parquet", landing, schema, maxFilesPerTrigger=1)
+    stream = landing_stream(spark, landing)
     out, ckpt = shared_path(spark, "events-sink"), shared_path(spark, "events-ckpt")
     to_parquet(stream, out, ckpt)
     return spark.read.parquet(out)
@@ -75,8 +81,7 @@ _LINE_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_retur
 def q_stream_to_parquet(spark, sf_dir):
     landing = land_files(table(spark, sf_dir, "lineitem").select(*_LINE_COLS),
                          shared_path(spark, "lines-landing"), LANDING_FILES)
-    stream = open_stream(spark, "parquet", landing, spark.read.parquet(landing).schema,
-                         maxFilesPerTrigger=1)
+    stream = landing_stream(spark, landing)
     out, ckpt = shared_path(spark, "lines-sink"), shared_path(spark, "lines-ckpt")
     to_parquet(stream, out, ckpt)
     return spark.read.parquet(out)
@@ -99,8 +104,7 @@ SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus
 def q_stream_foreach_batch(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     landing = land_files(orders, shared_path(spark, "orders-landing"), LANDING_FILES)
-    stream = open_stream(spark, "parquet", landing, spark.read.parquet(landing).schema,
-                         maxFilesPerTrigger=1)
+    stream = landing_stream(spark, landing)
     out, ckpt = shared_path(spark, "orders-batches"), shared_path(spark, "orders-ckpt")
     for_each_batch(stream, status_counts_sink(out), ckpt)
     per_batch = spark.read.parquet(out)
@@ -115,8 +119,7 @@ def q_stream_decode_to_parquet(spark, sf_dir):
     keys = ["l_orderkey", "l_linenumber"]
     messages = encode_payload(li, PRICE_COLS, keep=keys, schema=PRICE_FIELDS)
     landing = land_files(messages, shared_path(spark, "payload-landing"), LANDING_FILES)
-    stream = open_stream(spark, "parquet", landing, spark.read.parquet(landing).schema,
-                         maxFilesPerTrigger=1)
+    stream = landing_stream(spark, landing)
     decoded = decode_payload(stream, "value", PRICE_FIELDS, keep=keys)
     out, ckpt = shared_path(spark, "decoded-sink"), shared_path(spark, "decoded-ckpt")
     to_parquet(decoded, out, ckpt)
@@ -131,8 +134,7 @@ def q_stream_score(spark, sf_dir):
     path = save_model(model, shared_path(spark, "nb-stream-model"))
     rows = nb_input(spark, sf_dir).drop("l_returnflag")
     landing = land_files(rows, shared_path(spark, "score-landing"), LANDING_FILES)
-    stream = open_stream(spark, "parquet", landing, spark.read.parquet(landing).schema,
-                         maxFilesPerTrigger=1)
+    stream = landing_stream(spark, landing)
     scored = score_stream(load_model(path), stream).select("l_orderkey", "l_linenumber",
                                                             "prediction")
     out, ckpt = shared_path(spark, "score-sink"), shared_path(spark, "score-ckpt")

@@ -27,13 +27,26 @@ def open_stream(spark: SparkSession, fmt: str, path: str | None = None, schema=N
     return reader.load(path) if path is not None else reader.load()
 
 
-def land_files(df: DataFrame, path: str, n_files: int, fmt: str = "parquet") -> str:
-    """Publish a frame to a landing folder as ``n_files`` files - the file
-    counterpart of a topic, which a file stream source then consumes."""
-    publish(df.repartition(n_files), fmt, path)
+def land_files(df: DataFrame, path: str, min_files: int, fmt: str = "parquet") -> str:
+    """Publish a frame to a landing folder - the file counterpart of a topic,
+    which a file stream source then consumes. One file per partition; a
+    frame with fewer than ``min_files`` partitions is spread first, a wide
+    one keeps its partitioning (no shuffle, file size stays bounded)."""
+    try:
+        narrow = df.rdd.getNumPartitions() < min_files
+    except Exception:  # no RDD view: write as is
+        narrow = False
+    publish(df.repartition(min_files) if narrow else df, fmt, path)
     return path
 
 
+def files_per_trigger(spark: SparkSession, path: str, batches: int, fmt: str = "parquet") -> int:
+    """``maxFilesPerTrigger`` that drains a landing folder in about
+    ``batches`` micro-batches, whatever its size (file listing only)."""
+    n_files = len(spark.read.format(fmt).load(path).inputFiles())
+    return max(1, -(-n_files // batches))
+
+
 def await_query(query: StreamingQuery, timeout: float = DEFAULT_TIMEOUT) -> StreamingQuery:
     """Block until the query stops (bounded); re-raise its failure."""
     finished = query.awaitTermination(timeout)
