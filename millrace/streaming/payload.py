@@ -6,7 +6,8 @@ columns; ``encode_payload`` does the reverse before publishing. When the
 ``to_avro`` are used. Otherwise the codec runs per Arrow batch inside
 ``mapInArrow``: records made only of doubles/floats are fixed width and are
 (de)coded with one numpy view per batch; other records (ints, longs,
-strings, nullable unions) use a small per-record loop.
+strings, nullable unions) are coded column by column with numpy
+(``millrace.streaming.codec``).
 
 Supported field types: int, long, float, double, boolean, string; a nullable
 field is the union ``[type, "null"]`` (branch 0 = value, 1 = null).
@@ -15,7 +16,6 @@ field is the union ``[type, "null"]`` (branch 0 = value, 1 = null).
 from __future__ import annotations
 
 import json
-import struct
 from collections.abc import Sequence
 
 import numpy as np
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.partitioning import spread_narrow_input
+from millrace.streaming.codec import (decode_arrays, decode_record, encode_arrays,  # noqa: F401
+                                      encode_record)
 
 _AVRO_TYPES = {T.IntegerType: "int", T.LongType: "long", T.FloatType: "float",
                T.DoubleType: "double", T.BooleanType: "boolean", T.StringType: "string"}
@@ -72,83 +74,6 @@ def avro_available(spark: SparkSession) -> bool:
         return False
 
 
-# --- per-record codec (small helper) ---------------------------------------
-
-def _zigzag(n: int) -> bytes:
-    z = (n << 1) ^ (n >> 63)
-    out = bytearray()
-    while z & ~0x7F:
-        out.append((z & 0x7F) | 0x80)
-        z >>= 7
-    out.append(z)
-    return bytes(out)
-
-
-def _read_long(buf: bytes, pos: int):
-    shift = result = 0
-    while True:
-        b = buf[pos]
-        pos += 1
-        result |= (b & 0x7F) << shift
-        if not b & 0x80:
-            break
-        shift += 7
-    return (result >> 1) ^ -(result & 1), pos
-
-
-def _encode_value(t: str, v) -> bytes:
-    if t in ("int", "long"):
-        return _zigzag(int(v))
-    if t == "double":
-        return struct.pack("<d", v)
-    if t == "float":
-        return struct.pack("<f", v)
-    if t == "boolean":
-        return b"\x01" if v else b"\x00"
-    data = v.encode("utf-8")
-    return _zigzag(len(data)) + data
-
-
-def _decode_value(t: str, buf: bytes, pos: int):
-    if t in ("int", "long"):
-        return _read_long(buf, pos)
-    if t == "double":
-        return struct.unpack_from("<d", buf, pos)[0], pos + 8
-    if t == "float":
-        return struct.unpack_from("<f", buf, pos)[0], pos + 4
-    if t == "boolean":
-        return buf[pos] == 1, pos + 1
-    n, pos = _read_long(buf, pos)
-    return bytes(buf[pos:pos + n]).decode("utf-8"), pos + n
-
-
-def encode_record(spec, values) -> bytes:
-    out = bytearray()
-    for (_, t, nullable), v in zip(spec, values):
-        if nullable:
-            if v is None:
-                out += _zigzag(1)
-                continue
-            out += _zigzag(0)
-        elif v is None:
-            raise ValueError("null in a non-nullable payload field")
-        out += _encode_value(t, v)
-    return bytes(out)
-
-
-def decode_record(spec, buf: bytes) -> list:
-    pos, out = 0, []
-    for _, t, nullable in spec:
-        if nullable:
-            branch, pos = _read_long(buf, pos)
-            if branch == 1:
-                out.append(None)
-                continue
-        v, pos = _decode_value(t, buf, pos)
-        out.append(v)
-    return out
-
-
 # --- Arrow batch functions ----------------------------------------------------
 
 def _binary_parts(arr: pa.Array):
@@ -162,6 +87,7 @@ def _binary_parts(arr: pa.Array):
 
 def _decode_batches(batches, value_col, keep, spec, out_schema):
     fixed = _fixed_dtype(spec)
+    types = [out_schema.field(len(keep) + i).type for i in range(len(spec))]
     for batch in batches:
         values = batch.column(value_col)
         if isinstance(values, pa.ChunkedArray):
@@ -170,16 +96,14 @@ def _decode_batches(batches, value_col, keep, spec, out_schema):
         offsets, data = _binary_parts(values)
         if (fixed is not None and values.null_count == 0 and len(values)
                 and np.all(np.diff(offsets) == fixed.itemsize)):
+            # fixed-width records: one structured view of the whole batch
             recs = data[offsets[0]:offsets[-1]].view(fixed)
-            cols += [pa.array(recs[name].astype(fixed[name].newbyteorder("="))) for name in fixed.names]
-        elif len(values):
-            rows = [decode_record(spec, v) if v is not None else [None] * len(spec)
-                    for v in values.to_pylist()]
-            cols += [pa.array([r[i] for r in rows], type=out_schema.field(len(keep) + i).type)
-                     for i in range(len(spec))]
+            cols += [pa.array(recs[name].astype(fixed[name].newbyteorder("=")))
+                     for name in fixed.names]
         else:
-            cols += [pa.array([], type=out_schema.field(len(keep) + i).type)
-                     for i in range(len(spec))]
+            present = np.ones(len(values), dtype=bool) if values.null_count == 0 else \
+                ~np.asarray(values.is_null().to_numpy(zero_copy_only=False))
+            cols += decode_arrays(spec, data, offsets.astype(np.int64), present, types)
         yield pa.RecordBatch.from_arrays(cols, schema=out_schema)
 
 
@@ -196,11 +120,12 @@ def _encode_batches(batches, cols, keep, spec, out_col, out_schema):
             for name, a in zip(fixed.names, arrays):
                 recs[name] = a.to_numpy(zero_copy_only=False)
             offsets = np.arange(n + 1, dtype=off_type) * fixed.itemsize
-            value = pa.Array.from_buffers(value_type, n, [None, pa.py_buffer(offsets.tobytes()),
-                                                          pa.py_buffer(recs.tobytes())])
+            data = recs.tobytes()
         else:
-            pyrows = zip(*[a.to_pylist() for a in arrays]) if arrays else iter([()] * n)
-            value = pa.array([encode_record(spec, r) for r in pyrows], type=value_type)
+            rec_off, out = encode_arrays(spec, arrays, n)
+            offsets, data = rec_off.astype(off_type), out.tobytes()
+        value = pa.Array.from_buffers(value_type, n, [None, pa.py_buffer(offsets.tobytes()),
+                                                      pa.py_buffer(data)])
         yield pa.RecordBatch.from_arrays(kept + [value], schema=out_schema)
 
 
