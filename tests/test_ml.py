@@ -105,3 +105,27 @@ def test_auc_hard_single_class_raises(spark):
     with pytest.raises(Exception, match="single class"):
         auc_hard(df).collect()
     assert auc_hard(df, require_both_classes=False).first().auc is None
+
+
+def test_metrics_equal_mllib_evaluators(spark):
+    from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
+                                       MulticlassClassificationEvaluator, RegressionEvaluator)
+    from millrace.plans.lineitem_nb import nb_scored
+    scored = nb_scored(spark, "/root/testdata/sf0.001").select("label", "prediction").cache()
+    ours = regression_metrics(scored).first()
+    for name, key in (("mse", "mse"), ("rmse", "rmse"), ("mae", "mae"), ("r2", "r2"),
+                      ("var", "explained_variance")):
+        ref = RegressionEvaluator(metricName=name).evaluate(scored)
+        assert abs(ours[key] - ref) < 1e-9, name
+    weighted = [r for r in per_class_metrics(scored).collect() if r["class"] is None][0]
+    mc = lambda m: MulticlassClassificationEvaluator(metricName=m).evaluate(scored)
+    assert abs(weighted.precision - mc("weightedPrecision")) < 1e-12
+    assert abs(weighted.recall - mc("weightedRecall")) < 1e-12
+    assert abs(weighted.f1 - mc("f1")) < 1e-12
+    assert abs(accuracy(scored).first().accuracy - mc("accuracy")) < 1e-12
+    binary = scored.select((F.col("label") == 0).cast("double").alias("label"),
+                           (F.col("prediction") == 0).cast("double").alias("prediction"))
+    ref_auc = BinaryClassificationEvaluator(rawPredictionCol="prediction",
+                                            numBins=0).evaluate(binary)
+    assert abs(auc_hard(binary).first().auc - ref_auc) < 1e-12
+    scored.unpersist()
