@@ -129,3 +129,14 @@ def test_metrics_equal_mllib_evaluators(spark):
                                             numBins=0).evaluate(binary)
     assert abs(auc_hard(binary).first().auc - ref_auc) < 1e-12
     scored.unpersist()
+
+
+def test_layer_grid_gives_one_net_per_option(spark):
+    from millrace.operators.models import param_grid, perceptron
+    mlp = perceptron([4, 8, 2])
+    hidden = [35, 32]  # one hidden layer each: two candidate nets, not one deep net
+    grid = param_grid(mlp, {"layers": [[4, h, 2] for h in hidden], "maxIter": [200],
+                            "blockSize": [128]})
+    assert len(grid) == 2
+    assert sorted(pm[mlp.getParam("layers")][1] for pm in grid) == [32, 35]
+    assert len(param_grid(mlp, {})) == 1  # the empty grid is one (default) map
