@@ -92,3 +92,12 @@ def test_random_split_property(spark):
     tagged = tag_split(df, [0.8, 0.2], seed=3, names=["train", "test"])
     n_train = tagged.filter("split = 'train'").count()
     assert 15500 < n_train < 16500
+
+
+def test_zero_fill_then_mean_reproduces_the_chain(spark):
+    from millrace.operators.quality import impute_mean
+    df = spark.createDataFrame([(360.0,), (None,), (180.0,)], "term double")
+    theirs = impute_mean(fill_constants(df, {"term": 0.0}), ["term"])  # fill 0, then mean: no-op
+    assert [r.term for r in theirs.collect()] == [360.0, 0.0, 180.0]
+    ours = impute_mean(df, ["term"])  # mean of the known values
+    assert [r.term for r in ours.collect()] == [360.0, 270.0, 180.0]

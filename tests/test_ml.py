@@ -140,3 +140,21 @@ def test_layer_grid_gives_one_net_per_option(spark):
     assert len(grid) == 2
     assert sorted(pm[mlp.getParam("layers")][1] for pm in grid) == [32, 35]
     assert len(param_grid(mlp, {})) == 1  # the empty grid is one (default) map
+
+
+def test_assembler_nulls_and_unseen_categories(spark):
+    import pytest
+    from millrace.operators.features import assemble, indexer
+    df = spark.createDataFrame([(1.0, 2.0), (None, 3.0)], "a double, b double")
+    with pytest.raises(Exception):
+        assemble(df, ["a", "b"], "v").collect()
+    assert assemble(df, ["a", "b"], "v", handle_invalid="skip").count() == 1
+    kept = assemble(df, ["a", "b"], "v", handle_invalid="keep").select(to_array("v").alias("x"))
+    assert any(x != x for r in kept.collect() for x in r.x)  # NaN for the null
+    train = spark.createDataFrame([("a",), ("b",)], "c string")
+    test = spark.createDataFrame([("z",), (None,)], "c string")
+    with pytest.raises(Exception):
+        indexer(["c"], ["i"]).fit(train).transform(test).collect()
+    got = [r.i for r in indexer(["c"], ["i"], handle_invalid="keep").fit(train)
+           .transform(test).collect()]
+    assert got == [2.0, 2.0]  # unseen and null go to the extra index K
