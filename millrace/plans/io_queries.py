@@ -13,8 +13,8 @@ from millrace.plans.registry import query, table
 from millrace.plans.text_queries import _LINES_SQL, _TOKENS_SQL
 from millrace.session import shared_path
 from millrace.sinks.files import write_csv, write_table, write_tuples_text
-from millrace.sources.files import (from_rows, parse_delimited, read_csv, read_csv_schema,
-                                    read_lines, read_many)
+from millrace.sources.files import (conform, from_rows, parse_delimited, read_csv,
+                                    read_csv_schema, read_lines, read_many)
 
 CUSTOMER_LINE_SCHEMA = ("customer_id INT, name STRING, nation INT, balance DOUBLE, "
                         "segment STRING")
@@ -57,7 +57,8 @@ def q_src_csv_schema(spark, sf_dir):
     write_csv(table(spark, sf_dir, "lineitem").select(*cols), path, header=False)
     schema = ("l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE, "
               "l_extendedprice DOUBLE, l_returnflag STRING")
-    return read_csv_schema(spark, path, schema, mode="FAILFAST")
+    # declared schema on read, then the typed-view check (D3)
+    return conform(read_csv_schema(spark, path, schema, mode="FAILFAST"), schema)
 
 
 @query("parse_delimited", sql="""

@@ -85,3 +85,17 @@ def test_jvm_split_matches_java_rule(spark):
     df = spark.createDataFrame([(c,) for c in cases], "v string")
     got = {r.v: r.p for r in df.select("v", jvm_split(F.col("v"), ",").alias("p")).collect()}
     assert all(got[c] == java_split(c, ",") for c in cases)
+
+
+def test_conform_to_declared_schema(spark):
+    from millrace.sources.files import conform
+    df = spark.createDataFrame([("KS", "128", "25.0", "False.")], "state string, len string, "
+                               "numvmail string, churn string")
+    out = conform(df, "len INT, state STRING, numvmail DOUBLE")
+    assert out.columns == ["len", "state", "numvmail"] and tuple(out.first()) == (128, "KS", 25.0)
+    with pytest.raises(ValueError, match="missing"):
+        conform(df, "acode STRING")
+    bad = spark.createDataFrame([("x",)], "len string")
+    with pytest.raises(Exception, match="cannot cast len"):
+        conform(bad, "len INT").collect()
+    assert conform(bad, "len INT", strict=False).first().len is None
