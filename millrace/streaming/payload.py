@@ -54,6 +54,25 @@ def avro_schema_json(schema, name: str = "record") -> str:
     return json.dumps({"type": "record", "name": name, "fields": fields})
 
 
+def schema_from_avro_json(text: str) -> T.StructType:
+    """StructType of a flat Avro record schema (the JSON of an .avsc file):
+    primitive field types, and ``[type, "null"]`` unions as nullable fields."""
+    by_name = {v: k for k, v in _AVRO_TYPES.items()}
+    fields = []
+    for f in json.loads(text)["fields"]:
+        t = f["type"]
+        nullable = isinstance(t, list)
+        if nullable:
+            kinds = [k for k in t if k != "null"]
+            if len(kinds) != 1 or "null" not in t or t.index("null") != 1:
+                raise ValueError(f"unsupported union for {f['name']}: {t}")
+            t = kinds[0]
+        if t not in by_name:
+            raise ValueError(f"unsupported Avro type for {f['name']}: {t}")
+        fields.append(T.StructField(f["name"], by_name[t](), nullable))
+    return T.StructType(fields)
+
+
 def _spec(schema):
     st = _as_schema(schema)
     return [(f.name, _avro_type(f.dataType), f.nullable) for f in st.fields]

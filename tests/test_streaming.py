@@ -131,3 +131,18 @@ def test_columnwise_codec_equals_record_codec(rows):
     cols = decode_arrays(SPEC_ALL, data, rec_off, np.ones(len(rows), dtype=bool), ARROW_TYPES)
     decoded = list(zip(*[c.to_pylist() for c in cols])) if rows else []
     assert [list(r) for r in decoded] == [decode_record(SPEC_ALL, rec) for rec in records]
+
+
+def test_schema_from_avro_json_round_trips(spark):
+    from millrace.streaming.payload import avro_schema_json, schema_from_avro_json
+    text = ('{"type": "record", "name": "member", "fields": [{"name": "key", "type": "int"}, '
+            '{"name": "label", "type": "string"}, {"name": "note", "type": ["string", "null"]}, '
+            '{"name": "score", "type": "double"}]}')
+    st = schema_from_avro_json(text)
+    assert [(f.name, f.dataType.simpleString(), f.nullable) for f in st.fields] == [
+        ("key", "int", False), ("label", "string", False), ("note", "string", True),
+        ("score", "double", False)]
+    assert schema_from_avro_json(avro_schema_json(st)) == st
+    df = spark.createDataFrame([(1, "a", None, 0.5)], st)
+    back = decode_payload(encode_payload(df, st.names, schema=st), "value", st)
+    assert tuple(back.first()) == (1, "a", None, 0.5)
