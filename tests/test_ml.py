@@ -158,3 +158,29 @@ def test_assembler_nulls_and_unseen_categories(spark):
     got = [r.i for r in indexer(["c"], ["i"], handle_invalid="keep").fit(train)
            .transform(test).collect()]
     assert got == [2.0, 2.0]  # unseen and null go to the extra index K
+
+
+def test_confusion_orientation_and_positive_cells(spark):
+    from millrace.operators.evaluation import outcome_counts
+    df = spark.createDataFrame([(1.0, 0.0), (1.0, 0.0), (0.0, 1.0), (1.0, 1.0)],
+                               "label double, prediction double")
+    cm = {(r.label, r.prediction): r.n for r in confusion_matrix(df).collect()}
+    assert cm == {(0.0, 0.0): 0, (0.0, 1.0): 1, (1.0, 0.0): 2, (1.0, 1.0): 1}  # rows = actual
+    one = outcome_counts(df).first()
+    assert (one.tp, one.fp, one.fn, one.tn) == (1, 1, 2, 0)
+    zero = outcome_counts(df, positive=0.0).first()  # correct 0-predictions are tn for 1, tp for 0
+    assert (zero.tp, zero.fp, zero.fn, zero.tn) == (0, 2, 1, 1)
+
+
+def test_perceptron_grid_is_not_self_evaluated(spark):
+    from pyspark.ml import Pipeline
+    from millrace.operators.features import assembler
+    from millrace.operators.models import auc_evaluator, cross_validate, param_grid, perceptron
+    df = mq.signal_frame(spark, "/root/testdata/sf0.001")
+    mlp = perceptron([4, 3, 2], max_iter=20, seed=1)
+    pipe = Pipeline(stages=[assembler(mq.NB_FEATURES, "raw"), mq.scaler("raw", "features"), mlp])
+    grid = param_grid(mlp, {"layers": [[4, 3, 2], [4, 5, 2]]})
+    ev = auc_evaluator()
+    assert ev.getRawPredictionCol() == "rawPrediction"
+    cv = cross_validate(pipe, grid, ev, df, folds=2, parallelism=2)
+    assert all(m < 1.0 for m in cv.avgMetrics)  # scored on raw predictions, not the label
