@@ -65,9 +65,3 @@ def _checkpoint_base(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique location below the shared checkpoint folder."""
     return f"{_checkpoint_base(spark)}/millrace/{label}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df):
-    """Reliable checkpoint (written to the shared folder), never a local one."""
-    _checkpoint_base(df.sparkSession)
-    return df.checkpoint(eager=True)
