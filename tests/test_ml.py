@@ -184,3 +184,23 @@ def test_perceptron_grid_is_not_self_evaluated(spark):
     assert ev.getRawPredictionCol() == "rawPrediction"
     cv = cross_validate(pipe, grid, ev, df, folds=2, parallelism=2)
     assert all(m < 1.0 for m in cv.avgMetrics)  # scored on raw predictions, not the label
+
+
+def test_logistic_regression_matches_newton_on_fixture(spark):
+    from millrace.operators.features import assembler
+    from millrace.operators.models import fit_pipeline, logistic_regression
+    df = mq.signal_frame(spark, "/root/testdata/sf0.001").select(*mq.NB_FEATURES, "label")
+    lr = logistic_regression(max_iter=200)
+    lr.setTol(1e-10)
+    model = fit_pipeline([assembler(mq.NB_FEATURES, "features"), lr], df).stages[-1]
+    pdf = df.toPandas()  # small fixture: brute force on the driver is the reference
+    x = np.column_stack([np.ones(len(pdf))] + [pdf[c].to_numpy(float) for c in mq.NB_FEATURES])
+    y = pdf["label"].to_numpy(float)
+    w = np.zeros(x.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        grad = x.T @ (y - p)
+        hess = x.T @ (x * (p * (1 - p))[:, None])
+        w += np.linalg.solve(hess, grad)
+    spark_w = np.concatenate([[model.intercept], model.coefficients.toArray()])
+    assert np.allclose(spark_w, w, rtol=1e-3, atol=1e-3), (spark_w, w)
