@@ -118,3 +118,39 @@ def score_stream(model, stream: DataFrame) -> DataFrame:
     """Apply a fitted pipeline to a stream, micro-batch by micro-batch; the
     model is loaded once and broadcast with the plan, not per record."""
     return model.transform(stream)
+
+
+def kafka_available(spark: SparkSession) -> bool:
+    """True when the Kafka source/sink package is on the classpath."""
+    try:
+        spark._jvm.java.lang.Class.forName(
+            "org.apache.spark.sql.kafka010.KafkaSourceProvider")
+        return True
+    except Exception:  # noqa: BLE001
+        return False
+
+
+def open_topic(spark: SparkSession, topic: str, servers: str | None = None,
+               landing: str | None = None, **options) -> DataFrame:
+    """Messages of a topic as a stream with (at least) a binary ``value``
+    column: from Kafka when its package is deployed and ``servers`` are
+    given, else from the topic's landing folder of parquet files."""
+    if servers and kafka_available(spark):
+        return open_stream(spark, "kafka", **{"kafka.bootstrap.servers": servers,
+                                              "subscribe": topic, **options})
+    if landing is None:
+        raise ValueError(f"no Kafka for topic {topic!r} and no landing folder given")
+    schema = spark.read.parquet(landing).schema
+    return open_stream(spark, "parquet", f"{landing.rstrip('/')}", schema, **options)
+
+
+def publish_topic(df: DataFrame, topic: str, servers: str | None = None,
+                  landing: str | None = None) -> None:
+    """Publish ``value`` (and ``key``) rows to a Kafka topic, or append them
+    to the topic's landing folder when Kafka is not deployed."""
+    if servers and kafka_available(df.sparkSession):
+        publish(df, "kafka", topic=topic, **{"kafka.bootstrap.servers": servers})
+    elif landing is not None:
+        publish(df, "parquet", landing)
+    else:
+        raise ValueError(f"no Kafka for topic {topic!r} and no landing folder given")

@@ -2,6 +2,7 @@ import struct
 
 import pyarrow as pa
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -146,3 +147,19 @@ def test_schema_from_avro_json_round_trips(spark):
     df = spark.createDataFrame([(1, "a", None, 0.5)], st)
     back = decode_payload(encode_payload(df, st.names, schema=st), "value", st)
     assert tuple(back.first()) == (1, "a", None, 0.5)
+
+
+def test_topic_falls_back_to_landing_folder(spark, scratch):
+    from millrace.streaming.streams import kafka_available, open_topic, publish_topic
+    assert kafka_available(spark) in (True, False)
+    landing = scratch("topic")
+    schema = "a DOUBLE NOT NULL"
+    msgs = encode_payload(spark.range(50).selectExpr("CAST(id AS DOUBLE) AS a"), ["a"],
+                          schema=schema)
+    publish_topic(msgs, "iris", servers=None, landing=landing)
+    publish_topic(msgs, "iris", servers=None, landing=landing)  # append
+    stream = decode_payload(open_topic(spark, "iris", landing=landing), "value", schema)
+    to_memory(stream, "topic_mem", scratch("topic-ckpt"))
+    assert spark.sql("SELECT count(*), sum(a) FROM topic_mem").first() == (100, 2450.0)
+    with pytest.raises(ValueError):
+        open_topic(spark, "iris")
