@@ -39,4 +39,4 @@ def query(name: str, sql: str | None = None, note: str = ""):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table (one parquet file per table)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
