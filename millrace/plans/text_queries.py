@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from millrace.operators.aggregates import token_count, tokenize
 from millrace.plans.registry import query, table
 
