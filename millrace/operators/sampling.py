@@ -34,9 +34,13 @@ def tag_split(df: DataFrame, weights: Sequence[float], seed: int,
     for w in weights:
         acc += w / total
         bounds.append(acc)
-    r = F.rand(seed)
+    # one draw per row, materialised as a column: every branch must test the
+    # same number (a rand() inside each branch would draw again)
+    tmp = f"_{col}_draw"
+    r = F.col(tmp)
     expr = None
     for name, b in zip(names, bounds):
         expr = (F.when(r < b, F.lit(name)) if expr is None
                 else expr.when(r < b, F.lit(name)))
-    return df.withColumn(col, expr.otherwise(F.lit(names[-1])))
+    return (df.withColumn(tmp, F.rand(seed))
+            .withColumn(col, expr.otherwise(F.lit(names[-1]))).drop(tmp))

@@ -59,7 +59,10 @@ def await_query(query: StreamingQuery, timeout: float = DEFAULT_TIMEOUT) -> Stre
     return query
 
 
-def _writer(stream: DataFrame, checkpoint: str, trigger: dict | None, name: str | None):
+def _writer(stream: DataFrame, checkpoint: str | None, trigger: dict | None, name: str | None):
+    if checkpoint is None:  # never a machine-local temporary folder
+        from millrace.session import shared_path
+        checkpoint = shared_path(stream.sparkSession, "stream-ckpt")
     w = stream.writeStream.option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)

@@ -101,3 +101,12 @@ def test_zero_fill_then_mean_reproduces_the_chain(spark):
     assert [r.term for r in theirs.collect()] == [360.0, 0.0, 180.0]
     ours = impute_mean(df, ["term"])  # mean of the known values
     assert [r.term for r in ours.collect()] == [360.0, 270.0, 180.0]
+
+
+def test_tag_split_three_way_proportions(spark):
+    df = spark.range(300000)
+    counts = {r.split: r["count"] for r in
+              tag_split(df, [1, 1, 1], seed=3, names=["a", "b", "c"]).groupBy("split").count()
+              .collect()}
+    sigma = (300000 * (1 / 3) * (2 / 3)) ** 0.5
+    assert all(abs(counts[k] - 100000) <= 4 * sigma for k in "abc"), counts

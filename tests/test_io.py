@@ -99,3 +99,11 @@ def test_conform_to_declared_schema(spark):
     with pytest.raises(Exception, match="cannot cast len"):
         conform(bad, "len INT").collect()
     assert conform(bad, "len INT", strict=False).first().len is None
+
+
+def test_read_many_ordered_without_file_column(spark, scratch):
+    base = scratch("ordered-nofile")
+    for i in (1, 0):
+        write_csv(from_rows(spark, [(f"n{i}",)], "name STRING"), f"{base}/f{i}", single_file=True)
+    df = read_many(spark, f"{base}/*/*.csv", ordered=True, file_col=None)
+    assert df.columns == ["name"] and [r.name for r in df.collect()] == ["n0", "n1"]

@@ -163,3 +163,11 @@ def test_topic_falls_back_to_landing_folder(spark, scratch):
     assert spark.sql("SELECT count(*), sum(a) FROM topic_mem").first() == (100, 2450.0)
     with pytest.raises(ValueError):
         open_topic(spark, "iris")
+
+
+def test_sink_without_checkpoint_uses_shared_folder(spark, scratch):
+    from millrace.streaming.streams import to_console
+    landing = land_files(spark.range(10), scratch("nockpt"), 1)
+    q = to_console(open_stream(spark, "parquet", landing, spark.read.parquet(landing).schema),
+                   None, num_rows=1)
+    assert q.lastProgress is not None
