@@ -147,8 +147,8 @@ def q_random_split(spark, sf_dir):
 
 @query("fn_class_code", sql="""
 SELECT l_orderkey, l_linenumber,
-       CAST(CASE WHEN lower(l_returnflag) = 'a' THEN 0 WHEN lower(l_returnflag) = 'n' THEN 1
-                 ELSE 2 END AS DOUBLE) AS class_code
+       CAST(CASE WHEN l_returnflag IS NULL THEN NULL WHEN lower(l_returnflag) = 'a' THEN 0
+                 WHEN lower(l_returnflag) = 'n' THEN 1 ELSE 2 END AS DOUBLE) AS class_code
 FROM lineitem
 """)
 def q_fn_class_code(spark, sf_dir):
@@ -251,7 +251,8 @@ def _flag_code(s: pd.Series) -> pd.Series:
 
 @query("udf_surface", sql="""
 SELECT l_orderkey, l_linenumber,
-       CAST(CASE lower(l_returnflag) WHEN 'a' THEN 0 WHEN 'n' THEN 1 ELSE 2 END AS DOUBLE) AS flag_code
+       CAST(CASE WHEN l_returnflag IS NULL THEN NULL WHEN lower(l_returnflag) = 'a' THEN 0
+                 WHEN lower(l_returnflag) = 'n' THEN 1 ELSE 2 END AS DOUBLE) AS flag_code
 FROM lineitem
 """)
 def q_udf_surface(spark, sf_dir):

@@ -105,7 +105,7 @@ def q_multi_file_ingest(spark, sf_dir):
     # one file per partition: a narrow table is spread so the folder holds
     # several files; a wide one keeps its natural (bounded) file sizes
     write_csv(spread_narrow_input(orders), path, header=True)
-    return read_many(spark, path).drop("source_file")
+    return read_many(spark, path, file_col=None)
 
 
 @query("sink_text", sql=f"""

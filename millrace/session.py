@@ -53,7 +53,15 @@ def _checkpoint_base(spark: SparkSession) -> str:
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        # Only reached when the cluster names no shared folder (local tests).
+        # A private temporary folder is only valid when driver and executors
+        # share one machine; a cluster must name a shared folder.
+        master = ""
+        try:
+            master = spark.sparkContext.master
+        except Exception:  # Spark Connect
+            master = spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="millrace-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(base)

@@ -166,7 +166,9 @@ def decode_payload(df: DataFrame, value_col: str, schema, keep: Sequence[str] =
         rec = from_avro(F.col(value_col), avro_schema_json(st))
         return df.select(*keep, rec.alias("_rec")).select(*keep, "_rec.*")
     spec = _spec(st)
-    out = T.StructType([df.schema[k] for k in keep] + list(st.fields))
+    # decoded fields are nullable: a null message (a tombstone) decodes to nulls
+    decoded = [T.StructField(f.name, f.dataType, True) for f in st.fields]
+    out = T.StructType([df.schema[k] for k in keep] + decoded)
     arrow_schema = _arrow_schema(df.sparkSession, out)
     return spread_narrow_input(df.select(*keep, value_col)).mapInArrow(
         lambda it: _decode_batches(it, value_col, keep, spec, arrow_schema), out)
@@ -177,6 +179,9 @@ def encode_payload(df: DataFrame, cols: Sequence[str], out_col: str = "value",
     """Typed columns -> one binary payload column (plus ``keep`` columns)."""
     cols, keep = list(cols), list(keep)
     st = _as_schema(schema) if schema is not None else T.StructType([df.schema[c] for c in cols])
+    if sorted(cols) != sorted(st.names):
+        raise ValueError(f"payload columns {cols} do not match the record fields {st.names}")
+    cols = list(st.names)  # record field order, paired by name
     if avro_available(df.sparkSession):
         from pyspark.sql.avro.functions import to_avro
         return df.select(*keep, to_avro(F.struct(*cols), avro_schema_json(st)).alias(out_col))

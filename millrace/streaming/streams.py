@@ -60,7 +60,7 @@ def await_query(query: StreamingQuery, timeout: float = DEFAULT_TIMEOUT) -> Stre
 
 
 def _writer(stream: DataFrame, checkpoint: str | None, trigger: dict | None, name: str | None):
-    if checkpoint is None:  # never a machine-local temporary folder
+    if checkpoint is None:  # a fresh folder under the shared checkpoint dir
         from millrace.session import shared_path
         checkpoint = shared_path(stream.sparkSession, "stream-ckpt")
     w = stream.writeStream.option("checkpointLocation", checkpoint)
@@ -139,8 +139,10 @@ def open_topic(spark: SparkSession, topic: str, servers: str | None = None,
     column: from Kafka when its package is deployed and ``servers`` are
     given, else from the topic's landing folder of parquet files."""
     if servers and kafka_available(spark):
+        # a bounded run must see the messages already in the topic
         return open_stream(spark, "kafka", **{"kafka.bootstrap.servers": servers,
-                                              "subscribe": topic, **options})
+                                              "subscribe": topic,
+                                              "startingOffsets": "earliest", **options})
     if landing is None:
         raise ValueError(f"no Kafka for topic {topic!r} and no landing folder given")
     schema = spark.read.parquet(landing).schema

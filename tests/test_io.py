@@ -107,3 +107,22 @@ def test_read_many_ordered_without_file_column(spark, scratch):
         write_csv(from_rows(spark, [(f"n{i}",)], "name STRING"), f"{base}/f{i}", single_file=True)
     df = read_many(spark, f"{base}/*/*.csv", ordered=True, file_col=None)
     assert df.columns == ["name"] and [r.name for r in df.collect()] == ["n0", "n1"]
+
+
+def test_read_many_keeps_row_order_across_splits(spark, scratch):
+    base = scratch("split-order")
+    rows = [(i, f"v{i:05d}") for i in range(3000)]
+    write_csv(from_rows(spark, rows, "i INT, v STRING"), f"{base}/a", single_file=True)
+    write_csv(from_rows(spark, rows[:10], "i INT, v STRING"), f"{base}/b", single_file=True)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # many splits per file
+    try:
+        df = read_many(spark, f"{base}/*/*.csv", ordered=True, file_col=None,
+                       schema="i INT, v STRING")
+        splits = spark.read.schema("i INT, v STRING").option("header", True) \
+            .csv(f"{base}/*/*.csv").rdd.getNumPartitions()
+        assert splits > 2  # the big file really is read in several splits
+        got = [r.i for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == list(range(3000)) + list(range(10))

@@ -171,3 +171,15 @@ def test_sink_without_checkpoint_uses_shared_folder(spark, scratch):
     q = to_console(open_stream(spark, "parquet", landing, spark.read.parquet(landing).schema),
                    None, num_rows=1)
     assert q.lastProgress is not None
+
+
+def test_null_message_decodes_to_nulls_and_fields_pair_by_name(spark):
+    schema = "a DOUBLE NOT NULL, b DOUBLE NOT NULL"
+    df = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
+    enc = encode_payload(df, ["b", "a"], schema=schema)  # order of cols does not matter
+    assert tuple(decode_payload(enc, "value", schema).first()) == (1.0, 2.0)
+    with pytest.raises(ValueError):
+        encode_payload(df, ["a"], schema=schema)
+    tomb = enc.union(spark.createDataFrame([(None,)], "value binary"))
+    rows = sorted(decode_payload(tomb, "value", schema).collect(), key=lambda r: r.a or 0)
+    assert [tuple(r) for r in rows] == [(None, None), (1.0, 2.0)]
