@@ -27,7 +27,7 @@ def text_lines(text) -> Column:
     parts = F.split(t, LINE_BREAK, -1)
     return (F.when(t.isNull(), F.lit(None))
             .when(t == "", F.array().cast("array<string>"))
-            .when(t.rlike(r"(\r|\n)$"), F.slice(parts, 1, F.size(parts) - 1))
+            .when(t.rlike(r"(\r|\n)\z"), F.slice(parts, 1, F.size(parts) - 1))
             .otherwise(parts))
 
 

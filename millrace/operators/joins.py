@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 # A side is broadcast only when it has at most this many rows; beyond it the
 # join falls back to a shuffle (sort-merge) join, which AQE may still turn
 # into a broadcast from runtime statistics.
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS = 100_000
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast when it holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (the limit stops the scan
-    early), so it is cheap exactly when the side is small.
+    Meant for narrow dimension-like sides (a few short columns): the bound is
+    on rows, so pick ``max_rows`` so that rows x row width stays far below
+    the broadcast size limit. On a plain scan the check reads at most
+    ``max_rows + 1`` rows (the limit stops it early); on an aggregate or
+    join it evaluates the side once more.
     """
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)

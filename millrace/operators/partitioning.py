@@ -28,7 +28,13 @@ def spread_narrow_input(df: DataFrame, factor: int = 2) -> DataFrame:
         return df
     target = par * factor
     try:
+        # Only a narrow plan (scans, filters, projections) is checked: asking
+        # a plan with an exchange for its partitions would make adaptive
+        # execution run the upstream stages now; after a shuffle the frame
+        # has shuffle partitions anyway.
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
         n = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): leave the plan alone
+    except Exception:  # no JVM handle (Spark Connect): leave the plan alone
         return df
     return df if n >= target else df.repartition(target)

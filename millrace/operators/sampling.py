@@ -26,8 +26,20 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
 
 
 def tag_split(df: DataFrame, weights: Sequence[float], seed: int,
-              names: Sequence[str] | None = None, col: str = "split") -> DataFrame:
-    """All rows with a ``split`` column naming their part (one pass)."""
+              names: Sequence[str] | None = None, col: str = "split",
+              deterministic: bool = False) -> DataFrame:
+    """All rows with a ``split`` column naming their part (one pass).
+
+    The draw depends on the row order within each partition, which a file
+    scan keeps. For input coming out of a shuffle, pass
+    ``deterministic=True``: rows are first sorted within their partitions
+    (as ``randomSplit`` does), so that separate jobs over the frame (fit on
+    one part, score another) see the same assignment."""
+    if deterministic:
+        from pyspark.sql import types as T
+        atomic = [f.name for f in df.schema.fields
+                  if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
+        df = df.sortWithinPartitions(*atomic)
     names = list(names or [f"part{i}" for i in range(len(weights))])
     total = float(sum(weights))
     bounds, acc = [], 0.0

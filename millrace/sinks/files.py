@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 def tuple_text(cols: Sequence[str]):
     """The text form of a JVM tuple, ``(a,b,...)`` (``null`` for nulls)."""
-    return F.format_string("(" + ",".join(["%s"] * len(cols)) + ")", *[F.col(c) for c in cols])
+    return F.format_string("(" + ",".join(["%s"] * len(cols)) + ")",
+                           *[F.col(c).cast("string") for c in cols])
 
 
 def write_tuples_text(df: DataFrame, path: str, cols: Sequence[str] | None = None,
@@ -27,8 +28,9 @@ def write_tuples_text(df: DataFrame, path: str, cols: Sequence[str] | None = Non
 
 def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False,
               mode: str = "overwrite", **options) -> None:
-    """CSV with a header row; ``single_file`` coalesces to one part first."""
-    out = df.coalesce(1) if single_file else df
+    """CSV with a header row. ``single_file`` writes one part file: the
+    upstream work stays parallel and only the final rows meet in one task."""
+    out = df.repartition(1) if single_file else df
     out.write.mode(mode).option("header", header).options(**options).csv(path)
 
 
@@ -37,8 +39,10 @@ def write_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "a
                 **options) -> None:
     """Keyed result sink: a path (contains ``/`` or ``:``) or a catalog table.
 
-    ``dedupe`` keeps one row per key (a key-value store would overwrite);
-    default is append, duplicates kept.
+    ``dedupe`` keeps one (arbitrary) row per key within this frame only;
+    keys already in an appended-to target are not replaced. Use
+    ``mode='overwrite'``, or a table format with MERGE, for upsert semantics.
+    Default is append, duplicates kept.
     """
     out = df.dropDuplicates(list(dedupe)) if dedupe else df
     writer = out.write.mode(mode).format(fmt).options(**options)

@@ -126,3 +126,11 @@ def test_read_many_keeps_row_order_across_splits(spark, scratch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == list(range(3000)) + list(range(10))
+
+
+def test_tuple_text_prints_dates_as_text(spark, scratch):
+    import datetime
+    df = spark.createDataFrame([(datetime.date(2020, 1, 2), 1.5)], "d date, x double")
+    path = scratch("dates")
+    write_tuples_text(df, path)
+    assert read_lines(spark, path).first().value == "(2020-01-02,1.5)"

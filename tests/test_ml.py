@@ -204,3 +204,18 @@ def test_logistic_regression_matches_newton_on_fixture(spark):
         w += np.linalg.solve(hess, grad)
     spark_w = np.concatenate([[model.intercept], model.coefficients.toArray()])
     assert np.allclose(spark_w, w, rtol=1e-3, atol=1e-3), (spark_w, w)
+
+
+def test_metric_edge_cases_after_review(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (3.0, None), (None, 2.0)],
+                               "label double, prediction double")
+    m = regression_metrics(df).first()  # only the complete pair (1, 1) counts
+    assert (m.mse, m.mae) == (0.0, 0.0)
+    nan = spark.createDataFrame([(0.0, 0.0), (1.0, float("nan"))], "label double, prediction double")
+    cells = {(r.label, r.prediction): r.n for r in confusion_matrix(nan).collect()
+             if r.prediction == r.prediction}
+    assert cells[(0.0, 0.0)] == 1 and cells[(1.0, 1.0)] == 0 and len(cells) == 4
+    assert confusion_matrix(nan).count() == 5  # the NaN cell is still reported
+    nulls = spark.createDataFrame([(0.0, 0.0), (None, 1.0)], "label double, prediction double")
+    rows = per_class_metrics(nulls).collect()
+    assert sum(1 for r in rows if r["class"] is None) == 1  # only the weighted summary

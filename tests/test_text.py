@@ -65,3 +65,9 @@ def test_token_count_plan_has_partial_aggregate(spark):
     df = spark.createDataFrame([(1, "a b")], "id long, text string")
     plan = token_count(df)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "partial_count" in plan
+
+
+def test_line_break_at_end_uses_end_of_input(spark):
+    df = spark.createDataFrame([("a\n ",), ("a\n",)], "s string")
+    got = [r.l for r in df.select(text_lines("s").alias("l")).collect()]
+    assert got == [["a", " "], ["a"]]
