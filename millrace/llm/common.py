@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,3 +42,38 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Memo(dict):
+    """``memo[key]`` is ``make(key)``, kept for the ``entries`` keys that came
+    last or again since the last turnover: at most twice as many are held."""
+
+    def __init__(self, make: Callable, entries: int):
+        super().__init__()
+        self.make, self.entries, self.old = make, entries, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.entries:
+            self.old = self.copy()
+            self.clear()
+        self[key] = value
+        return value
+
+
+_BLANKS = tuple(bytes([b]) for b in (32, 9, 10, 11, 12, 13))
+
+
+def text_blocks(raw: bytes, size: int) -> Iterator[bytes]:
+    """A text in blocks of ``size`` bytes, cut before white space; a word longer
+    than a block is a longer block of its own."""
+    at = 0
+    while at < len(raw):
+        end = min(len(raw), at + size)
+        if end < len(raw) and raw[end:end + 1] not in _BLANKS:
+            back = max(raw.rfind(c, at, end) for c in _BLANKS)
+            end = back if back > at else min((x for c in _BLANKS if (x := raw.find(c, end)) >= 0), default=len(raw))
+        yield raw[at:end]
+        at = end

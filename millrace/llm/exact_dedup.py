@@ -164,3 +164,17 @@ def mark_duplicates(incoming: DataFrame, history: DataFrame | None = None, id_co
     return (rows.join(groups, "digest")
             .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     F.lower(F.hex("digest")).alias("text_sha256")))
+
+
+def earlier_batch(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """``docs`` as (incoming, history): half by a hash of the id plays the earlier batch."""
+    earlier = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(2)) == 0
+    return docs.where(~earlier), docs.where(earlier)
+
+
+def drop_rows(docs: DataFrame, marks: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the ids that ``marks`` (doc_id, kept) does not keep. Where few
+    go, their written ids are small enough for Spark to broadcast; else both sides
+    are shuffled."""
+    gone = cut(marks.where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct(), "dropped-ids")
+    return docs.join(gone, id_col, "left_anti").select(*docs.columns)

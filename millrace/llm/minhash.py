@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, text_bytes
+from millrace.llm.common import cut, text_blocks, text_bytes
 from millrace.llm.components import components
 
 SHINGLE = 5
@@ -99,16 +99,7 @@ class Sketcher:
         raw = text.lower()  # bytes: A-Z only
         if len(raw) <= TEXT_BLOCK:
             return self._block_words(raw)
-        parts, at = [], 0
-        while at < len(raw):
-            end = min(len(raw), at + TEXT_BLOCK)
-            while end < len(raw) and not _SPACE[raw[end]]:
-                back = max(raw.rfind(c, at, end) for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r"))
-                end = back if back > at else min((x for c in b" \t\n\v\f\r" if (x := raw.find(bytes([c]), end)) >= 0),
-                                                default=len(raw))
-            parts.append(self._block_words(raw[at:end]))
-            at = end
-        return np.concatenate(parts)
+        return np.concatenate([self._block_words(block) for block in text_blocks(raw, TEXT_BLOCK)])
 
     def shingles(self, text: bytes) -> np.ndarray:
         """The sorted distinct shingle hashes of a text."""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, exact_dedup, minhash
 from millrace.llm.common import table
@@ -40,8 +39,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     digests are under perfect hashes; the other half is looked up. Rows of both
     halves are read, grouped together and returned."""
     docs = table(spark, sf_dir, "documents")
-    earlier = F.pmod(F.crc32(F.coalesce(F.col("doc_id"), F.lit(0)).cast("string").cast("binary")), F.lit(2)) == 0
-    return exact_dedup.mark_duplicates(docs.where(~earlier), docs.where(earlier))
+    return exact_dedup.mark_duplicates(*exact_dedup.earlier_batch(docs))
 
 
 OP5_SQL = f"""

@@ -33,7 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-MEMO_ENTRIES = 400_000
+from millrace.llm.common import Memo
+
+MEMO_ENTRIES = 250_000
 ROWS_AT_ONCE = 256
 
 # The pre-token pattern of word-end BPE vocabularies, and the
@@ -68,8 +70,7 @@ class WordEncoder:
                       and steps[0].get("pattern") == {"Regex": SPLIT} and steps[1].get("type") == "ByteLevel")
         self.specials = [t["content"] for t in spec.get("added_tokens", [])]
         self.letters, self.model = byte_letters(), self.tokenizer.model
-        self.memo: dict[str, bytes] = {}
-        self.memo_entries = memo_entries
+        self.memo = Memo(self._chunk, memo_entries)
 
     def _whole(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -87,16 +88,7 @@ class WordEncoder:
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.specials):
             return self._whole(text)
-        memo, chunks = self.memo, text.replace("\n", " ").split(" ")
-        out = list(map(memo.get, chunks))
-        if None in out:
-            if len(memo) > self.memo_entries:
-                memo.clear()
-            for i, ids in enumerate(out):
-                if ids is None:
-                    chunk = chunks[i]
-                    out[i] = memo[chunk] = memo.get(chunk) or self._chunk(chunk)
-        return b"".join(out)
+        return b"".join(map(self.memo.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def encode_sorted(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id",
