@@ -259,7 +259,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     whole = components(links.unionByName(more))
     classed = (reps.select("digest", F.col("doc_id").alias("node")).join(whole, "node", "left")
-               .select("digest", F.coalesce("component", "node").alias("component")))
+               .select("digest", F.coalesce("component", "node").alias("component")).distinct())
     out = sketches.select("doc_id", "n_shingles", "digest").join(cut(classed, "class-components"), "digest", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), own)
