@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +65,19 @@ class Memo(dict):
         return value
 
 
+def worker_keeps(key: tuple, make: Callable):
+    """``make()``, kept for later tasks of the same Python worker that ask with the
+    same key; one object per worker. Functions of this package are shipped by
+    value, so their own globals are new in each task, while ``sys.modules`` lives as
+    long as the worker."""
+    kept = sys.modules.setdefault("millrace_worker_keeps", types.ModuleType("millrace_worker_keeps"))
+    if getattr(kept, "key", None) != key:
+        kept.key, kept.value = None, None  # the old one goes first
+        kept.value = make()
+        kept.key = key
+    return kept.value
+
+
 _BLANKS = tuple(bytes([b]) for b in (32, 9, 10, 11, 12, 13))
 
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Memo, sha256_hex
+from millrace.llm.common import Memo, sha256_hex, worker_keeps
 
 BLANK = "▁"
 DROPOUT, SEED, VARIANTS = 0.1, 42, 4
@@ -281,7 +281,8 @@ def encode_pieces(docs: DataFrame, model_path: str, dropout: float = DROPOUT, se
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = PieceCodec(model_path, dropout, seed, variants)
+        codec = worker_keeps(("pieces", model_path, dropout, seed, variants),
+                             lambda: PieceCodec(model_path, dropout, seed, variants))
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
@@ -303,7 +304,7 @@ def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
     id_type = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = PieceCodec(model_path)
+        codec = worker_keeps(("pieces", model_path), lambda: PieceCodec(model_path))
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
