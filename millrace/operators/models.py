@@ -4,22 +4,20 @@ Every fit below is distributed: Naive Bayes is one aggregation per class,
 k-means/LR/MLP iterate tree-aggregated gradient or centre sums, trees grow
 from per-node histograms aggregated on executors. Only model parameters
 (size bounded by the parameter count, not the data) reach the driver.
-Training input is cached around the fit and released afterwards.
+Fits read only the columns that their stages name.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from contextlib import contextmanager
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -27,43 +25,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.partitioning import spread_narrow_input
 
+def needed_columns(stages: Sequence, df: DataFrame) -> list[str]:
+    """The columns of ``df`` that the stages read: their column parameters that name
+    one. A stage of an unknown kind keeps all columns."""
+    wanted: set[str] = set()
+    for stage in stages:
+        if not hasattr(stage, "params"):
+            return df.columns
+        for param in stage.params:
+            if param.name.lower().endswith(("col", "cols")) and stage.isDefined(param):
+                value = stage.getOrDefault(param)
+                wanted |= {value} if isinstance(value, str) else set(value)
+    return [c for c in df.columns if c in wanted]
 
-@contextmanager
-def cached(df: DataFrame):
-    """Keep ``df`` in executor memory (spilling to disk) for the duration of
-    an iterative fit, then release it."""
-    df.persist()
-    try:
-        yield df
-    finally:
-        df.unpersist()
 
-
-# Estimators that read their input once when fitted (a count, a sum or a
-# mean per column or class); transformers read nothing at fit time.
-SINGLE_PASS = (NaiveBayes, StringIndexer, Imputer, OneHotEncoder, StandardScaler)
-
-
-def needs_cache(stages: Sequence) -> bool:
-    """True when some stage makes repeated passes over its input (iterative
-    optimisers, tree growing, k-means)."""
-    return any(not isinstance(s, (Transformer, *SINGLE_PASS)) for s in stages)
-
-
-def fit_pipeline(stages: Sequence, df: DataFrame, cache: bool | None = None) -> PipelineModel:
-    """Fit a pipeline. With an iterative stage (``cache=None`` decides) the
-    training frame is spread over the cores when it arrives in too few
-    partitions and cached for the fit; single-pass pipelines read the
-    source directly, since caching would cost as much as it saves."""
-    pipe = Pipeline(stages=list(stages))
-    if cache is None:
-        cache = needs_cache(stages)
-    if not cache:
-        return pipe.fit(df)
-    with cached(spread_narrow_input(df)) as train:
-        return pipe.fit(train)
+def fit_pipeline(stages: Sequence, df: DataFrame) -> PipelineModel:
+    """Fit a pipeline on the columns that it reads. Nothing is persisted here: the
+    iterative estimators of Spark ML keep their own training blocks, and a second
+    copy of the input would only take their memory."""
+    return Pipeline(stages=list(stages)).fit(df.select(*needed_columns(stages, df)))
 
 
 def naive_bayes(label: str = "label", features: str = "features", smoothing: float = 1.0,
@@ -89,10 +70,11 @@ def nearest_centre(vec_col: str, centres: Sequence[Sequence[float]]):
     """
     cs = F.from_json(F.lit(json.dumps([[float(v) for v in c] for c in centres])),
                      "array<array<double>>")
-    dists = F.transform(cs, lambda c: F.aggregate(
-        F.zip_with(F.col(vec_col), c, lambda a, b: (a - b) * (a - b)),
-        F.lit(0.0), lambda acc, x: acc + x))
-    return (F.array_position(dists, F.array_min(dists)) - 1).cast("int")
+    # the smallest (distance, index): each distance is written and computed once
+    by_distance = F.transform(cs, lambda c, i: F.struct(
+        F.aggregate(F.zip_with(F.col(vec_col), c, lambda a, b: (a - b) * (a - b)),
+                    F.lit(0.0), lambda acc, x: acc + x).alias("distance"), i.alias("index")))
+    return F.array_min(by_distance)["index"].cast("int")
 
 
 def lloyd_step(df: DataFrame, vec_col: str, centres: Sequence[Sequence[float]],
@@ -151,13 +133,23 @@ def param_grid(estimator, grid: Mapping[str, Sequence]) -> list:
 
 
 def cross_validate(estimator, grid: list, evaluator, df: DataFrame, folds: int = 10,
-                   parallelism: int = 2, seed: int = 7):
+                   parallelism: int = 4, seed: int = 7, fold_col: str | None = None):
     """k-fold cross validation of a whole pipeline over a parameter grid;
-    candidate fits run ``parallelism`` at a time."""
+    candidate fits run ``parallelism`` at a time. With ``fold_col`` the rows say
+    their fold (0 to folds - 1), so the folds do not depend on how the input is
+    partitioned; without it they are drawn from ``seed``."""
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator,
                         numFolds=folds, parallelism=parallelism, seed=seed)
-    with cached(spread_narrow_input(df)) as train:
-        return cv.fit(train)
+    stages = estimator.getStages() if isinstance(estimator, Pipeline) else [estimator]
+    columns = needed_columns([*stages, evaluator], df)
+    if fold_col:
+        cv = cv.setFoldCol(fold_col)
+        columns += [fold_col] if fold_col not in columns else []
+    return cv.fit(df.select(*columns))
+
+
+def accuracy_evaluator(label: str = "label", prediction: str = "prediction") -> MulticlassClassificationEvaluator:
+    return MulticlassClassificationEvaluator(labelCol=label, predictionCol=prediction, metricName="accuracy")
 
 
 def auc_evaluator(label: str = "label", raw: str = "rawPrediction") -> BinaryClassificationEvaluator:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def union_all(frames: Sequence[DataFrame], by_name: bool = False,
@@ -19,40 +20,39 @@ def union_all(frames: Sequence[DataFrame], by_name: bool = False,
     return reduce(DataFrame.union, frames)
 
 
-def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
-    """Seeded split; weights are normalised to sum 1. Each part is a
-    filtered scan of the same input (no shuffle)."""
-    return df.randomSplit(list(weights), seed)
+def split_draw(seed: int, keys: Sequence[str]):
+    """A number in [0, 1) from the key columns and the seed: the first 32 bits of
+    their MD5. It depends on nothing else, so every job over the rows, on any
+    partitioning, sees the same draw. Nulls count as a text of their own."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in keys]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 2 ** 32
 
 
 def tag_split(df: DataFrame, weights: Sequence[float], seed: int,
               names: Sequence[str] | None = None, col: str = "split",
-              deterministic: bool = False) -> DataFrame:
-    """All rows with a ``split`` column naming their part (one pass).
-
-    The draw depends on the row order within each partition, which a file
-    scan keeps. For input coming out of a shuffle, pass
-    ``deterministic=True``: rows are first sorted within their partitions
-    (as ``randomSplit`` does), so that separate jobs over the frame (fit on
-    one part, score another) see the same assignment."""
-    if deterministic:
-        from pyspark.sql import types as T
-        atomic = [f.name for f in df.schema.fields
-                  if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
-        df = df.sortWithinPartitions(*atomic)
+              keys: Sequence[str] | None = None) -> DataFrame:
+    """All rows with a ``split`` column naming their part (one pass, no shuffle).
+    Weights are normalised to sum 1. Rows that agree in ``keys`` (default: all
+    columns of plain types) go to the same part."""
+    keys = list(keys or _plain_columns(df))
     names = list(names or [f"part{i}" for i in range(len(weights))])
-    total = float(sum(weights))
-    bounds, acc = [], 0.0
-    for w in weights:
-        acc += w / total
-        bounds.append(acc)
-    # one draw per row, materialised as a column: every branch must test the
-    # same number (a rand() inside each branch would draw again)
-    tmp = f"_{col}_draw"
-    r = F.col(tmp)
-    expr = None
-    for name, b in zip(names, bounds):
-        expr = (F.when(r < b, F.lit(name)) if expr is None
-                else expr.when(r < b, F.lit(name)))
-    return (df.withColumn(tmp, F.rand(seed))
-            .withColumn(col, expr.otherwise(F.lit(names[-1]))).drop(tmp))
+    total, below, part = float(sum(weights)), 0.0, F.lit(names[-1])
+    cases = []
+    for name, w in zip(names[:-1], weights):
+        below += w / total
+        cases.append((name, below))
+    for name, bound in reversed(cases):
+        part = F.when(F.col("_draw") < bound, F.lit(name)).otherwise(part)
+    return df.withColumn("_draw", split_draw(seed, keys)).withColumn(col, part).drop("_draw")
+
+
+def _plain_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+
+
+def random_split(df: DataFrame, weights: Sequence[float], seed: int,
+                 keys: Sequence[str] | None = None) -> list[DataFrame]:
+    """Seeded split into one frame per weight, each a filtered scan of the input."""
+    tagged = tag_split(df, weights, seed, col="_part", keys=keys)
+    return [tagged.filter(F.col("_part") == f"part{i}").drop("_part") for i in range(len(weights))]

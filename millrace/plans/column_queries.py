@@ -11,7 +11,7 @@ from millrace.functions.registry import register_function
 from millrace.operators.aggregates import filtered_counts, global_means, match_counts, ratios
 from millrace.operators.projection import (derive_columns, filter_equal, filter_not_equal,
                                            format_column, project, run_sql)
-from millrace.operators.sampling import tag_split, union_all
+from millrace.operators.sampling import random_split, tag_split, union_all
 from millrace.plans.io_queries import CUSTOMER_LINE_SCHEMA, customer_lines
 from millrace.plans.registry import query, table
 from millrace.sources.files import parse_delimited
@@ -137,12 +137,43 @@ def q_union_all(spark, sf_dir):
     return union_all([c, s])
 
 
-@query("random_split", note="rows only: seeded split depends on partition layout")
+def split_sql(seed: int, weights, names, keys: str, source: str, cols: str | None = None) -> str:
+    """The split by the MD5 of seed and keys, in DuckDB."""
+    total, below, cases = float(sum(weights)), 0.0, ""
+    for name, w in zip(names[:-1], weights):
+        below += w / total
+        cases += f" WHEN draw < {below!r} THEN '{name}'"
+    return f"""SELECT * EXCLUDE draw, CASE{cases} ELSE '{names[-1]}' END AS split
+    FROM (SELECT {cols or keys}, CAST('0x' || substr(md5(concat_ws('|', '{seed}', {keys})), 1, 8) AS BIGINT)
+                 / CAST(4294967296 AS DOUBLE) AS draw FROM {source})"""
+
+
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+@query("random_split", sql=split_sql(11, [0.8, 0.2], ["train", "test"], ", ".join(LINE_KEYS), "lineitem"))
 def q_random_split(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    li = table(spark, sf_dir, "lineitem").select(*LINE_KEYS)
     return tag_split(li, [0.8, 0.2], seed=11, names=["train", "test"])
 
 
+@query("random_split_unnormalised",
+       sql=split_sql(11, [0.3, 0.3], ["train", "test"], ", ".join(LINE_KEYS), "lineitem"))
+def q_random_split_unnormalised(spark, sf_dir):
+    """Weights that do not sum to 1 are shares of their sum."""
+    li = table(spark, sf_dir, "lineitem").select(*LINE_KEYS)
+    return tag_split(li, [0.3, 0.3], seed=11, names=["train", "test"])
+
+
+@query("random_split_three_way",
+       sql=split_sql(24, [0.8, 0.18, 0.02], ["train", "test", "unseen"], ", ".join(LINE_KEYS), "lineitem"))
+def q_random_split_three_way(spark, sf_dir):
+    """Three frames, each a filter of the same input, put together again."""
+    li = table(spark, sf_dir, "lineitem").select(*LINE_KEYS)
+    parts = random_split(li, [0.8, 0.18, 0.02], seed=24)
+    return union_all([p.withColumn("split", F.lit(n)) for p, n in zip(parts, ["train", "test", "unseen"])])
+
+
 # --- scalar functions -------------------------------------------------------
 
 @query("fn_class_code", sql="""

@@ -10,7 +10,7 @@ from millrace.operators.aggregates import class_totals
 from millrace.operators.evaluation import (accuracy, auc_hard, auc_pr, auc_score,
                                            confusion_matrix, outcome_counts, per_class_metrics,
                                            regression_metrics)
-from millrace.plans.lineitem_nb import nb_scored, nb_sql
+from millrace.plans.lineitem_nb import nb_fit, nb_scored, nb_sql
 from millrace.plans.registry import query, table
 
 # The value threshold that turns an event's value into a hard
@@ -102,7 +102,9 @@ FROM g LEFT JOIN cells ON g.label = cells.label AND g.prediction = cells.predict
 @query("confusion_matrix", sql=nb_sql(_CONFUSION_SQL, impute=True))
 def q_confusion_matrix(spark, sf_dir):
     """Flagship: impute -> index -> assemble -> Naive Bayes -> confusion."""
-    return confusion_matrix(nb_scored(spark, sf_dir, impute=True))
+    model, df = nb_fit(spark, sf_dir, impute=True)
+    classes = range(len(model.stages[-1].pi))
+    return confusion_matrix(model.transform(df), dense=True, labels=classes)
 
 
 @query("precision_recall_f1", sql=nb_sql("""
@@ -139,10 +141,9 @@ SELECT round(avg((label - prediction) * (label - prediction)), 9) AS mse,
        round(sqrt(avg((label - prediction) * (label - prediction))), 9) AS rmse,
        round(avg(abs(label - prediction)), 9) AS mae,
        round(1 - sum((label - prediction) * (label - prediction))
-                 / (sum(label * label) - count(*) * avg(label) * avg(label)), 9) AS r2,
-       round((sum(prediction * prediction) - 2 * avg(label) * sum(prediction)
-              + count(*) * avg(label) * avg(label)) / count(*), 9) AS explained_variance
-FROM scored
+                 / sum((label - my) * (label - my)), 9) AS r2,
+       round(avg((prediction - my) * (prediction - my)), 9) AS explained_variance
+FROM (SELECT label, prediction, avg(label) OVER () AS my FROM scored)
 """))
 def q_regression_metrics(spark, sf_dir):
     m = regression_metrics(nb_scored(spark, sf_dir))
@@ -158,3 +159,11 @@ FULL JOIN (SELECT prediction AS class, count(*) AS n_predicted FROM scored GROUP
 """))
 def q_class_totals(spark, sf_dir):
     return class_totals(nb_scored(spark, sf_dir))
+
+
+@query("confusion_cells", sql=f"""
+SELECT label, prediction, count(*) AS n FROM {_EVENTS_SQL} GROUP BY label, prediction
+""")
+def q_confusion_cells(spark, sf_dir):
+    """The observed cells alone, for any number of classes."""
+    return confusion_matrix(events_binary(spark, sf_dir))

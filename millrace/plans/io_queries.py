@@ -4,11 +4,10 @@ test, so the value check covers writer and reader together."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import count_by_key, token_count
-from millrace.operators.joins import broadcast_if_bounded
-from millrace.operators.partitioning import spread_narrow_input
 from millrace.plans.registry import query, table
 from millrace.plans.text_queries import _LINES_SQL, _TOKENS_SQL
 from millrace.session import shared_path
@@ -84,12 +83,9 @@ def q_literal_rows(spark, sf_dir):
     codes = from_rows(spark, REGION_CODES, "r_regionkey INT, code STRING")
     nation = table(spark, sf_dir, "nation")
     cust = table(spark, sf_dir, "customer").select("c_nationkey")
-    # The code table and nation are small dimension tables: broadcast behind
-    # a row-count check so the customer scan stays shuffle-free up to the
-    # partial aggregate.
-    keyed = broadcast_if_bounded(
-        nation.join(F.broadcast(codes), nation.n_regionkey == codes.r_regionkey)
-        .select("n_nationkey", "code"))
+    # Spark sizes both sides in bytes and broadcasts the small ones
+    keyed = (nation.join(codes, nation.n_regionkey == codes.r_regionkey)
+             .select("n_nationkey", "code"))
     return (cust.join(keyed, cust.c_nationkey == keyed.n_nationkey)
             .groupBy("code").agg(F.count(F.lit(1)).alias("n_customers")))
 
@@ -102,10 +98,36 @@ def q_multi_file_ingest(spark, sf_dir):
     path = shared_path(spark, "many-files")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    # one file per partition: a narrow table is spread so the folder holds
-    # several files; a wide one keeps its natural (bounded) file sizes
-    write_csv(spread_narrow_input(orders), path, header=True)
-    return read_many(spark, path, file_col=None)
+    # one folder of files per order status: several files whatever the layout
+    orders.write.partitionBy("o_orderstatus").option("header", True).csv(path)
+    found = read_many(spark, path, file_col=None)
+    return found.select(*orders.columns)
+
+
+@query("ordered_ingest", sql="""
+SELECT o_orderpriority, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key,
+       true AS in_file_order
+FROM orders GROUP BY o_orderpriority
+""")
+def q_ordered_ingest(spark, sf_dir):
+    """Files read in the order of their names, their rows in the order in which
+    they were written: files and, within a file, keys must rise."""
+    path = shared_path(spark, "ordered-files")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    (orders.repartition("o_orderpriority").sortWithinPartitions("o_orderpriority", "o_orderkey")
+     .write.partitionBy("o_orderpriority").option("header", True).csv(path))
+    rows = read_many(spark, path, ordered=True).select(
+        "o_orderpriority", "o_orderkey", "source_file", F.monotonically_increasing_id().alias("place"),
+        F.spark_partition_id().alias("part"))
+    # neighbours within a partition of the sorted read
+    before = Window.partitionBy("part").orderBy("place")
+    steps = rows.withColumn("rises", F.coalesce(
+        (F.lag("source_file").over(before) < F.col("source_file"))
+        | ((F.lag("source_file").over(before) == F.col("source_file"))
+           & (F.lag("o_orderkey").over(before) < F.col("o_orderkey"))), F.lit(True)))
+    return steps.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), F.min("o_orderkey").cast("long").alias("first_key"),
+        F.max("o_orderkey").cast("long").alias("last_key"), F.min("rises").alias("in_file_order"))
 
 
 @query("sink_text", sql=f"""

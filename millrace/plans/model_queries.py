@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.features import assembler, scaler, to_vector
-from millrace.operators.models import (auc_evaluator, cross_validate, cv_results,
+from millrace.operators.models import (accuracy_evaluator, cross_validate, cv_results,
                                        decision_tree, fit_pipeline, kmeans, lloyd_step,
-                                       load_model, logistic_regression, model_params,
-                                       param_grid, perceptron, probability_of, random_forest,
-                                       save_model)
-from millrace.operators.sampling import tag_split
+                                       load_model, logistic_regression, model_params, naive_bayes,
+                                       nearest_centre, param_grid, perceptron, probability_of,
+                                       random_forest, save_model, tree_rules)
+from millrace.operators.evaluation import accuracy
+from millrace.operators.sampling import tag_split, union_all
+from millrace.plans.column_queries import LINE_KEYS, split_sql
 from millrace.plans.lineitem_nb import NB_FEATURES, nb_fit, nb_input, nb_scored, nb_sql
 from millrace.plans.registry import query, table
 from millrace.session import shared_path
@@ -105,6 +107,16 @@ def q_kmeans_assign(spark, sf_dir):
     return model.transform(e).select("vec_id", "label", "cluster")
 
 
+@query("kmeans_nearest", sql="SELECT vec_id, true AS nearest FROM embeddings")
+def q_kmeans_nearest(spark, sf_dir):
+    """Every vector's cluster is the one with the nearest of the fitted centres."""
+    e = embedding_vectors(spark, sf_dir).withColumn("features", to_vector("embedding"))
+    model = fit_pipeline([kmeans(k=10, seed=1, features="features")], e)
+    centres = [c.tolist() for c in model.stages[-1].clusterCenters()]  # k x d numbers
+    return model.transform(e).select("vec_id", (F.col("cluster") == nearest_centre("embedding", centres))
+                                     .alias("nearest"))
+
+
 # --- supervised models on a label with signal --------------------------------
 
 SIGNAL_SQL = "l_quantity + 200 * l_discount + pmod(l_orderkey * 7919, 20) > 45"
@@ -115,7 +127,7 @@ def signal_frame(spark, sf_dir, seed: int = 24):
     key-based noise, tagged train (80%) / test (20%)."""
     li = nb_input(spark, sf_dir).drop("l_returnflag")
     label = F.expr(SIGNAL_SQL).cast("double")
-    return tag_split(li.withColumn("label", label), [0.8, 0.2], seed, ["train", "test"])
+    return tag_split(li.withColumn("label", label), [0.8, 0.2], seed, ["train", "test"], keys=LINE_KEYS)
 
 
 def _fit_and_score(spark, sf_dir, estimator):
@@ -142,24 +154,110 @@ def q_decision_tree(spark, sf_dir):
     return _fit_and_score(spark, sf_dir, decision_tree(max_depth=5, seed=24))
 
 
-@query("multilayer_perceptron", note="rows only: iterative fit")
-def q_multilayer_perceptron(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, perceptron([4, 8, 2], max_iter=100, seed=24))
-
+NETS = ([4, 8, 2], [4, 8, 6, 2])  # one and two hidden layers
 
-def _cv(spark, sf_dir):
-    df = signal_frame(spark, sf_dir).filter(F.col("split") == "train")
-    lr = logistic_regression(max_iter=10)
-    pipe = Pipeline(stages=[assembler(NB_FEATURES, "raw"), scaler("raw", "features"), lr])
-    grid = param_grid(lr, {"regParam": [0.0, 0.01]})
-    return cross_validate(pipe, grid, auc_evaluator(), df, folds=2, parallelism=2, seed=7)
 
-
-@query("cross_validate", note="rows only: one row per parameter map")
+@query("multilayer_perceptron", note="rows only: iterative fit")
+def q_multilayer_perceptron(spark, sf_dir):
+    nets = [_fit_and_score(spark, sf_dir, perceptron(layers, max_iter=200, seed=24))
+            .withColumn("net", F.lit("-".join(map(str, layers)))) for layers in NETS]
+    return union_all(nets)
+
+
+LR_TERMS = ["intercept", *NB_FEATURES]
+
+
+@query("logistic_gradient", sql="SELECT unnest([" + ", ".join(f"'{t}'" for t in LR_TERMS)
+       + "]) AS term, true AS at_optimum")
+def q_logistic_gradient(spark, sf_dir):
+    """At the optimum of an unregularised fit the gradient of the mean log loss over
+    the training rows is zero in every term."""
+    train = signal_frame(spark, sf_dir).filter(F.col("split") == "train")
+    lr = logistic_regression(max_iter=300).setTol(1e-12)
+    model = fit_pipeline([assembler(NB_FEATURES, "features"), lr], train)
+    off = probability_of("probability", 1) - F.col("label")
+    slopes = [F.avg(off * (F.lit(1.0) if t == "intercept" else F.col(t))).alias(t) for t in LR_TERMS]
+    gradient = model.transform(train).agg(*slopes)
+    return gradient.select(F.inline(F.array(*[F.struct(F.lit(t).alias("term"), (F.abs(F.col(t)) < 1e-5)
+                                                       .alias("at_optimum")) for t in LR_TERMS])))
+
+
+@query("tree_rules", note="rows only: the rule text of a fitted tree")
+def q_tree_rules(spark, sf_dir):
+    train = signal_frame(spark, sf_dir).filter(F.col("split") == "train")
+    model = fit_pipeline([assembler(NB_FEATURES, "features"), decision_tree(max_depth=3, seed=24)], train)
+    return tree_rules(spark, model.stages[-1])
+
+
+# --- cross validation ---------------------------------------------------------
+
+FOLDS = 10
+SMOOTHING = [0.01, 0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 50.0, 100.0, 1000.0, 10000.0, 100000.0]
+
+
+def _cv_model(spark, sf_dir):
+    """Naive Bayes over 12 smoothings, 10 folds by key, accuracy; with the test rows."""
+    df = signal_frame(spark, sf_dir).withColumn("fold", F.expr("CAST(pmod(l_orderkey, 10) AS INT)"))
+    nb = naive_bayes()
+    pipe = Pipeline(stages=[assembler(NB_FEATURES, "features"), nb])
+    grid = param_grid(nb, {"smoothing": SMOOTHING})
+    model = cross_validate(pipe, grid, accuracy_evaluator(), df.filter(F.col("split") == "train"), folds=FOLDS,
+                           parallelism=8, fold_col="fold")
+    return model, df.filter(F.col("split") == "test")
+
+
+def cv_sql(final: str) -> str:
+    """Closed form of the whole search. ``m`` has the mean fold accuracy of each
+    smoothing, ``best`` the first one with the highest, ``held`` its accuracy on the
+    test rows after a fit on all training rows."""
+    values = ", ".join(f"({i}, CAST({x!r} AS DOUBLE))" for i, x in enumerate(SMOOTHING))
+    thetas = ", ".join(f"ln(s{i} + s) - ln(s0 + s1 + s2 + s3 + 4 * s) AS t{i}" for i in range(4))
+    score = "pi + t0 * f0 + t1 * f1 + t2 * f2 + t3 * f3"
+    sums = ", ".join(f"sum(f{i}) AS s{i}" for i in range(4))
+    return f"""
+WITH tagged AS ({split_sql(24, [0.8, 0.2], ["train", "test"], ", ".join(LINE_KEYS), "lineitem", "*")}),
+d AS (SELECT row_number() OVER () AS rid, split, l_orderkey % {FOLDS} AS fold,
+             CASE WHEN l_quantity + 200 * l_discount + (l_orderkey * 7919) % 20 > 45 THEN 1.0 ELSE 0.0 END::DOUBLE AS label,
+             l_quantity AS f0, l_discount AS f1, l_tax AS f2, CAST(l_linenumber AS DOUBLE) AS f3
+      FROM tagged),
+g(idx, s) AS (VALUES {values}),
+k AS (SELECT unnest(range({FOLDS} + 1)) AS k),
+cls AS (SELECT k, label AS c, count(*) AS n, {sums} FROM d, k
+        WHERE split = 'train' AND fold <> k GROUP BY k, label),
+tot AS (SELECT k, sum(n) AS nn, count(*) AS kk FROM cls GROUP BY k),
+par AS (SELECT k, idx, c, ln(n + s) - ln(nn + kk * s) AS pi, {thetas} FROM cls JOIN tot USING (k), g),
+hit AS (SELECT k, idx, rid, arg_max(c, {score}) = any_value(label) AS ok FROM d JOIN par
+        ON split = 'train' AND fold = k GROUP BY k, idx, rid),
+m AS (SELECT idx, s, avg(acc) AS avg_metric
+      FROM (SELECT k, idx, avg(CAST(ok AS DOUBLE)) AS acc FROM hit GROUP BY k, idx) JOIN g USING (idx) GROUP BY idx, s),
+best AS (SELECT idx, s FROM m ORDER BY round(avg_metric, 12) DESC, idx LIMIT 1),
+held AS (SELECT avg(CAST(ok AS DOUBLE)) AS accuracy
+         FROM (SELECT rid, arg_max(c, {score}) = any_value(label) AS ok
+               FROM d JOIN par ON split = 'test' AND k = {FOLDS} JOIN best USING (idx) GROUP BY rid))
+{final}
+"""
+
+
+@query("cross_validate", sql=cv_sql("SELECT 'smoothing=' || CAST(s AS VARCHAR) AS params, "
+                                    "round(avg_metric, 9) AS avg_metric FROM m"))
 def q_cross_validate(spark, sf_dir):
-    return cv_results(spark, _cv(spark, sf_dir))
+    model, _ = _cv_model(spark, sf_dir)
+    return cv_results(spark, model).select("params", F.round("avg_metric", 9).alias("avg_metric"))
 
 
-@query("best_model_params", note="rows only: (param, value) of the best model's last stage")
+@query("best_model_params", sql=cv_sql("""
+SELECT * FROM (VALUES ('featuresCol', 'features'), ('labelCol', 'label'), ('modelType', 'multinomial'),
+                      ('predictionCol', 'prediction'), ('probabilityCol', 'probability'),
+                      ('rawPredictionCol', 'rawPrediction')) v(param, value)
+UNION ALL SELECT 'smoothing', CAST(s AS VARCHAR) FROM best
+"""))
 def q_best_model_params(spark, sf_dir):
-    return model_params(spark, _cv(spark, sf_dir).bestModel.stages[-1])
+    model, _ = _cv_model(spark, sf_dir)
+    return model_params(spark, model.bestModel.stages[-1])
+
+
+@query("best_model_held_out", sql=cv_sql("SELECT round(accuracy, 9) AS accuracy FROM held"))
+def q_best_model_held_out(spark, sf_dir):
+    """The best model, fitted on all training rows, on the rows kept out of the search."""
+    model, test = _cv_model(spark, sf_dir)
+    return accuracy(model.transform(test)).select(F.round("accuracy", 9).alias("accuracy"))

@@ -7,6 +7,8 @@ and the query returns the sink's files read back as a batch frame.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from millrace.operators.models import load_model, save_model
@@ -14,21 +16,21 @@ from millrace.plans.lineitem_nb import nb_fit, nb_input, nb_sql
 from millrace.plans.registry import query, table
 from millrace.session import shared_path
 from millrace.streaming.payload import decode_payload, encode_payload
-from millrace.streaming.streams import (files_per_trigger, for_each_batch, land_files,
-                                        open_stream, score_stream, to_parquet)
+from millrace.streaming.streams import (for_each_batch, open_topic, publish_topic, score_stream,
+                                        to_memory, to_parquet)
 
 PRICE_FIELDS = "l_quantity DOUBLE NOT NULL, l_extendedprice DOUBLE NOT NULL, " \
                "l_discount DOUBLE NOT NULL, l_tax DOUBLE NOT NULL"
 PRICE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 USER_FIELDS = "id INT NOT NULL, name STRING NOT NULL, email STRING"
-LANDING_FILES = 4   # minimum number of landed files
-MICRO_BATCHES = 4   # each stream drains its landing folder in about this many batches
+FILES_PER_TRIGGER = 64  # a micro-batch is this many files, whatever the folder holds
 
 
-def landing_stream(spark, landing):
-    """File stream over a landing folder, rate-limited to ~MICRO_BATCHES batches."""
-    return open_stream(spark, "parquet", landing, spark.read.parquet(landing).schema,
-                       maxFilesPerTrigger=files_per_trigger(spark, landing, MICRO_BATCHES))
+def landed(spark, df, label):
+    """``df`` published to a folder, one file per partition, and its stream."""
+    path = shared_path(spark, label)
+    publish_topic(df, label, "parquet", path=path)
+    return open_topic(spark, label, "parquet", path=path, maxFilesPerTrigger=FILES_PER_TRIGGER)
 
 
 @query("payload_round_trip", sql="""
@@ -36,8 +38,8 @@ SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax
 """)
 def q_payload_round_trip(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    enc = encode_payload(li, PRICE_COLS, keep=["l_orderkey", "l_linenumber"], schema=PRICE_FIELDS)
-    return decode_payload(enc, "value", PRICE_FIELDS, keep=["l_orderkey", "l_linenumber"])
+    enc = encode_payload(li, PRICE_COLS, keep=["l_orderkey", "l_linenumber"], schema=PRICE_FIELDS, fmt="fixed")
+    return decode_payload(enc, "value", PRICE_FIELDS, keep=["l_orderkey", "l_linenumber"], fmt="fixed")
 
 
 def customer_users(spark, sf_dir):
@@ -57,8 +59,8 @@ FROM customer
 """)
 def q_payload_round_trip_records(spark, sf_dir):
     users = customer_users(spark, sf_dir)
-    enc = encode_payload(users, ["id", "name", "email"], schema=USER_FIELDS)
-    return decode_payload(enc, "value", USER_FIELDS)
+    enc = encode_payload(users, ["id", "name", "email"], schema=USER_FIELDS, fmt="json")
+    return decode_payload(enc, "value", USER_FIELDS, fmt="json")
 
 
 _EVENT_COLS = ["event_id", "user_id", "event_type", "value", "props"]
@@ -66,9 +68,7 @@ _EVENT_COLS = ["event_id", "user_id", "event_type", "value", "props"]
 
 @query("stream_source", sql="SELECT event_id, user_id, event_type, value, props FROM events")
 def q_stream_source(spark, sf_dir):
-    landing = land_files(table(spark, sf_dir, "events").select(*_EVENT_COLS),
-                         shared_path(spark, "events-landing"), LANDING_FILES)
-    stream = landing_stream(spark, landing)
+    stream = landed(spark, table(spark, sf_dir, "events").select(*_EVENT_COLS), "events")
     out, ckpt = shared_path(spark, "events-sink"), shared_path(spark, "events-ckpt")
     to_parquet(stream, out, ckpt)
     return spark.read.parquet(out)
@@ -79,9 +79,7 @@ _LINE_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_retur
 
 @query("stream_to_parquet", sql=f"SELECT {', '.join(_LINE_COLS)} FROM lineitem")
 def q_stream_to_parquet(spark, sf_dir):
-    landing = land_files(table(spark, sf_dir, "lineitem").select(*_LINE_COLS),
-                         shared_path(spark, "lines-landing"), LANDING_FILES)
-    stream = landing_stream(spark, landing)
+    stream = landed(spark, table(spark, sf_dir, "lineitem").select(*_LINE_COLS), "lines")
     out, ckpt = shared_path(spark, "lines-sink"), shared_path(spark, "lines-ckpt")
     to_parquet(stream, out, ckpt)
     return spark.read.parquet(out)
@@ -103,8 +101,7 @@ SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus
 """)
 def q_stream_foreach_batch(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    landing = land_files(orders, shared_path(spark, "orders-landing"), LANDING_FILES)
-    stream = landing_stream(spark, landing)
+    stream = landed(spark, orders, "orders")
     out, ckpt = shared_path(spark, "orders-batches"), shared_path(spark, "orders-ckpt")
     for_each_batch(stream, status_counts_sink(out), ckpt)
     per_batch = spark.read.parquet(out)
@@ -117,10 +114,9 @@ SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax
 def q_stream_decode_to_parquet(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     keys = ["l_orderkey", "l_linenumber"]
-    messages = encode_payload(li, PRICE_COLS, keep=keys, schema=PRICE_FIELDS)
-    landing = land_files(messages, shared_path(spark, "payload-landing"), LANDING_FILES)
-    stream = landing_stream(spark, landing)
-    decoded = decode_payload(stream, "value", PRICE_FIELDS, keep=keys)
+    messages = encode_payload(li, PRICE_COLS, keep=keys, schema=PRICE_FIELDS, fmt="fixed")
+    stream = landed(spark, messages, "payload")
+    decoded = decode_payload(stream, "value", PRICE_FIELDS, keep=keys, fmt="fixed")
     out, ckpt = shared_path(spark, "decoded-sink"), shared_path(spark, "decoded-ckpt")
     to_parquet(decoded, out, ckpt)
     return spark.read.parquet(out)
@@ -133,10 +129,41 @@ def q_stream_score(spark, sf_dir):
     model, _ = nb_fit(spark, sf_dir)
     path = save_model(model, shared_path(spark, "nb-stream-model"))
     rows = nb_input(spark, sf_dir).drop("l_returnflag")
-    landing = land_files(rows, shared_path(spark, "score-landing"), LANDING_FILES)
-    stream = landing_stream(spark, landing)
+    stream = landed(spark, rows, "score")
     scored = score_stream(load_model(path), stream).select("l_orderkey", "l_linenumber",
                                                             "prediction")
     out, ckpt = shared_path(spark, "score-sink"), shared_path(spark, "score-ckpt")
     to_parquet(scored, out, ckpt)
     return spark.read.parquet(out)
+
+
+@query("stream_restart", sql="""
+SELECT 1 AS run, count(*) AS n FROM orders
+UNION ALL SELECT 2, count(*) FROM orders
+UNION ALL SELECT 3, count(*) + (SELECT count(*) FROM supplier) FROM orders
+""")
+def q_stream_restart(spark, sf_dir):
+    """One checkpoint, three runs: the first drains the folder, the second finds
+    nothing new, the third takes only what was published in between."""
+    keys = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    more = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast(keys.schema["k"].dataType).alias("k"))
+    path, out, ckpt = (shared_path(spark, f"restart-{x}") for x in ("topic", "sink", "ckpt"))
+    counts = []
+    for run, new in enumerate([keys, None, more], start=1):
+        if new is not None:
+            publish_topic(new, "keys", "parquet", path=path)
+        stream = open_topic(spark, "keys", "parquet", path=path, maxFilesPerTrigger=FILES_PER_TRIGGER)
+        to_parquet(stream, out, ckpt)
+        counts.append((run, spark.read.parquet(out).count()))
+    return spark.createDataFrame(counts, "run INT, n LONG")
+
+
+@query("stream_to_console_rows", sql="SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
+def q_stream_to_console_rows(spark, sf_dir):
+    """The rows that an inspection sink gets, in memory instead of on the console:
+    counts by status, one small row each."""
+    stream = landed(spark, table(spark, sf_dir, "orders").select("o_orderstatus"), "console")
+    name = f"console_{uuid.uuid4().hex}"
+    to_memory(stream.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")), name,
+              shared_path(spark, "console-ckpt"), output_mode="complete")
+    return spark.table(name)

@@ -10,6 +10,8 @@ is the case for local test sessions.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,7 +37,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", "16g")
+               .config("spark.driver.memory", "8g")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for key, value in {**SCALE_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
@@ -63,6 +65,7 @@ def _checkpoint_base(spark: SparkSession) -> str:
         if not str(master).startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="millrace-ckpt-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         try:
             spark.sparkContext.setCheckpointDir(base)
         except Exception:
@@ -70,6 +73,17 @@ def _checkpoint_base(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_RUN = uuid.uuid4().hex
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique location below the shared checkpoint folder."""
-    return f"{_checkpoint_base(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    """A fresh, unique location below the shared checkpoint folder. What a query
+    writes there is read by the frame that it returns; ``release`` deletes it."""
+    return f"{_checkpoint_base(spark)}/millrace/{_RUN}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that this process has written below the shared folder. Frames
+    that still read from there fail afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_checkpoint_base(spark)}/millrace/{_RUN}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -28,9 +28,10 @@ def write_tuples_text(df: DataFrame, path: str, cols: Sequence[str] | None = Non
 
 def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False,
               mode: str = "overwrite", **options) -> None:
-    """CSV with a header row. ``single_file`` writes one part file: the
-    upstream work stays parallel and only the final rows meet in one task."""
-    out = df.repartition(1) if single_file else df
+    """CSV with a header row. ``single_file`` writes one part file through
+    one task, which reads the partitions in their order (a sort's order is kept);
+    what comes after the last shuffle runs in that task too."""
+    out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", header).options(**options).csv(path)
 
 

@@ -1,16 +1,14 @@
-"""Binary record payloads (Avro binary encoding of flat records).
-
-``decode_payload`` turns a binary column (a message value) into typed
-columns; ``encode_payload`` does the reverse before publishing. When the
-``spark-avro`` package is on the classpath the JVM functions ``from_avro`` /
-``to_avro`` are used. Otherwise the codec runs per Arrow batch inside
-``mapInArrow``: records made only of doubles/floats are fixed width and are
-(de)coded with one numpy view per batch; other records (ints, longs,
-strings, nullable unions) are coded column by column with numpy
-(``millrace.streaming.codec``).
-
-Supported field types: int, long, float, double, boolean, string; a nullable
-field is the union ``[type, "null"]`` (branch 0 = value, 1 = null).
+"""Record payloads: the binary ``value`` of a message as typed columns and back.
+
+The caller names the format:
+
+* ``"avro"``: Spark's ``to_avro`` / ``from_avro`` (the spark-avro package must be
+  deployed; Spark raises where it is not), any flat record;
+* ``"json"``: Spark's ``to_json`` / ``from_json``, any flat record; a message that is
+  not one whole record raises;
+* ``"fixed"``: records of non-null doubles and floats only, whose Avro binary form
+  is their little-endian bytes one after the other. Every record then has the
+  same width, so an Arrow batch is one numpy view; another width raises.
 """
 
 from __future__ import annotations
@@ -24,10 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.partitioning import spread_narrow_input
-from millrace.streaming.codec import (decode_arrays, decode_record, encode_arrays,  # noqa: F401
-                                      encode_record)
-
 _AVRO_TYPES = {T.IntegerType: "int", T.LongType: "long", T.FloatType: "float",
                T.DoubleType: "double", T.BooleanType: "boolean", T.StringType: "string"}
 _FIXED = {"double": "<f8", "float": "<f4"}
@@ -56,7 +50,8 @@ def avro_schema_json(schema, name: str = "record") -> str:
 
 def schema_from_avro_json(text: str) -> T.StructType:
     """StructType of a flat Avro record schema (the JSON of an .avsc file):
-    primitive field types, and ``[type, "null"]`` unions as nullable fields."""
+    primitive field types, and unions of a type and null, in either order, as
+    nullable fields."""
     by_name = {v: k for k, v in _AVRO_TYPES.items()}
     fields = []
     for f in json.loads(text)["fields"]:
@@ -64,7 +59,7 @@ def schema_from_avro_json(text: str) -> T.StructType:
         nullable = isinstance(t, list)
         if nullable:
             kinds = [k for k in t if k != "null"]
-            if len(kinds) != 1 or "null" not in t or t.index("null") != 1:
+            if len(kinds) != 1 or len(t) != 2:
                 raise ValueError(f"unsupported union for {f['name']}: {t}")
             t = kinds[0]
         if t not in by_name:
@@ -73,79 +68,56 @@ def schema_from_avro_json(text: str) -> T.StructType:
     return T.StructType(fields)
 
 
-def _spec(schema):
-    st = _as_schema(schema)
-    return [(f.name, _avro_type(f.dataType), f.nullable) for f in st.fields]
-
-
-def _fixed_dtype(spec):
-    if all(not nullable and t in _FIXED for _, t, nullable in spec):
-        return np.dtype([(n, _FIXED[t]) for n, t, _ in spec])
-    return None
-
-
-def avro_available(spark: SparkSession) -> bool:
-    """True when the JVM Avro functions are on the classpath."""
-    try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroDataToCatalyst")
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+def _fixed_dtype(schema: T.StructType) -> np.dtype:
+    """The numpy record of a fixed-width schema."""
+    odd = [f.name for f in schema.fields if f.nullable or _avro_type(f.dataType) not in _FIXED]
+    if odd:
+        raise ValueError(f"fields {odd} have no fixed width: only non-null doubles and floats do")
+    return np.dtype([(f.name, _FIXED[_avro_type(f.dataType)]) for f in schema.fields])
 
 
 # --- Arrow batch functions ----------------------------------------------------
 
-def _binary_parts(arr: pa.Array):
-    """(offsets, data) numpy views of a binary / large_binary Arrow array."""
+def _offsets(arr: pa.Array) -> np.ndarray:
+    """Where each value of a binary / large_binary array begins and ends."""
     off_type = np.int64 if pa.types.is_large_binary(arr.type) else np.int32
-    bufs = arr.buffers()
-    offsets = np.frombuffer(bufs[1], dtype=off_type)[arr.offset: arr.offset + len(arr) + 1]
-    data = np.frombuffer(bufs[2], dtype=np.uint8) if bufs[2] is not None else np.empty(0, np.uint8)
-    return offsets, data
+    return np.frombuffer(arr.buffers()[1], dtype=off_type)[arr.offset: arr.offset + len(arr) + 1]
 
 
-def _decode_batches(batches, value_col, keep, spec, out_schema):
-    fixed = _fixed_dtype(spec)
-    types = [out_schema.field(len(keep) + i).type for i in range(len(spec))]
+def _decode_batches(batches, value_col, keep, fixed, out_schema):
     for batch in batches:
         values = batch.column(value_col)
-        if isinstance(values, pa.ChunkedArray):
-            values = values.combine_chunks()
-        cols = [batch.column(k) for k in keep]
-        offsets, data = _binary_parts(values)
-        if (fixed is not None and values.null_count == 0 and len(values)
-                and np.all(np.diff(offsets) == fixed.itemsize)):
-            # fixed-width records: one structured view of the whole batch
-            recs = data[offsets[0]:offsets[-1]].view(fixed)
-            cols += [pa.array(recs[name].astype(fixed[name].newbyteorder("=")))
-                     for name in fixed.names]
-        else:
-            present = np.ones(len(values), dtype=bool) if values.null_count == 0 else \
-                ~np.asarray(values.is_null().to_numpy(zero_copy_only=False))
-            cols += decode_arrays(spec, data, offsets.astype(np.int64), present, types)
-        yield pa.RecordBatch.from_arrays(cols, schema=out_schema)
-
-
-def _encode_batches(batches, cols, keep, spec, out_col, out_schema):
-    fixed = _fixed_dtype(spec)
+        kept = [batch.column(k) for k in keep]
+        nulls = values.is_null()
+        present = values.drop_null()
+        offsets = _offsets(present) if len(present) else np.zeros(1, np.int64)
+        if not np.all(np.diff(offsets) == fixed.itemsize):
+            raise ValueError(f"a record is not {fixed.itemsize} bytes long")
+        data = np.frombuffer(present.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if len(present) else \
+            np.empty(0, np.uint8)
+        recs = data.view(fixed)
+        # a null message (a tombstone) decodes to nulls
+        where = pa.array(np.where(nulls.to_numpy(zero_copy_only=False), 0,
+                                  np.cumsum(~nulls.to_numpy(zero_copy_only=False)) - 1),
+                         mask=nulls.to_numpy(zero_copy_only=False))
+        cols = [pa.array(recs[name].astype(fixed[name].newbyteorder("="))).take(where) for name in fixed.names]
+        yield pa.RecordBatch.from_arrays(kept + cols, schema=out_schema)
+
+
+def _encode_batches(batches, cols, keep, fixed, out_col, out_schema):
     value_type = out_schema.field(out_col).type
     off_type = np.int64 if pa.types.is_large_binary(value_type) else np.int32
     for batch in batches:
         n = batch.num_rows
-        kept = [batch.column(k) for k in keep]
-        arrays = [batch.column(c) for c in cols]
-        if fixed is not None and all(a.null_count == 0 for a in arrays):
-            recs = np.empty(n, dtype=fixed)
-            for name, a in zip(fixed.names, arrays):
-                recs[name] = a.to_numpy(zero_copy_only=False)
-            offsets = np.arange(n + 1, dtype=off_type) * fixed.itemsize
-            data = recs.tobytes()
-        else:
-            rec_off, out = encode_arrays(spec, arrays, n)
-            offsets, data = rec_off.astype(off_type), out.tobytes()
-        value = pa.Array.from_buffers(value_type, n, [None, pa.py_buffer(offsets.tobytes()),
-                                                      pa.py_buffer(data)])
-        yield pa.RecordBatch.from_arrays(kept + [value], schema=out_schema)
+        recs = np.empty(n, dtype=fixed)
+        for c in cols:
+            if batch.column(c).null_count:
+                raise ValueError(f"field {c} is null, but the record says it never is")
+            recs[c] = batch.column(c).to_numpy(zero_copy_only=False)
+        offsets = np.arange(n + 1, dtype=off_type) * fixed.itemsize
+        value = pa.Array.from_buffers(value_type, n, [None, pa.py_buffer(offsets.astype(off_type).tobytes()),
+                                                      pa.py_buffer(recs.tobytes())])
+        yield pa.RecordBatch.from_arrays([batch.column(k) for k in keep] + [value], schema=out_schema)
 
 
 def _arrow_schema(spark: SparkSession, schema: T.StructType):
@@ -156,37 +128,59 @@ def _arrow_schema(spark: SparkSession, schema: T.StructType):
     return to_arrow_schema(schema, prefers_large_types=large == "true")
 
 
-def decode_payload(df: DataFrame, value_col: str, schema, keep: Sequence[str] = ()) -> DataFrame:
+FORMATS = ("avro", "json", "fixed")
+
+
+def _check_format(fmt: str) -> None:
+    if fmt not in FORMATS:
+        raise ValueError(f"unknown payload format {fmt!r}; one of {FORMATS}")
+
+
+def decode_payload(df: DataFrame, value_col: str, schema, keep: Sequence[str] = (),
+                   fmt: str = "avro") -> DataFrame:
     """Binary column -> typed columns of ``schema`` (plus ``keep`` columns).
-    Works on batch and streaming frames."""
-    st = _as_schema(schema)
-    keep = list(keep)
-    if avro_available(df.sparkSession):
+    Works on batch and streaming frames; a null message gives nulls."""
+    _check_format(fmt)
+    st, keep = _as_schema(schema), list(keep)
+    if fmt == "avro":
         from pyspark.sql.avro.functions import from_avro
-        rec = from_avro(F.col(value_col), avro_schema_json(st))
+        rec = from_avro(F.col(value_col), avro_schema_json(st), {"mode": "FAILFAST"})
         return df.select(*keep, rec.alias("_rec")).select(*keep, "_rec.*")
-    spec = _spec(st)
-    # decoded fields are nullable: a null message (a tombstone) decodes to nulls
     decoded = [T.StructField(f.name, f.dataType, True) for f in st.fields]
+    if fmt == "json":
+        rec = F.from_json(F.col(value_col).cast("string"), T.StructType(decoded), {"mode": "FAILFAST"})
+        # a message that was there must have given its required fields
+        lost = [f.name for f in st.fields if not f.nullable]
+        gap = F.col(value_col).isNotNull() & (F.lit(False) if not lost else
+                                              F.greatest(*[F.col(f"_rec.{c}").isNull() for c in lost], F.lit(False)))
+        rows = df.select(*keep, value_col, rec.alias("_rec"))
+        cols = [F.when(gap, F.raise_error(F.lit(f"a record lacks one of {lost}"))).otherwise(F.col(f"_rec.{f.name}"))
+                .cast(f.dataType).alias(f.name) for f in st.fields]
+        return rows.select(*keep, *cols)
+    fixed = _fixed_dtype(st)
     out = T.StructType([df.schema[k] for k in keep] + decoded)
     arrow_schema = _arrow_schema(df.sparkSession, out)
-    return spread_narrow_input(df.select(*keep, value_col)).mapInArrow(
-        lambda it: _decode_batches(it, value_col, keep, spec, arrow_schema), out)
+    return df.select(*keep, value_col).mapInArrow(
+        lambda it: _decode_batches(it, value_col, keep, fixed, arrow_schema), out)
 
 
 def encode_payload(df: DataFrame, cols: Sequence[str], out_col: str = "value",
-                   keep: Sequence[str] = (), schema=None) -> DataFrame:
+                   keep: Sequence[str] = (), schema=None, fmt: str = "avro") -> DataFrame:
     """Typed columns -> one binary payload column (plus ``keep`` columns)."""
+    _check_format(fmt)
     cols, keep = list(cols), list(keep)
     st = _as_schema(schema) if schema is not None else T.StructType([df.schema[c] for c in cols])
     if sorted(cols) != sorted(st.names):
         raise ValueError(f"payload columns {cols} do not match the record fields {st.names}")
     cols = list(st.names)  # record field order, paired by name
-    if avro_available(df.sparkSession):
+    if fmt == "avro":
         from pyspark.sql.avro.functions import to_avro
         return df.select(*keep, to_avro(F.struct(*cols), avro_schema_json(st)).alias(out_col))
-    spec = _spec(st)
+    if fmt == "json":
+        record = F.to_json(F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in st.fields]))
+        return df.select(*keep, record.cast("binary").alias(out_col))
+    fixed = _fixed_dtype(st)
     out = T.StructType([df.schema[k] for k in keep] + [T.StructField(out_col, T.BinaryType())])
     arrow_schema = _arrow_schema(df.sparkSession, out)
-    return spread_narrow_input(df.select(*keep, *cols)).mapInArrow(
-        lambda it: _encode_batches(it, cols, keep, spec, out_col, arrow_schema), out)
+    return df.select(*keep, *cols).mapInArrow(
+        lambda it: _encode_batches(it, cols, keep, fixed, out_col, arrow_schema), out)

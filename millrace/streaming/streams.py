@@ -2,9 +2,9 @@
 
 Sources are any ``readStream`` format: ``kafka`` where its package is
 deployed, file formats (parquet, csv, json, text) everywhere. Sinks always
-set a checkpoint location (exactly-once file sink, restartable query) and
-runs are bounded: ``availableNow`` processes what is there in one or more
-micro-batches and stops, and every wait has a timeout.
+set a checkpoint location (exactly-once file sink, restartable query).
+``availableNow`` processes what is there in one or more micro-batches and
+stops; a wait is bounded only where the caller asks for it.
 """
 
 from __future__ import annotations
@@ -14,9 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-DEFAULT_TIMEOUT = 900
-
-
 def open_stream(spark: SparkSession, fmt: str, path: str | None = None, schema=None,
                 **options) -> DataFrame:
     """``readStream`` of any format; file sources need a schema."""
@@ -27,29 +24,10 @@ def open_stream(spark: SparkSession, fmt: str, path: str | None = None, schema=N
     return reader.load(path) if path is not None else reader.load()
 
 
-def land_files(df: DataFrame, path: str, min_files: int, fmt: str = "parquet") -> str:
-    """Publish a frame to a landing folder - the file counterpart of a topic,
-    which a file stream source then consumes. One file per partition; a
-    frame with fewer than ``min_files`` partitions is spread first, a wide
-    one keeps its partitioning (no shuffle, file size stays bounded)."""
-    try:
-        narrow = df.rdd.getNumPartitions() < min_files
-    except Exception:  # no RDD view: write as is
-        narrow = False
-    publish(df.repartition(min_files) if narrow else df, fmt, path)
-    return path
-
-
-def files_per_trigger(spark: SparkSession, path: str, batches: int, fmt: str = "parquet") -> int:
-    """``maxFilesPerTrigger`` that drains a landing folder in about
-    ``batches`` micro-batches, whatever its size (file listing only)."""
-    n_files = len(spark.read.format(fmt).load(path).inputFiles())
-    return max(1, -(-n_files // batches))
-
-
-def await_query(query: StreamingQuery, timeout: float = DEFAULT_TIMEOUT) -> StreamingQuery:
-    """Block until the query stops (bounded); re-raise its failure."""
-    finished = query.awaitTermination(timeout)
+def await_query(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
+    """Block until the query stops and re-raise its failure. An ``availableNow``
+    run ends by itself; a ``timeout`` in seconds stops the query and raises."""
+    finished = query.awaitTermination(timeout) if timeout is not None else query.awaitTermination() or True
     if not finished:
         query.stop()
         raise TimeoutError(f"stream {query.name or query.id} still running after {timeout}s")
@@ -71,7 +49,7 @@ def _writer(stream: DataFrame, checkpoint: str | None, trigger: dict | None, nam
 
 def to_parquet(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                partition_by=None, wait: bool = True,
-               timeout: float = DEFAULT_TIMEOUT) -> StreamingQuery:
+               timeout: float | None = None) -> StreamingQuery:
     """Append a stream to parquet files (exactly once via the checkpoint)."""
     w = _writer(stream, checkpoint, trigger, None).format("parquet").outputMode("append")
     if partition_by:
@@ -82,7 +60,7 @@ def to_parquet(stream: DataFrame, path: str, checkpoint: str, trigger: dict | No
 
 def to_console(stream: DataFrame, checkpoint: str, trigger: dict | None = None,
                num_rows: int = 20, wait: bool = True,
-               timeout: float = DEFAULT_TIMEOUT) -> StreamingQuery:
+               timeout: float | None = None) -> StreamingQuery:
     """Print each micro-batch (append mode); for inspection only."""
     q = (_writer(stream, checkpoint, trigger, None).format("console").outputMode("append")
          .option("numRows", num_rows).option("truncate", False).start())
@@ -90,15 +68,17 @@ def to_console(stream: DataFrame, checkpoint: str, trigger: dict | None = None,
 
 
 def to_memory(stream: DataFrame, name: str, checkpoint: str, trigger: dict | None = None,
-              wait: bool = True, timeout: float = DEFAULT_TIMEOUT) -> StreamingQuery:
-    """Collect a stream into an in-memory table (tests and small results)."""
-    q = _writer(stream, checkpoint, trigger, name).format("memory").outputMode("append").start()
+              wait: bool = True, timeout: float | None = None,
+              output_mode: str = "append") -> StreamingQuery:
+    """Collect a stream into an in-memory table on the driver (tests and small
+    results, such as counts by a few keys)."""
+    q = _writer(stream, checkpoint, trigger, name).format("memory").outputMode(output_mode).start()
     return await_query(q, timeout) if wait else q
 
 
 def for_each_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
                    trigger: dict | None = None, wait: bool = True,
-                   timeout: float = DEFAULT_TIMEOUT) -> StreamingQuery:
+                   timeout: float | None = None) -> StreamingQuery:
     """Run ``fn(batch_df, batch_id)`` per micro-batch; ``fn`` works on the
     whole micro-batch as a DataFrame (distributed), and should be idempotent
     per ``batch_id`` because a batch is replayed after a failure."""
@@ -123,39 +103,33 @@ def score_stream(model, stream: DataFrame) -> DataFrame:
     return model.transform(stream)
 
 
-def kafka_available(spark: SparkSession) -> bool:
-    """True when the Kafka source/sink package is on the classpath."""
-    try:
-        spark._jvm.java.lang.Class.forName(
-            "org.apache.spark.sql.kafka010.KafkaSourceProvider")
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+def open_topic(spark: SparkSession, topic: str, fmt: str = "kafka", servers: str | None = None,
+               path: str | None = None, **options) -> DataFrame:
+    """Messages of a topic as a stream with (at least) a binary ``value`` column.
 
-
-def open_topic(spark: SparkSession, topic: str, servers: str | None = None,
-               landing: str | None = None, **options) -> DataFrame:
-    """Messages of a topic as a stream with (at least) a binary ``value``
-    column: from Kafka when its package is deployed and ``servers`` are
-    given, else from the topic's landing folder of parquet files."""
-    if servers and kafka_available(spark):
+    ``fmt`` says where they are: ``"kafka"`` needs ``servers`` (and Spark's Kafka
+    package, whose absence raises); a file format needs the ``path`` of the
+    folder that the topic's messages are written to."""
+    if fmt == "kafka":
+        if not servers:
+            raise ValueError(f"topic {topic!r}: the kafka format needs servers")
         # a bounded run must see the messages already in the topic
-        return open_stream(spark, "kafka", **{"kafka.bootstrap.servers": servers,
-                                              "subscribe": topic,
+        return open_stream(spark, "kafka", **{"kafka.bootstrap.servers": servers, "subscribe": topic,
                                               "startingOffsets": "earliest", **options})
-    if landing is None:
-        raise ValueError(f"no Kafka for topic {topic!r} and no landing folder given")
-    schema = spark.read.parquet(landing).schema
-    return open_stream(spark, "parquet", f"{landing.rstrip('/')}", schema, **options)
+    if path is None:
+        raise ValueError(f"topic {topic!r}: the {fmt} format needs a path")
+    return open_stream(spark, fmt, path, spark.read.format(fmt).load(path).schema, **options)
 
 
-def publish_topic(df: DataFrame, topic: str, servers: str | None = None,
-                  landing: str | None = None) -> None:
-    """Publish ``value`` (and ``key``) rows to a Kafka topic, or append them
-    to the topic's landing folder when Kafka is not deployed."""
-    if servers and kafka_available(df.sparkSession):
+def publish_topic(df: DataFrame, topic: str, fmt: str = "kafka", servers: str | None = None,
+                  path: str | None = None) -> None:
+    """Publish ``value`` (and ``key``) rows to a topic, where ``fmt`` says (see
+    ``open_topic``)."""
+    if fmt == "kafka":
+        if not servers:
+            raise ValueError(f"topic {topic!r}: the kafka format needs servers")
         publish(df, "kafka", topic=topic, **{"kafka.bootstrap.servers": servers})
-    elif landing is not None:
-        publish(df, "parquet", landing)
+    elif path is None:
+        raise ValueError(f"topic {topic!r}: the {fmt} format needs a path")
     else:
-        raise ValueError(f"no Kafka for topic {topic!r} and no landing folder given")
+        publish(df, fmt, path)

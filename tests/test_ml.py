@@ -60,11 +60,48 @@ def test_kmeans_rows_nearest_centre(spark):
         assert d[r.cluster] <= d.min() + 1e-9
 
 
-def test_cross_validation_and_best_params(spark):
-    rows = mq.q_cross_validate(spark, SF01).collect()
-    assert len(rows) == 2 and all(0.88 <= r.avg_metric <= 1.0 for r in rows)
-    params = {r.param: r.value for r in mq.q_best_model_params(spark, SF01).collect()}
-    assert params["maxIter"] == "10"
+def test_folds_by_column_do_not_depend_on_the_partitions(spark):
+    from pyspark.ml import Pipeline
+
+    from millrace.operators.models import accuracy_evaluator, cross_validate, naive_bayes, param_grid
+    df = mq.signal_frame(spark, "/root/testdata/sf0.001").withColumn("fold", F.expr("CAST(pmod(l_orderkey, 3) AS INT)"))
+    nb = naive_bayes()
+    pipe, grid = Pipeline(stages=[mq.assembler(mq.NB_FEATURES, "features"), nb]), param_grid(nb, {"smoothing": [0.1, 1.0]})
+    scores = [cross_validate(pipe, grid, accuracy_evaluator(), df.repartition(n), folds=3, fold_col="fold").avgMetrics
+              for n in (1, 5)]
+    assert np.allclose(scores[0], scores[1], atol=1e-12) and len(scores[0]) == 2
+
+
+def test_confusion_matrix_of_many_classes(spark):
+    df = spark.range(15000).selectExpr("CAST(id % 5000 AS DOUBLE) AS label", "CAST(id % 4999 AS DOUBLE) AS prediction")
+    cells = confusion_matrix(df)
+    assert cells.agg(F.sum("n")).first()[0] == 15000
+    assert cells.select("label").distinct().count() == 5000
+
+
+def test_regression_metrics_with_a_large_offset(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    for offset in (0.0, 1e9):
+        label = F.lit(offset) + F.col("id") % 2
+        off = F.when(F.col("id") % 10 == 0, 0.5).otherwise(0.0)
+        df = spark.range(1000).select(label.alias("label"), (label + off).alias("prediction"))
+        ours = regression_metrics(df).first()
+        assert abs(ours.r2 - 0.9) < 1e-9 and abs(ours.mse - 0.025) < 1e-9
+        y = np.array([i % 2 for i in range(1000)])
+        p = y + np.where(np.arange(1000) % 10 == 0, 0.5, 0)
+        assert abs(ours.explained_variance - ((p - y.mean()) ** 2).mean()) < 1e-8  # a double at 1e9 ends at 1e-7
+        for name, key in (("mse", "mse"), ("r2", "r2"), ("mae", "mae")):
+            assert abs(ours[key] - RegressionEvaluator(metricName=name).evaluate(df)) < 1e-9, (offset, name)
+
+
+def test_areas_skip_missing_scores_and_read_vectors(spark):
+    from pyspark.ml.functions import array_to_vector
+    rows = [(1.0, 0.9), (0.0, 0.8), (1.0, 0.3), (0.0, 0.1)]
+    df = spark.createDataFrame(rows + [(1.0, None), (None, 0.5)], "label double, score double")
+    plain = spark.createDataFrame(rows, "label double, score double")
+    assert auc_score(df).first() == auc_score(plain).first() and auc_pr(df).first() == auc_pr(plain).first()
+    vectors = plain.select("label", array_to_vector(F.array(-F.col("score"), F.col("score"))).alias("rawPrediction"))
+    assert auc_score(vectors, score="rawPrediction").first() == auc_score(plain).first()
 
 
 def test_model_save_load_same_scores(spark, scratch):
@@ -91,7 +128,7 @@ def test_evaluation_small(spark):
     assert auc_hard(df).first().auc == 0.5
     assert abs(auc_score(df).first().auc - 0.75) < 1e-12
     assert 0 < auc_pr(df).first().auc_pr <= 1
-    cm = {(r.label, r.prediction): r.n for r in confusion_matrix(df, n_classes=3).collect()}
+    cm = {(r.label, r.prediction): r.n for r in confusion_matrix(df, dense=True, labels=range(3)).collect()}
     assert len(cm) == 9 and cm[(1.0, 1.0)] == 1 and cm[(2.0, 2.0)] == 0
     m = regression_metrics(df).first()
     assert abs(m.mse - 0.5) < 1e-12 and abs(m.mae - 0.5) < 1e-12 and abs(m.r2 - (-1.0)) < 1e-12
@@ -164,7 +201,7 @@ def test_confusion_orientation_and_positive_cells(spark):
     from millrace.operators.evaluation import outcome_counts
     df = spark.createDataFrame([(1.0, 0.0), (1.0, 0.0), (0.0, 1.0), (1.0, 1.0)],
                                "label double, prediction double")
-    cm = {(r.label, r.prediction): r.n for r in confusion_matrix(df).collect()}
+    cm = {(r.label, r.prediction): r.n for r in confusion_matrix(df, dense=True, labels=[0, 1]).collect()}
     assert cm == {(0.0, 0.0): 0, (0.0, 1.0): 1, (1.0, 0.0): 2, (1.0, 1.0): 1}  # rows = actual
     one = outcome_counts(df).first()
     assert (one.tp, one.fp, one.fn, one.tn) == (1, 1, 2, 0)
@@ -212,10 +249,10 @@ def test_metric_edge_cases_after_review(spark):
     m = regression_metrics(df).first()  # only the complete pair (1, 1) counts
     assert (m.mse, m.mae) == (0.0, 0.0)
     nan = spark.createDataFrame([(0.0, 0.0), (1.0, float("nan"))], "label double, prediction double")
-    cells = {(r.label, r.prediction): r.n for r in confusion_matrix(nan).collect()
+    cells = {(r.label, r.prediction): r.n for r in confusion_matrix(nan, dense=True, labels=[0, 1]).collect()
              if r.prediction == r.prediction}
     assert cells[(0.0, 0.0)] == 1 and cells[(1.0, 1.0)] == 0 and len(cells) == 4
-    assert confusion_matrix(nan).count() == 5  # the NaN cell is still reported
+    assert confusion_matrix(nan, dense=True, labels=[0, 1]).count() == 5  # the NaN cell is still reported
     nulls = spark.createDataFrame([(0.0, 0.0), (None, 1.0)], "label double, prediction double")
     rows = per_class_metrics(nulls).collect()
     assert sum(1 for r in rows if r["class"] is None) == 1  # only the weighted summary

@@ -4,13 +4,14 @@ driver runs sf0.01). Rows-only queries must run and return rows."""
 import pytest
 
 import __spark_entry__ as entry
+from millrace import plans
 from conftest import SF001
 from tools.oracle_check import _rows, duck
 
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
                  "float": "FLOAT", "boolean": "BOOLEAN", "binary": "BLOB"}
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = plans.queries()
+SQL = plans.oracle_sql()
 
 
 @pytest.fixture(scope="module")

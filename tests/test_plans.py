@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF001
-from millrace.operators.joins import broadcast_if_bounded
-from millrace.operators.partitioning import spread_narrow_input
 
 Q = entry.queries()
 
@@ -38,7 +36,7 @@ def test_filters_reach_the_scan(spark):
 
 def test_dimension_join_broadcasts_and_prunes(spark):
     plan = plan_of(Q["literal_rows"](spark, SF001))
-    assert plan.count("BroadcastHashJoin") == 2
+    assert plan.count("BroadcastHashJoin") == 2  # sized by Spark
     assert "struct<c_nationkey:int>" in read_schemas(plan)
     # partial aggregate below the only shuffle
     assert re.search(r"Exchange hashpartitioning\(code.*\n.*partial_count", plan)
@@ -57,28 +55,17 @@ def test_kmeans_step_uses_constant_centres_and_partial_vector_mean(spark):
     assert "partial_aggregate_metrics" in plan and "Join" not in plan
 
 
-def test_confusion_matrix_reuses_cell_shuffle(spark):
-    plan = plan_of(Q["confusion_matrix"](spark, SF001), final=True)
-    assert "ReusedExchange" in plan
+def test_confusion_cells_are_one_exchange_without_a_join(spark):
+    plan = plan_of(Q["confusion_cells"](spark, SF001))
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert "Join" not in plan_of(Q["confusion_matrix"](spark, SF001))
 
 
-def test_broadcast_only_behind_size_check(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert "ResolvedHint (strategy=broadcast)" in \
-        broadcast_if_bounded(small, max_rows=10)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in \
-        broadcast_if_bounded(big, max_rows=10)._jdf.queryExecution().analyzed().toString()
-
-
-def test_spread_is_noop_on_wide_input(spark):
-    par = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, 1, numPartitions=4 * par)
-    assert spread_narrow_input(wide) is wide
-    narrow = spark.range(0, 1000, 1, numPartitions=1)
-    assert spread_narrow_input(narrow).rdd.getNumPartitions() == 2 * par
-    stream_like = spark.readStream.format("rate").load()
-    assert spread_narrow_input(stream_like) is stream_like
+def test_tokens_have_no_forced_shuffle(spark):
+    assert "Exchange" not in plan_of(Q["tokenize"](spark, SF001))
+    assert plan_of(Q["token_count"](spark, SF001)).count("Exchange") == 1
+    assert "Exchange" not in plan_of(Q["payload_round_trip"](spark, SF001))
+    assert "Exchange" not in plan_of(Q["random_split"](spark, SF001))
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):
@@ -94,10 +81,14 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert out.filter("word = 'hot'").first().n == 10000
 
 
-def test_cache_only_for_iterative_fits():
+def test_fits_read_only_the_columns_they_need(spark):
     from millrace.operators.features import assembler, indexer, scaler
-    from millrace.operators.models import (logistic_regression, naive_bayes, needs_cache,
-                                           random_forest)
-    assert not needs_cache([indexer(["a"], ["b"]), assembler(["b"]), naive_bayes()])
-    assert needs_cache([assembler(["b"], "raw"), scaler("raw", "features"), logistic_regression()])
-    assert needs_cache([assembler(["b"]), random_forest()])
+    from millrace.operators.models import fit_pipeline, logistic_regression, needed_columns
+    df = spark.range(40).selectExpr("id", "CAST(id % 2 AS DOUBLE) AS label", "id * 0.5 AS x", "'wide' AS other",
+                                    "id % 3 AS kind")
+    stages = [assembler(["x"], "raw"), scaler("raw", "features"), logistic_regression(max_iter=2)]
+    assert needed_columns(stages, df) == ["label", "x"]
+    assert needed_columns([indexer(["other"], ["o"])], df) == ["other"]
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    fit_pipeline(stages, df)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
