@@ -4,15 +4,20 @@
    set's digest, ``BANDS * ROWS`` universal-hash minima cut to a byte each,
    and a key per band. Texts with equal sets become one class; only the
    smallest id of a class goes on.
-2. Members of a band's bucket are paired with one member of it, the hub, picked
-   by a hash so that each band has other hubs: pairs grow with the rows, not
-   with the square of a bucket. Signatures estimate each pair's similarity.
+2. Members of a band's bucket are paired with one member of it, the hub: the one
+   whose buckets are largest together, which in a group of copies is the text
+   they were made from. Pairs grow with the rows, not with the square of a
+   bucket. Signatures estimate each pair's similarity.
 3. Each member's best hub is checked on the full sets; the links give
    components by alternating large-star and small-star.
-4. Pairs of a bucket that are still in different components are all
-   compared, first by size and signature, then on full sets, so that no pair
-   of a bucket that the threshold links is lost. The components of all links
-   are the result.
+4. Documents that share a bucket but not a component are compared exactly: their
+   shingles are put in one order, rare ones first. Two sets that the
+   threshold links have a shingle in common among the first quarter of each, and
+   at the first such place enough shingles are left on both sides. Pairs of
+   different components that pass this are checked by signature and on full
+   sets, so no pair of a bucket that the threshold links is lost. Texts that
+   differ have shingles of their own, which fill their first quarter, so few
+   pairs remain. The components of all links are the result.
 
 A pair at the threshold 0.75 shares no bucket with probability
 ``(1 - 0.75 ** 5) ** 48``, 2e-6, and its estimate falls below ``ESTIMATE_MIN``,
@@ -31,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import cut, text_blocks, text_bytes
@@ -190,10 +195,9 @@ def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return _with_both(pairs, reps, "sig").mapInArrow(run, "a long, b long, estimate double")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough, as edges (u, v)."""
-    pairs = cut(pairs, "pairs")
-    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
+def _full_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, shingles): the whole sets of some documents, from their texts."""
+    ids = cut(ids.distinct(), "set-ids")
     small = ids.count() <= BROADCAST_IDS
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("raw"))
              .join(F.broadcast(ids) if small else ids, "doc_id", "left_semi"))
@@ -201,23 +205,46 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = Sketcher()
         for batch in batches:
-            found = [sketcher.shingles(t.as_py()).tobytes() for t in batch.column("raw")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())],
+            found = [sketcher.shingles(t.as_py()).view(np.int64) for t in batch.column("raw")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))],
                                              ["doc_id", "shingles"])
 
-    def similar(x: bytes, y: bytes) -> bool:
-        a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        both = len(a) + len(b) - len(np.union1d(a, b))
-        return 100 * both >= percent * (len(a) + len(b) - both)
+    return cut(texts.mapInArrow(sets, "doc_id long, shingles array<long>"), "shingle-sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough, as edges (u, v)."""
+
+    def similar(x, y) -> bool:
+        both = len(np.intersect1d(x.values.to_numpy(), y.values.to_numpy(), assume_unique=True))
+        return 100 * both >= percent * (len(x) + len(y) - both)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [similar(x.as_py(), y.as_py()) for x, y in zip(batch.column("x"), batch.column("y"))]
+            good = [similar(x, y) for x, y in zip(batch.column("x"), batch.column("y"))]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")],
                                              ["u", "v"]).filter(pa.array(good, pa.bool_()))
 
-    known = cut(texts.mapInArrow(sets, "doc_id long, shingles binary"), "shingle-sets")
-    return cut(_with_both(pairs, known, "shingles").mapInArrow(run, "u long, v long"), "links")
+    return cut(_with_both(pairs, sets, "shingles").mapInArrow(run, "u long, v long"), "links")
+
+
+def _prefix_pairs(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components that can reach the threshold; ``apart`` is
+    (doc_id, n_shingles, component). Places count from 0 in the order of rarity;
+    a shingle that no other of these documents has takes a place but no row."""
+    shingles = sets.select("doc_id", F.explode("shingles").alias("shingle"))
+    common = shingles.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    each, ranked = Window.partitionBy("doc_id"), Window.partitionBy("doc_id").orderBy("df", "shingle")
+    rows = (shingles.join(common, "shingle").join(apart, "doc_id")
+            .withColumn("place", F.col("n_shingles") - F.count("*").over(each) + F.row_number().over(ranked) - 1)
+            .where(F.expr(f"place <= n_shingles - ceil({percent} * n_shingles / 100)")))
+    rows = cut(rows.select("shingle", "doc_id", "n_shingles", "component", "place"), "prefixes")
+    can = F.expr(f"""x.component < y.component
+        AND x.n_shingles * 100 >= y.n_shingles * {percent} AND y.n_shingles * 100 >= x.n_shingles * {percent}
+        AND least(x.n_shingles - x.place, y.n_shingles - y.place) * {100 + percent}
+            >= {percent} * (x.n_shingles + y.n_shingles)""")
+    pairs = rows.alias("x").join(rows.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & can)
+    return pairs.select(*_pair(F.col("x.doc_id"), F.col("y.doc_id"))).distinct()
 
 
 def _pair(a, b) -> list:
@@ -233,29 +260,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = named.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"])
     reps = cut(reps.select("doc_id", "digest", "n_shingles", "sig", "keys"), "classes")
 
-    rows = reps.select("doc_id", "n_shingles", F.explode("keys").alias("key"))
-    hubs = (rows.groupBy("key").agg(F.min_by("doc_id", F.xxhash64("doc_id", "key")).alias("hub"),
-                                    F.count("*").alias("n")).where("n > 1").drop("n"))
-    shared = cut(rows.join(hubs, "key"), "buckets")  # buckets of one document are gone
+    rows = reps.select("doc_id", F.explode("keys").alias("key"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = cut(rows.join(sizes, "key"), "buckets")  # buckets of one document are gone
+    weights = shared.groupBy("doc_id").agg(F.sum("n").alias("weight"))
+    hubs = (shared.join(weights, "doc_id").groupBy("key")
+            .agg(F.max_by("doc_id", F.struct("weight", -F.col("doc_id"))).alias("hub")))
 
-    starred = shared.where("doc_id <> hub").select(*_pair(F.col("doc_id"), F.col("hub"))).distinct()
-    scored = _estimated(starred, reps)
-    best = cut(scored.groupBy("b").agg(F.max_by("a", "estimate").alias("a")).select("a", "b"), "best-hubs")
-    links = _confirmed(best, docs, id_col, text_col, percent)
+    starred = shared.join(hubs, "key").where("doc_id <> hub").select("doc_id", "hub").distinct()
+    scored = _estimated(starred.select(F.col("doc_id").alias("a"), F.col("hub").alias("b")), reps)
+    best = cut(scored.groupBy("a").agg(F.max_by("b", "estimate").alias("b")), "best-hubs")
+    links = _confirmed(best, _full_sets(best.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, id_col,
+                                        text_col), percent)
 
     joined = components(links)
-    placed = (shared.select("key", "doc_id", "n_shingles")
-              .join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    placed = (shared.select("key", "doc_id").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
               .withColumn("component", F.coalesce("component", "doc_id")))
     split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    apart = cut(placed.join(split.select("key"), "key", "left_semi"), "apart")
-    x, y = apart.alias("x"), apart.alias("y")
-    near = (F.col("x.component") < F.col("y.component")) \
-        & (F.col("x.n_shingles") * 100 >= F.col("y.n_shingles") * percent) \
-        & (F.col("y.n_shingles") * 100 >= F.col("x.n_shingles") * percent)
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & near) \
-        .select(*_pair(F.col("x.doc_id"), F.col("y.doc_id"))).distinct()
-    more = _confirmed(_estimated(rest, reps).select("a", "b"), docs, id_col, text_col, percent)
+    apart = placed.join(split.select("key"), "key", "left_semi").select("doc_id", "component").distinct()
+    apart = cut(apart.join(reps.select("doc_id", "n_shingles"), "doc_id"), "apart")
+    sets = _full_sets(apart.select("doc_id"), docs, id_col, text_col)
+    near = cut(_estimated(_prefix_pairs(apart, sets, percent), reps).select("a", "b"), "near-pairs")
+    more = _confirmed(near, sets, percent)
 
     whole = components(links.unionByName(more))
     classed = (reps.select("digest", F.col("doc_id").alias("node")).join(whole, "node", "left")
