@@ -33,7 +33,7 @@ def summarise(plan: str) -> dict:
 
 def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    import __spark_entry__ as e
+    from millrace import plans
     from millrace.plans.registry import REGISTRY
     from millrace.session import build_session
     spark = build_session()
@@ -42,8 +42,8 @@ def main(argv):
           "AQE may still coalesce partitions, switch joins to broadcast and reuse exchanges).\n")
     print("| query | oracle | shuffles | broadcasts | scans | aggregates (partial+final) | python stages |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
-    for name in sorted(e.queries()):
-        df = e.queries()[name](spark, sf_dir)
+    for name, fn in sorted(plans.queries().items()):
+        df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
         oracle = "SQL" if REGISTRY[name].sql else "rows"
