@@ -46,7 +46,8 @@ _QUOTE = re.compile(rf"([{_FIRST}])(\\*)(?={_REST})")
 _UNQUOTE = re.compile(rf"([{_FIRST}])\\(\\*)(?={_REST})")
 _SEGMENT = re.compile(re.escape(START) + r"([^\n]*)\n(.*)" + re.escape(END) + r"\n", re.DOTALL)
 
-ROLE_NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
+# The role names of layouts that use their own
+SHARED_NAMES = (("human", "user"), ("gpt", "assistant"))
 
 
 def escape(text: str) -> str:
@@ -64,6 +65,7 @@ class Layout:
     ``turns`` is the path of the list of messages ("" for a record that is one
     message) with ``role`` and ``text`` paths inside a message; or ``fields``
     states the turns outright as (role, field paths joined by a blank line).
+    ``names`` are role names that the layout has for others.
     """
 
     name: str
@@ -73,6 +75,7 @@ class Layout:
     role: str = "role"
     text: str = "content"
     fields: tuple[tuple[str, tuple[str, ...]], ...] = field(default=())
+    names: tuple[tuple[str, str], ...] = ()
 
     def fingerprints(self) -> Iterator[str]:
         for k in range(len(self.optional) + 1):
@@ -101,12 +104,13 @@ LAYOUTS = (
     Layout("flat turn", ("role", "text"), turns="", text="text"),
     Layout("flat content", ("role", "content"), turns="", text="content"),
     Layout("message", ("message.role", "message.content"), turns="", role="message.role", text="message.content"),
-    Layout("from and value", ("from", "value"), turns="", role="from", text="value"),
+    Layout("from and value", ("from", "value"), turns="", role="from", text="value", names=SHARED_NAMES),
+    Layout("speaker", ("turn.speaker", "turn.utterance"), turns="", role="turn.speaker", text="turn.utterance"),
     Layout("author and parts", ("author.role", "content.content_type", "content.parts[]"), turns="",
            role="author.role", text="content.parts"),
     Layout("messages", ("messages[].role", "messages[].content"), ("id", "source"), turns="messages"),
     Layout("conversations", ("conversations[].from", "conversations[].value"), ("id",), turns="conversations",
-           role="from", text="value"),
+           role="from", text="value", names=SHARED_NAMES),
     Layout("no messages", ("messages[]",), ("id", "source"), turns="messages"),
     Layout("prompt and completion", ("prompt", "completion"), ("system",),
            fields=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("completion",)))),
@@ -145,9 +149,9 @@ def _text(value) -> str:
     return text.encode("utf-8", "replace").decode()
 
 
-def _role(value) -> str:
+def _role(value, names: dict[str, str]) -> str:
     name = " ".join(_text(value).split("\n"))
-    return ROLE_NAMES.get(name, name)
+    return names.get(name, name)
 
 
 def read_turns(record: str | None, layouts: dict[str, Layout]) -> tuple[str, str | None, list[tuple[str, str]]]:
@@ -166,7 +170,8 @@ def read_turns(record: str | None, layouts: dict[str, Layout]) -> tuple[str, str
                  if any(_get(value, p) is not None for p in paths) or role != "system"]
         return mark, layout.name, turns
     messages = [value] if layout.turns == "" else _get(value, layout.turns) or []
-    return mark, layout.name, [(_role(_get(m, layout.role)), _text(_get(m, layout.text))) for m in messages]
+    names = dict(layout.names)
+    return mark, layout.name, [(_role(_get(m, layout.role), names), _text(_get(m, layout.text))) for m in messages]
 
 
 def canonical_turns(records: DataFrame, record_col: str = "record", conv_col: str = "conv_id",

@@ -20,7 +20,7 @@ def conversation_records(conversations: DataFrame) -> DataFrame:
     layouts = [
         F.struct(role.alias("role"), text.alias("text")),
         F.struct(F.struct(role.alias("role"), text.alias("content")).alias("message")),
-        F.struct(role.alias("from"), text.alias("value")),
+        F.struct(F.struct(role.alias("speaker"), text.alias("utterance")).alias("turn")),
         F.struct(F.struct(role.alias("role")).alias("author"),
                  F.struct(F.lit("text").alias("content_type"), F.array(text).alias("parts")).alias("content")),
     ]

@@ -14,6 +14,7 @@ MIXED = [
     ({"role": "user", "text": "a"}, [("user", "a")]),
     ({"message": {"role": "assistant", "content": "b"}}, [("assistant", "b")]),
     ({"from": "gpt", "value": "c"}, [("assistant", "c")]),
+    ({"turn": {"speaker": "human", "utterance": "c"}}, [("human", "c")]),
     ({"author": {"role": "user"}, "content": {"content_type": "text", "parts": ["x", "y"]}}, [("user", "xy")]),
     ({"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "r"}]},
      [("user", "q"), ("assistant", "r")]),
