@@ -22,8 +22,22 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in Arrow batches of at most ``BATCH_ROWS`` rows: Spark's
+    default of 10,000 rows is made for numbers, and a batch of long texts is held
+    by the JVM and by the Python worker at once. It changes no result; a smaller
+    setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table."""
+    """A driver table, read for operators that run Python on it."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 

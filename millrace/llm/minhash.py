@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, text_blocks, text_bytes
+from millrace.llm.common import cut, text_blocks, text_bytes, worker_keeps
 from millrace.llm.components import components
 
 SHINGLE = 5
@@ -155,7 +155,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("raw"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketcher = Sketcher()
+        sketcher = worker_keeps(("sketcher",), Sketcher)
         for batch in batches:
             sizes, digests, sigs, keys = [], [], [], []
             for raw in batch.column("raw"):
@@ -203,7 +203,7 @@ def _full_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> D
              .join(F.broadcast(ids) if small else ids, "doc_id", "left_semi"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketcher = Sketcher()
+        sketcher = worker_keeps(("sketcher",), Sketcher)
         for batch in batches:
             found = [sketcher.shingles(t.as_py()).view(np.int64) for t in batch.column("raw")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))],

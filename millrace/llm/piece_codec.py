@@ -39,7 +39,7 @@ from millrace.llm.common import Memo, sha256_hex, worker_keeps
 
 BLANK = "▁"
 DROPOUT, SEED, VARIANTS = 0.1, 42, 4
-MEMO_ENTRIES = 60_000  # per key, twice at most
+MEMO_ENTRIES = 40_000  # per key, twice at most
 ROWS_AT_ONCE = 512
 SHORT, TOGETHER = 40, 2048  # characters of a short word; words merged together
 NEVER = 1 << 30
