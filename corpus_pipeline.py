@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import decontaminate, exact_dedup, minhash, piece_codec, quality_mil
-from millrace.llm.common import cut, table
+from millrace.llm.common import bounded_batches, cut, table
 from millrace.llm.queries_text import QUALITY_THRESHOLD, quality_model
 
 
@@ -21,11 +21,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest id."""
+    bounded_batches(spark)
     return exact_dedup.drop_rows(docs, exact_dedup.mark_duplicates(*exact_dedup.earlier_batch(docs)))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the row with the smallest id."""
+    bounded_batches(spark)
     return exact_dedup.drop_rows(docs, minhash.near_duplicates(docs))
 
 
@@ -36,6 +38,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids): SentencePiece ids with merge-dropout."""
+    bounded_batches(spark)
     return piece_codec.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
