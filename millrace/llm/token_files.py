@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Memo
+from millrace.llm.common import Memo, worker_keeps
 
 MEMO_ENTRIES = 250_000
 ROWS_AT_ONCE = 256
@@ -101,7 +101,7 @@ def encode_sorted(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, start = WordEncoder(tokenizer_path), 0
+        encoder, start = worker_keeps(("words", tokenizer_path), lambda: WordEncoder(tokenizer_path)), 0
         end = array.array("I", [end_id]).tobytes()
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
