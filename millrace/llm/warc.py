@@ -94,6 +94,18 @@ def _open(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri) if ":" in uri else f"file://{uri}")
 
 
+class Stretch:
+    """The next ``length`` bytes of an open file, as a file of their own."""
+
+    def __init__(self, handle, length: int):
+        self.handle, self.left = handle, length
+
+    def read(self, size: int) -> bytes:
+        piece = self.handle.read(min(size, self.left))
+        self.left -= len(piece)
+        return piece
+
+
 class InflatedStream:
     """Bytes of a gzip file of one or many members, inflated chunk by chunk."""
 
@@ -213,7 +225,7 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = False,
                         handle.close()
                     opened, handle = archive, fs.open_input_file(f"{base}/{archive}")
                 handle.seek(offset)
-                stream = InflatedStream(handle)
+                stream = InflatedStream(Stretch(handle, length))
                 fields = headers(stream.head())
                 left, digest, size, kept = int(fields["content-length"]) - len(HTTP), hashlib.sha256(), 0, []
                 b"".join(stream.body(len(HTTP)))
