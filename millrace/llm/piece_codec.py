@@ -10,11 +10,16 @@ can still merge with other neighbours. Characters without a piece become
 byte pieces, and so does a blank mark that stands in the text itself, so
 decoding gives back every text exactly, whatever was skipped.
 
-The key is one of ``VARIANTS`` keys, chosen by a hash of the seed and the
-document id: runs with one seed are equal, other seeds or documents give other
-segmentations. No piece of the model goes over a blank that follows another
-character, nor over a character that no longer piece has, so a text falls into
-stretches that are encoded alone and remembered per key (bounded memo).
+The key is a hash of the seed and the document id, and a candidate's place is
+counted in the document: runs with one seed are equal, and every document, and
+every place of a word in it, has draws of its own. No piece of the model goes
+over a blank that follows another character, nor over a character that no longer
+piece has, so a text falls into stretches that are merged alone. What is
+remembered does not depend on the key: the candidates that come up in a stretch
+when none is skipped, the pieces they give, and the same after each skip that
+occurred (a tree per stretch, bounded). The draws of all candidates of many
+texts are hashed together; the first that is skipped leads to the next node.
+Stretches and skips that are rarely met are merged directly with their draws.
 
 Edge cases: null and empty texts have no ids and decode to an empty text; a
 null id has a key of its own; rows are independent, so ties and repeated
@@ -25,48 +30,141 @@ read.
 from __future__ import annotations
 
 import array
+import hashlib
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Memo, sha256_hex, worker_keeps
+from millrace.llm.common import sha256_hex, worker_keeps
 
 BLANK = "▁"
-DROPOUT, SEED, VARIANTS = 0.1, 42, 4
-MEMO_ENTRIES = 40_000  # per key, twice at most
-ROWS_AT_ONCE = 512
-SHORT, TOGETHER = 40, 2048  # characters of a short word; words merged together
+DROPOUT, SEED = 0.1, 42
+MEMO_ENTRIES = 250_000  # nodes of the trees
+ROWS_AT_ONCE, CHARACTERS = 512, 500_000
+SIGHTS = 4
+SHORT, TOGETHER = 40, 2048  # characters of a short stretch; stretches merged together
 NEVER = 1 << 30
+WHOLE = (1 << 64) - 1
+STEP, PLACE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 
 
 def piece_draws(key: int, pieces: int) -> list[int]:
-    """A keyed hash of every piece, 32 bits each (splitmix64)."""
-    z = np.uint64(key) + np.arange(1, pieces + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
-    return (z >> np.uint64(32)).tolist()
+    """A keyed number of every piece, 64 bits each."""
+    return (np.uint64(key) + np.arange(1, pieces + 1, dtype=np.uint64) * np.uint64(STEP)).tolist()
 
 
 def candidate_hash(draw: int, place: int) -> int:
-    """32 bits for a candidate merge: its piece's keyed hash and its place."""
-    return (draw ^ place * 0x9E3779B1) * 0x85EBCA6B >> 7 & 0xFFFFFFFF
-
-
-def _as_stretch(word: str) -> str:
-    return word if word[:1] == "\n" else BLANK + word
+    """32 bits for a candidate merge: its piece's keyed number and its place (splitmix64)."""
+    z = draw + place * PLACE & WHOLE
+    z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 & WHOLE
+    z = (z ^ z >> 27) * 0x94D049BB133111EB & WHOLE
+    return z >> 32
+
+
+def candidate_hashes(draws: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """``candidate_hash`` of many."""
+    z = draws + places.astype(np.uint64) * np.uint64(PLACE)
+    z = (z ^ z >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ z >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return z >> np.uint64(32)
+
+
+def _spread(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1 ... (sizes[0] numbers), begin[1] ..."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + sizes, sizes)
+
+
+class Pool:
+    """Rows of numbers in a numpy array that grows at its end."""
+
+    def __init__(self, dtype, *width: int):
+        self.data, self.used = np.zeros((1024, *width), dtype), 0
+
+    def add(self, rows) -> int:
+        """Where the rows begin."""
+        begin, end = self.used, self.used + len(rows)
+        if end > len(self.data):
+            more = np.zeros((max(end, len(self.data)), *self.data.shape[1:]), self.data.dtype)
+            self.data = np.concatenate([self.data, more])
+        if end > begin:
+            self.data[begin:end] = rows
+        self.used = end
+        return begin
+
+
+class Trees:
+    """Per stretch, what the agenda does: a node has the candidates that come up
+    after the skips that lead to it, the node behind each of them and the ids if
+    none of them is skipped. A node is made when it is met ``SIGHTS`` times."""
+
+    def __init__(self, codec: "PieceCodec"):
+        self.codec = codec
+        self.roots: dict[str, int] = {}
+        self.seen: dict[str, int] = {}
+        self.made: list[tuple] = []  # (stretch, skips, candidates passed before)
+        self.nodes = Pool(np.int64, 4)  # first candidate, candidates, first id, ids
+        # piece, place, node behind (below zero: how often it must yet be met), node
+        self.candidates = Pool(np.int32, 4)
+        self.ids = Pool(np.uint32)
+        self._node("", (), 0, [], codec.mark)
+        self.roots[""] = 0  # a blank mark of the text itself
+
+    def _node(self, stretch: str, skips: tuple, passed: int, came: list, ids: bytes) -> int:
+        number, spelt = len(self.made), np.frombuffer(ids, np.uint32)
+        self.made.append((stretch, skips, passed))
+        first = self.candidates.add([(piece, place, -SIGHTS, number) for piece, place in came])
+        self.nodes.add([(first, len(came), self.ids.add(spelt), len(spelt))])
+        return number
+
+    def _grow(self, stretch: str, skips: tuple, passed: int) -> int:
+        came: list[tuple[int, int]] = []
+
+        def skip(piece: int, place: int) -> bool:
+            if (piece, place) in skips:
+                return True
+            came.append((piece, place))
+            return False
+
+        ids = self.codec.spelt(self.codec.agenda(stretch, skip))
+        return self._node(stretch, skips, passed, came[passed:], ids)
+
+    def root(self, stretch: str) -> int:
+        """The node of a stretch; below zero where it is long or not met often enough."""
+        if (number := self.roots.get(stretch)) is not None:
+            return number
+        if len(stretch) >= SHORT:
+            return -1
+        if (met := self.seen.get(stretch, 0) + 1) < SIGHTS:
+            if not met - 1 and len(self.seen) >= self.codec.memo_entries:
+                self.seen.clear()
+            self.seen[stretch] = met
+            return -1
+        self.seen.pop(stretch, None)
+        self.roots[stretch] = number = self._grow(stretch, (), 0)
+        return number
+
+    def after(self, slot: int) -> int:
+        """Make the node behind the candidate in ``slot``, which is skipped."""
+        piece, place, number, owner = self.candidates.data[slot].tolist()
+        if number < 0:
+            stretch, skips, passed = self.made[owner]
+            passed += slot - int(self.nodes.data[owner, 0])
+            number = self._grow(stretch, (*skips, (piece, place)), passed)
+            self.candidates.data[slot, 2] = number
+        return number
 
 
 class PieceCodec:
     """Encoder and decoder of one model file."""
 
-    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS,
-                 memo_entries: int = MEMO_ENTRIES):
+    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, memo_entries: int = MEMO_ENTRIES):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -110,26 +208,37 @@ class PieceCodec:
             if len(p) == 1:
                 self.char_id[ord(p)] = i
         self.limit = int(dropout * 2 ** 32)
-        self.seed, self.variants, self.memo_entries = seed, variants, memo_entries
+        self.seed, self.memo_entries = seed, memo_entries
+        self.piece_step = np.arange(1, self.pieces + 1, dtype=np.uint64) * np.uint64(STEP)
         self.spell = {p: array.array("I", [i]).tobytes() for p, i in self.ids.items()}
         self.mark = self._bytes(BLANK)
         self.newline_alone = "\n" in alone
-        self.keyed: dict[int, tuple[Memo, Memo]] = {}
+        self.trees = Trees(self)
 
     def variant(self, doc_id) -> int:
-        """Which of the dropout keys a document has."""
-        return zlib.crc32(f"{self.seed}:{doc_id}".encode()) % self.variants
+        """The dropout key of a document."""
+        named = f"{self.seed}" if doc_id is None else f"{self.seed}:{doc_id}"
+        return int.from_bytes(hashlib.blake2b(named.encode(), digest_size=8).digest(), "little")
 
     def draws(self, variant: int) -> list[int]:
-        return piece_draws(zlib.crc32(f"{self.seed}/{variant}".encode()) << 32 | variant, self.pieces)
+        return piece_draws(variant, self.pieces)
+
+    def merge(self, text: str, draws: list[int], start: int = 0) -> list[str]:
+        """The pieces of one stretch that begins at place ``start`` of its document."""
+        return self.agenda(text, lambda piece, place: candidate_hash(draws[piece], start + place) < self.limit)
+
+    def _merge_keyed(self, text: str, key: int, start: int) -> list[str]:
+        """``merge`` without a table of draws."""
+        return self.agenda(text, lambda piece, place: candidate_hash(
+            key + (piece + 1) * STEP & WHOLE, start + place) < self.limit)
 
-    def merge(self, text: str, draws: list[int]) -> list[str]:
-        """The pieces of one stretch by the agenda. An entry is the rank of the
+    def agenda(self, text: str, skip: Callable[[int, int], bool]) -> list[str]:
+        """The pieces of one stretch. An entry of the agenda is the rank of the
         merged piece and the place of its left part, in one number."""
         symbols: list[str | None] = list(text)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        rank, ids, limit = self.rank, self.ids, self.limit
+        rank, ids = self.rank, self.ids
         agenda = [rank[p] * n + i for i, p in enumerate(map(str.__add__, symbols, symbols[1:])) if p in rank]
         heapq.heapify(agenda)
         while agenda:
@@ -138,8 +247,8 @@ class PieceCodec:
             # stale unless both parts still give the piece of this entry
             if left is None or j >= n or rank.get(joined := left + symbols[j]) != wanted:
                 continue
-            if limit and (draws[ids[joined]] ^ i * 0x9E3779B1) * 0x85EBCA6B >> 7 & 0xFFFFFFFF < limit:
-                continue  # candidate_hash, written out
+            if skip(ids[joined], i):
+                continue
             symbols[i], symbols[j] = joined, None
             after[i] = k = after[j]
             if k < n:
@@ -154,35 +263,39 @@ class PieceCodec:
     def _bytes(self, piece: str) -> bytes:
         return array.array("I", [self.bytes[b] for b in piece.encode()]).tobytes()
 
-    def _stretch(self, text: str, draws: list[int]) -> bytes:
-        spell = self.spell
-        return b"".join([spell.get(p) or self._bytes(p) for p in (self.merge(text, draws) if len(text) > 1 else text)])
+    def spelt(self, pieces: list[str]) -> bytes:
+        return b"".join([self.spell.get(p) or self._bytes(p) for p in pieces])
 
-    def _ranks(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, draws: np.ndarray) -> np.ndarray:
-        """Rank of merging ``left`` and ``right``; NEVER if no piece is spelt so or the
-        key skips it at this place."""
+    def _ranks(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, draws: np.ndarray,
+               keys_of: np.ndarray | None) -> np.ndarray:
+        """Rank of merging ``left`` and ``right``; NEVER if no piece is spelt so or it is
+        skipped at this place. ``draws`` by piece are of one key, or of each row's."""
         keys = left.astype(np.int64) * self.pieces + right
         at = np.searchsorted(self.pair_keys, keys)
         found = np.flatnonzero(((self.pair_keys[at] == keys) & (left >= 0) & (right >= 0)).ravel())
         piece = self.pair_piece[at.ravel()[found]]
-        hashes = (draws[piece] ^ place.ravel()[found].astype(np.uint64) * np.uint64(0x9E3779B1)) * np.uint64(0x85EBCA6B)
-        taken = (hashes >> np.uint64(7) & np.uint64(0xFFFFFFFF)) >= np.uint64(self.limit)
+        draw = draws[piece]
+        if keys_of is not None:
+            draw = draw + (np.repeat(keys_of, keys.shape[1]) if keys.ndim == 2 else keys_of)[found]
+        taken = candidate_hashes(draw, place.ravel()[found]) >= np.uint64(self.limit)
         out = np.full(keys.shape, NEVER, np.int32)
         out.ravel()[found[taken]] = self.piece_rank[piece[taken]]
         return out
 
-    def merge_many(self, stretches: list[str], draws: np.ndarray) -> list[bytes]:
+    def merge_many(self, stretches: list[str], draws: np.ndarray, keys_of: np.ndarray | None = None,
+                   starts: np.ndarray | int = 0) -> list[bytes]:
         """``merge`` and spelling of many short stretches together: in each round every
-        stretch takes the first candidate of its agenda."""
+        stretch takes the first candidate of its agenda. With ``keys_of``, the key of each
+        stretch's document, ``draws`` are those of key 0."""
         lengths = np.fromiter(map(len, stretches), np.int64, len(stretches))
         width = int(lengths.max()) + 1
         columns = np.arange(width, dtype=np.int32)
         inside = columns < lengths[:, None]
         symbols = np.full((len(stretches), width), -1, np.int32)
         symbols[inside] = self.char_id[np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32)]
-        places = np.broadcast_to(columns, symbols.shape).copy()
+        places = columns + np.broadcast_to(np.asarray(starts, np.int32), len(stretches))[:, None]
         ranks = np.full(symbols.shape, NEVER, np.int32)
-        ranks[:, :-1] = self._ranks(symbols[:, :-1], symbols[:, 1:], places[:, :-1], draws)
+        ranks[:, :-1] = self._ranks(symbols[:, :-1], symbols[:, 1:], places[:, :-1], draws, keys_of)
         rows, ended, sizes, flat = np.arange(len(stretches)), [], [], []
         while len(rows):
             line = np.arange(len(rows))
@@ -196,6 +309,7 @@ class PieceCodec:
                 flat.append(rest[rest >= 0])
                 rows, at, best, line = rows[going], at[going], best[going], line[:int(going.sum())]
                 symbols, places, ranks = symbols[going], places[going], ranks[going]
+                keys_of = None if keys_of is None else keys_of[going]
             # the right part goes, all behind it move up
             moved = columns[:-1] > at[:, None]
             for table, fill in ((symbols, -1), (places, 0), (ranks, NEVER)):
@@ -203,10 +317,11 @@ class PieceCodec:
                 table[:, -1] = fill
             piece = self.rank_piece[best]
             symbols[line, at] = piece
-            ranks[line, at] = self._ranks(piece, symbols[line, at + 1], places[line, at], draws)
+            ranks[line, at] = self._ranks(piece, symbols[line, at + 1], places[line, at], draws, keys_of)
             has = np.flatnonzero(at)
             before = at[has] - 1
-            ranks[has, before] = self._ranks(symbols[has, before], piece[has], places[has, before], draws)
+            ranks[has, before] = self._ranks(symbols[has, before], piece[has], places[has, before], draws,
+                                             None if keys_of is None else keys_of[has])
         spelt = np.concatenate(flat).astype("<u4").tobytes()
         ends = np.cumsum(np.concatenate(sizes)) * 4
         out = [b""] * len(stretches)
@@ -216,57 +331,95 @@ class PieceCodec:
             begin = end
         return out
 
-    def _memos(self, variant: int) -> tuple[Memo, Memo]:
-        if variant not in self.keyed:
-            draws = self.draws(variant)
-            words = Memo(lambda w: self._stretch(_as_stretch(w), draws), self.memo_entries)
-            words.draws = draws
-            self.keyed[variant] = words, Memo(lambda t: self._stretch(t, draws), self.memo_entries // 8)
-        return self.keyed[variant]
-
-    def words(self, text: str) -> list[str] | None:
-        """A text of single blanks as words: what follows a blank, or a line end and
-        what follows it. None for other texts."""
+    def cut(self, text: str) -> list[str]:
+        """The stretches of a text, in order; an empty one is a blank mark that stands in
+        the text itself."""
+        if not text:
+            return []
         lines = text.replace("\n", " \n")
-        if not text or not self.newline_alone or "  " in lines or BLANK in lines or lines[0] == " " or lines[-1] == " ":
-            return None
-        return lines.split(" ")
-
-    def learn(self, words: set[str], variant: int) -> None:
-        """Put the new short words into the memo, merged together."""
-        memo = self._memos(variant)[0]
-        if self.one_by_one:
-            return
-        new = sorted((w for w in words if len(w) < SHORT and w not in memo and w not in memo.old), key=len)
-        draws = np.array(memo.draws, np.uint64)
-        for at in range(0, len(new), TOGETHER):
-            some = new[at:at + TOGETHER]
-            stretches = [_as_stretch(w) for w in some]
-            points = np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32)
-            if (self.char_id[points] < 0).any():  # some characters need several bytes: one by one
-                plain = [bool((self.char_id[list(map(ord, t))] >= 0).all()) for t in stretches]
-                some = [w for w, ok in zip(some, plain) if ok]
-                stretches = [t for t, ok in zip(stretches, plain) if ok]
-            if some:
-                memo.update(zip(some, self.merge_many(stretches, draws)))
+        if self.newline_alone and not ("  " in lines or BLANK in lines or lines[0] == " " or lines[-1] == " "):
+            return (BLANK + text.replace(" ", " " + BLANK).replace("\n", " \n")).split(" ")
+        out: list[str] = []
+        for k, part in enumerate((" " + text).split(BLANK)):
+            out += [""] * (k > 0) + self.stretches.findall(part.replace(" ", BLANK))
+        return out
+
+    def _direct(self, stretches: list[str], keys: np.ndarray, starts: np.ndarray) -> list[bytes]:
+        """Stretches merged with their draws."""
+        out: list[bytes | None] = [None] * len(stretches)
+        if not self.one_by_one:
+            # one by one: several blanks (their pieces share ranks), characters of several bytes
+            short = sorted((k for k, t in enumerate(stretches) if len(t) < SHORT and BLANK * 2 not in t), key=lambda k: len(stretches[k]))
+            for at in range(0, len(short), TOGETHER):
+                some = short[at:at + TOGETHER]
+                points = np.frombuffer("".join([stretches[k] for k in some]).encode("utf-32-le"), np.uint32)
+                if (self.char_id[points] < 0).any():
+                    some = [k for k in some if (self.char_id[list(map(ord, stretches[k]))] >= 0).all()]
+                if some:
+                    texts = [stretches[k] for k in some]
+                    for k, data in zip(some, self.merge_many(texts, self.piece_step, keys[some], starts[some])):
+                        out[k] = data
+        return [self.spelt(self._merge_keyed(t, int(keys[k]), int(starts[k]))) if out[k] is None else out[k]
+                for k, t in enumerate(stretches)]
 
     def encode_all(self, texts: list[str], variants: list[int]) -> list[bytes]:
-        """``encode`` of many texts, new words of each key learnt together."""
-        cut = [self.words(t) for t in texts]
-        for variant in set(variants):
-            self.learn(set().union(*(w for w, v in zip(cut, variants) if v == variant and w)), variant)
-        return [self.encode(t, v, w) for t, v, w in zip(texts, variants, cut)]
+        """``encode`` of many texts, some ``CHARACTERS`` at a time."""
+        out: list[bytes] = []
+        begin = size = 0
+        for k, text in enumerate(texts):
+            size += len(text)
+            if size >= CHARACTERS or k == len(texts) - 1:
+                out += self._encode_some(texts[begin:k + 1], variants[begin:k + 1])
+                begin, size = k + 1, 0
+        return out
 
-    def encode(self, text: str, variant: int, words: list[str] | None = None) -> bytes:
+    def _encode_some(self, texts: list[str], variants: list[int]) -> list[bytes]:
+        if len(self.trees.made) >= self.memo_entries:
+            self.trees = Trees(self)
+        trees, cuts = self.trees, [self.cut(t) for t in texts]
+        units = [u for c in cuts for u in c]
+        counts = np.array([len(c) for c in cuts], np.int64)
+        keys = np.repeat(np.array(variants, np.uint64), counts)
+        lengths = np.maximum(np.fromiter(map(len, units), np.int64, len(units)), 1)
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        edges = np.concatenate(([0], np.cumsum(counts)))
+        starts = ends[:-1] - np.repeat(ends[edges[:-1]], counts)
+        known = trees.roots
+        node = np.array([known.get(u, -1) for u in units], np.int64)
+        for k in np.flatnonzero(node < 0).tolist():
+            node[k] = trees.root(units[k])
+        going = np.flatnonzero(node >= 0)
+        while len(going):
+            at = trees.nodes.data[node[going]]
+            slots, unit = _spread(at[:, 0], at[:, 1]), np.repeat(going, at[:, 1])
+            came = trees.candidates.data[slots]
+            hashes = candidate_hashes(keys[unit] + self.piece_step[came[:, 0]], starts[unit] + came[:, 1])
+            skipped = np.flatnonzero(hashes < np.uint64(self.limit))
+            # the first skip of each stretch
+            slots, unit = slots[skipped], unit[skipped]
+            first = np.flatnonzero(np.diff(unit, prepend=-1))
+            slots, going = slots[first], unit[first]
+            behind = trees.candidates.data[slots, 2]
+            trees.candidates.data[slots[behind < -1], 2] += 1
+            for k in np.flatnonzero(behind == -1).tolist():
+                behind[k] = trees.after(int(slots[k]))
+            node[going] = behind
+            going = going[behind >= 0]
+        direct = np.flatnonzero(node < 0)
+        begin, sizes = trees.nodes.data[node, 2], trees.nodes.data[node, 3]
+        data = self._direct([units[k] for k in direct.tolist()], keys[direct], starts[direct])
+        # the pool's end is free for them until nodes are added
+        used = trees.ids.used
+        sizes[direct] = [len(x) // 4 for x in data]
+        begin[direct] = trees.ids.add(np.frombuffer(b"".join(data), np.uint32)) + np.cumsum(sizes[direct]) - sizes[direct]
+        trees.ids.used = used
+        spelt = trees.ids.data[_spread(begin, sizes)].tobytes()
+        bounds = (np.concatenate(([0], np.cumsum(sizes)))[edges] * 4).tolist()
+        return [spelt[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def encode(self, text: str, variant: int) -> bytes:
         """The ids of a text as native 32-bit bytes."""
-        memo, stretches = self._memos(variant)
-        words = words or self.words(text)
-        if words:
-            return b"".join(map(memo.__getitem__, words))
-        # a blank mark of the text itself is spelt in bytes
-        return self.mark.join(
-            b"".join(map(stretches.__getitem__, self.stretches.findall(part.replace(" ", BLANK))))
-            for part in (" " + text).split(BLANK)) if text else b""
+        return self.encode_all([text], [variant])[0]
 
     def decode(self, ids) -> str:
         """The text of ids that ``encode`` made."""
@@ -274,15 +427,14 @@ class PieceCodec:
 
 
 def encode_pieces(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED,
-                  variants: int = VARIANTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids) per document; ``model_path`` must be readable on
     every executor."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_keeps(("pieces", model_path, dropout, seed, variants),
-                             lambda: PieceCodec(model_path, dropout, seed, variants))
+        codec = worker_keeps(("pieces", model_path, dropout, seed), lambda: PieceCodec(model_path, dropout, seed))
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)

@@ -187,6 +187,43 @@ def test_dropout_varies_and_decodes(codec):
     assert abs(share - 0.3) < 0.01
 
 
+def test_every_document_and_place_has_draws_of_its_own():
+    """Copies under many ids differ, one word differs within a document, and all
+    equals the naive merge with draws by seed, id and place in the document."""
+    codec = pc.PieceCodec(MODEL)
+    assert len({codec.variant(i) for i in range(2000)}) == 2000
+    text = " ".join(["the information of thorough people"] * 8)
+    texts, keys = [text] * 300, [codec.variant(i) for i in range(300)]
+    found = codec.encode_all(texts, keys)
+    assert len(set(found)) > 290
+    assert all(codec.decode(_numbers(x)) == text for x in found)
+    plain = _numbers(pc.PieceCodec(MODEL, dropout=0.0).encode("the", 0))
+    assert len(plain) == 1
+    long = _numbers(codec.encode("the " * 5000 + "the", keys[0]))
+    assert 0 < 5001 - long.count(plain[0]) < 5001  # some split, some whole, in one document
+    mixed = ["one\ntwo  three", "▁a information\n\n x", text, "漢字 " + "thoroughinformation" * 4]
+    for key in keys[:5]:
+        draws = codec.draws(key)
+        for t in mixed * 3:  # first seen, then remembered
+            want, start = [], 0
+            for stretch in codec.cut(t):
+                want.append(codec.spelt(_naive_at(codec, stretch, draws, start)) if stretch else codec.mark)
+                start += len(stretch) or 1
+            assert codec.encode(t, key) == b"".join(want)
+
+
+def _naive_at(codec, stretch, draws, start):
+    """The naive merge of a stretch that begins at a place of its document."""
+    parts = [(i, c) for i, c in enumerate(stretch)]
+    while True:
+        options = [(codec.rank[a + b], i, k) for k, ((i, a), (_, b)) in enumerate(zip(parts, parts[1:]))
+                   if a + b in codec.rank and pc.candidate_hash(draws[codec.ids[a + b]], start + i) >= codec.limit]
+        if not options:
+            return [p for _, p in parts]
+        _, _, k = min(options)
+        parts[k:k + 2] = [(parts[k][0], parts[k][1] + parts[k + 1][1])]
+
+
 @settings(max_examples=200, deadline=None)
 @given(text=st.text(alphabet=st.one_of(st.sampled_from(" \n\t▁ab"), st.characters(exclude_categories=["Cs"])), max_size=40),
        variant=st.integers(0, 3))
