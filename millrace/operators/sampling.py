@@ -32,10 +32,11 @@ def split_draw(seed: int, keys: Sequence[str]):
 def tag_split(df: DataFrame, weights: Sequence[float], seed: int,
               names: Sequence[str] | None = None, col: str = "split",
               keys: Sequence[str] | None = None) -> DataFrame:
-    """All rows with a ``split`` column naming their part (one pass, no shuffle).
-    Weights are normalised to sum 1. Rows that agree in ``keys`` (default: all
-    columns of plain types) go to the same part."""
-    keys = list(keys or _plain_columns(df))
+    """All rows with a ``split`` column naming their part. Weights are normalised to
+    sum 1. With ``keys`` it is one pass without a shuffle, and rows that agree in
+    them go to the same part. Without, every row has a draw of its own: equal rows
+    are numbered, and the draw is that of the whole row (columns of any type) and
+    its number, which costs one aggregation by row."""
     names = list(names or [f"part{i}" for i in range(len(weights))])
     total, below, part = float(sum(weights)), 0.0, F.lit(names[-1])
     cases = []
@@ -44,15 +45,43 @@ def tag_split(df: DataFrame, weights: Sequence[float], seed: int,
         cases.append((name, below))
     for name, bound in reversed(cases):
         part = F.when(F.col("_draw") < bound, F.lit(name)).otherwise(part)
-    return df.withColumn("_draw", split_draw(seed, keys)).withColumn(col, part).drop("_draw")
+    if not keys:
+        df, keys = _numbered(df), ["_row", "_number"]
+    return df.withColumn("_draw", split_draw(seed, keys)).withColumn(col, part).drop("_draw", "_row", "_number")
 
 
-def _plain_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+COPIES_AT_ONCE = 10_000
+
+
+def _as_text(field: T.StructField):
+    """Equal texts only for equal values."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.BinaryType):
+        return F.hex(column)
+    if isinstance(field.dataType, T.AtomicType):
+        return column.cast("string")
+    return F.to_json(F.struct(column), {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                                        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df`` with ``_row``, a digest of all columns, and ``_number``, which counts equal
+    rows from 0. Copies are counted (in the map tasks first) and written out again
+    in runs of ``COPIES_AT_ONCE``, dealt to many tasks."""
+    digest = F.sha2(F.to_json(F.array(*map(_as_text, df.schema.fields))), 256)
+    counted = (df.select(digest.alias("_row"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_value"))
+               .groupBy("_row").agg(F.first("_value").alias("_value"), F.count(F.lit(1)).alias("_copies")))
+    last = F.col("_copies") - 1
+    runs = counted.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / COPIES_AT_ONCE))))
+    begin = F.col("_run") * COPIES_AT_ONCE
+    dealt = runs.repartition("_row", "_run")
+    return (dealt.withColumn("_number", F.explode(F.sequence(begin, F.least(last, begin + COPIES_AT_ONCE - 1))))
+            .select("_value.*", "_row", "_number"))
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int,
                  keys: Sequence[str] | None = None) -> list[DataFrame]:
-    """Seeded split into one frame per weight, each a filtered scan of the input."""
+    """Seeded split into one frame per weight, each a filter of the tagged input
+    (``tag_split``): by ``keys``, or row by row where none are named."""
     tagged = tag_split(df, weights, seed, col="_part", keys=keys)
     return [tagged.filter(F.col("_part") == f"part{i}").drop("_part") for i in range(len(weights))]

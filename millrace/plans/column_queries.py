@@ -154,7 +154,7 @@ LINE_KEYS = ["l_orderkey", "l_linenumber"]
 @query("random_split", sql=split_sql(11, [0.8, 0.2], ["train", "test"], ", ".join(LINE_KEYS), "lineitem"))
 def q_random_split(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(*LINE_KEYS)
-    return tag_split(li, [0.8, 0.2], seed=11, names=["train", "test"])
+    return tag_split(li, [0.8, 0.2], seed=11, names=["train", "test"], keys=LINE_KEYS)
 
 
 @query("random_split_unnormalised",
@@ -162,7 +162,7 @@ def q_random_split(spark, sf_dir):
 def q_random_split_unnormalised(spark, sf_dir):
     """Weights that do not sum to 1 are shares of their sum."""
     li = table(spark, sf_dir, "lineitem").select(*LINE_KEYS)
-    return tag_split(li, [0.3, 0.3], seed=11, names=["train", "test"])
+    return tag_split(li, [0.3, 0.3], seed=11, names=["train", "test"], keys=LINE_KEYS)
 
 
 @query("random_split_three_way",
@@ -170,7 +170,7 @@ def q_random_split_unnormalised(spark, sf_dir):
 def q_random_split_three_way(spark, sf_dir):
     """Three frames, each a filter of the same input, put together again."""
     li = table(spark, sf_dir, "lineitem").select(*LINE_KEYS)
-    parts = random_split(li, [0.8, 0.18, 0.02], seed=24)
+    parts = random_split(li, [0.8, 0.18, 0.02], seed=24, keys=LINE_KEYS)
     return union_all([p.withColumn("split", F.lit(n)) for p, n in zip(parts, ["train", "test", "unseen"])])
 
 

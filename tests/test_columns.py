@@ -94,6 +94,26 @@ def test_random_split_property(spark):
     assert 15500 < n_train < 16500
 
 
+def test_random_split_deals_copies_and_complex_columns_row_by_row(spark):
+    from pyspark.ml.linalg import Vectors
+    from pyspark.sql import functions as F
+    rows = spark.range(30000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id"),
+                                     F.when(F.col("id") % 3 > 0, F.lit("b")).alias("t"))
+    train, test = random_split(rows, [0.8, 0.2], seed=11)
+    assert train.schema.names == rows.schema.names
+    hot = [p.where("id = -1").count() for p in (train, test)]
+    assert sum(hot) == 10000 and 1800 < hot[1] < 2200
+    both = train.unionAll(test)
+    assert both.exceptAll(rows).count() == rows.exceptAll(both).count() == 0
+    again = random_split(rows.repartition(7), [0.8, 0.2], seed=11)[1]
+    assert test.exceptAll(again).count() == again.exceptAll(test).count() == 0
+    data = [(float(i % 2), Vectors.dense([float(i), -0.0]), [i, None]) for i in range(1000)]
+    frame = spark.createDataFrame(data, ["label", "features", "parts"])
+    parts = [p.collect() for p in random_split(frame, [0.5, 0.5], seed=3)]
+    assert 400 < len(parts[0]) < 600 and sorted((r.features[0], r.parts) for p in parts for r in p) == \
+        [(float(i), [i, None]) for i in range(1000)]
+
+
 def test_zero_fill_then_mean_reproduces_the_chain(spark):
     from millrace.operators.quality import impute_mean
     df = spark.createDataFrame([(360.0,), (None,), (180.0,)], "term double")
