@@ -37,13 +37,16 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): SentencePiece ids with merge-dropout."""
+    """(doc_id, n_tokens, ids, text_sha256): SentencePiece ids with merge-dropout, written,
+    read again and decoded; the digest is that of the decoded text, which must be
+    the encoded one."""
     bounded_batches(spark)
-    return piece_codec.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_codec.checked_pieces(cut(piece_codec.encode_pieces(docs, model, digests=True), "piece-ids"), model)
 
 
 STAGES = [("quality classifier", quality), ("exact dedup", exact), ("MinHash near-dedup", near),
-          ("benchmark decontamination", clean), ("SentencePiece encoding", tokens)]
+          ("benchmark decontamination", clean), ("SentencePiece encoding and decoding", tokens)]
 
 # a learned classifier and a keyed tokenizer have no SQL
 ORACLE_SQL = None

@@ -427,9 +427,9 @@ class PieceCodec:
 
 
 def encode_pieces(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids) per document; ``model_path`` must be readable on
-    every executor."""
+                  id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids) per document, with ``digests`` also source_sha256 of the
+    text; ``model_path`` must be readable on every executor."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
@@ -439,16 +439,43 @@ def encode_pieces(docs: DataFrame, model_path: str, dropout: float = DROPOUT, se
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
                 keys = [codec.variant(doc) for doc in batch.column("doc_id").to_pylist()]
-                ids = codec.encode_all(batch.column("text").to_pylist(), keys)
+                texts = batch.column("text").to_pylist()
+                ids = codec.encode_all(texts, keys)
                 edges = [0]
                 for x in ids:
                     edges.append(edges[-1] + len(x) // 4)
                 values = pa.Array.from_buffers(pa.int32(), edges[-1], [None, pa.py_buffer(b"".join(ids))])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values)], ["doc_id", "n_tokens", "ids"])
+                columns = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
+                           "ids": pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values)}
+                if digests:
+                    columns["source_sha256"] = pa.array([sha256_hex(t.encode()) for t in texts], pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return rows.mapInArrow(run, f"doc_id {id_type}, n_tokens long, ids array<int>"
+                                + (", source_sha256 string" if digests else ""))
+
+
+def checked_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, text_sha256): the ids as they are, and the digest of the text
+    that they decode to. A text that differs from the encoded one (source_sha256) raises."""
+    id_type = encoded.schema["doc_id"].dataType.simpleString()
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, n_tokens long, ids array<int>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = worker_keeps(("pieces", model_path), lambda: PieceCodec(model_path))
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(at, ROWS_AT_ONCE)
+                found = [sha256_hex(codec.decode(cell.values.to_numpy().tolist()).encode()) if len(cell) else sha256_hex(b"")
+                         for cell in batch.column("ids")]
+                for doc, got, want in zip(batch.column("doc_id"), found, batch.column("source_sha256").to_pylist()):
+                    if got != want:
+                        raise ValueError(f"the ids of document {doc} do not decode to its text")
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), batch.column("ids"),
+                                                  pa.array(found, pa.string())],
+                                                 ["doc_id", "n_tokens", "ids", "text_sha256"])
+
+    return encoded.select("doc_id", "n_tokens", "ids", "source_sha256").mapInArrow(
+        run, f"doc_id {id_type}, n_tokens long, ids array<int>, text_sha256 string")
 
 
 def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:

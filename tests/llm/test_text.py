@@ -245,6 +245,19 @@ def test_codec_on_tables(spark):
     assert pc.encode_pieces(_docs(spark, []), MODEL).count() == 0
 
 
+def test_pipeline_stage_decodes_what_it_wrote(spark):
+    import corpus_pipeline as cp
+    rows = [(1, "two  blanks ▁ information"), (None, "no id"), (3, None), (4, "")]
+    found = {r.doc_id: r for r in cp.tokens(spark, _docs(spark, rows), SF).collect()}
+    assert {i: found[i].text_sha256 for i, _ in rows} == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in rows}
+    codec = pc.PieceCodec(MODEL)
+    assert all(codec.decode(found[i].ids) == t for i, t in rows if t)
+    wrong = pc.encode_pieces(_docs(spark, rows), MODEL, digests=True).selectExpr(
+        "doc_id", "n_tokens", "reverse(ids) AS ids", "source_sha256")
+    with pytest.raises(Exception, match="do not decode"):
+        pc.checked_pieces(wrong, MODEL).collect()
+
+
 # quality
 
 def _loss(model, bags, labels):
