@@ -28,7 +28,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the row with the smallest id."""
     bounded_batches(spark)
-    return exact_dedup.drop_rows(docs, minhash.near_duplicates(docs))
+    return exact_dedup.drop_rows(docs, minhash.near_duplicates(docs, digests=True))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,6 +29,7 @@ columns are not read.
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -172,9 +173,17 @@ def earlier_batch(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, D
     return docs.where(~earlier), docs.where(earlier)
 
 
-def drop_rows(docs: DataFrame, marks: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the ids that ``marks`` (doc_id, kept) does not keep. Where few
-    go, their written ids are small enough for Spark to broadcast; else both sides
-    are shuffled."""
-    gone = cut(marks.where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct(), "dropped-ids")
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+def drop_rows(docs: DataFrame, marks: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that ``marks`` (doc_id, text_sha256, kept) does not keep.
+    Where few go, their written marks are small enough for Spark to broadcast; else
+    both sides are shuffled.
+
+    A row is known by its id and the SHA-256 of its text after lower-casing A-Z: of rows
+    that share an id, only those whose text is marked go. A null id equals a null id, so
+    marked rows without an id go too. Rows equal in both go or stay together."""
+    gone = cut(marks.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_text"))
+               .distinct(), "dropped-ids")
+    lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    rows = docs.withColumn("_text_sha256", F.sha2(lower.cast("binary"), 256))
+    same = rows[id_col].cast("long").eqNullSafe(gone["_gone_id"]) & (rows["_text_sha256"] == gone["_gone_text"])
+    return rows.join(gone, same, "left_anti").select(*docs.columns)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, text_blocks, text_bytes, worker_keeps
+from millrace.llm.common import cut, sha256_hex, text_blocks, text_bytes, worker_keeps
 from millrace.llm.components import components
 
 SHINGLE = 5
@@ -151,15 +151,17 @@ def set_digest(shingles: np.ndarray) -> bytes:
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, digest, sig, keys) per document."""
+    """(doc_id, n_shingles, digest, sig, keys, text_sha256) per document; the last is of the
+    text after lower-casing A-Z, as in exact dedup."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("raw"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = worker_keeps(("sketcher",), Sketcher)
         for batch in batches:
-            sizes, digests, sigs, keys = [], [], [], []
+            sizes, digests, sigs, keys, texts = [], [], [], [], []
             for raw in batch.column("raw"):
                 shingles = sketcher.shingles(raw.as_py())
+                texts.append(sha256_hex(raw.as_py().lower()))
                 sizes.append(len(shingles))
                 digests.append(set_digest(shingles))
                 minima = sketcher.minima(shingles) if len(shingles) else None
@@ -167,10 +169,11 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 keys.append([] if minima is None else sketcher.keys(minima))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "sig", "keys"])
+                 pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(texts, pa.string())],
+                ["doc_id", "n_shingles", "digest", "sig", "keys", "text_sha256"])
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sig binary, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sig binary, keys array<long>, "
+                                "text_sha256 string")
 
 
 def _with_both(pairs: DataFrame, facts: DataFrame, col: str) -> DataFrame:
@@ -252,8 +255,9 @@ def _pair(a, b) -> list:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+                    percent: int = PERCENT, digests: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept, with ``digests`` also
+    text_sha256."""
     sketches = cut(sketch(docs, id_col, text_col), "sketches")
     named = sketches.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = named.groupBy("digest").agg(F.min("doc_id").alias("rep"))
@@ -286,8 +290,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = components(links.unionByName(more))
     classed = (reps.select("digest", F.col("doc_id").alias("node")).join(whole, "node", "left")
                .select("digest", F.coalesce("component", "node").alias("component")).distinct())
-    out = sketches.select("doc_id", "n_shingles", "digest").join(cut(classed, "class-components"), "digest", "left")
+    out = sketches.select("doc_id", "n_shingles", "digest", "text_sha256").join(cut(classed, "class-components"), "digest", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), own)
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+                      *(["text_sha256"] if digests else []))

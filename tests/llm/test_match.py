@@ -73,6 +73,17 @@ def test_drop_rows_keeps_columns(spark):
     assert (3, "SAME TEXT") in ids and (1, "Same Text") not in ids and (399, "Hot") in ids and (398, "Hot") not in ids
 
 
+def test_drop_rows_with_clashing_and_null_ids(spark):
+    docs = _docs(spark, [(7, "A"), (7, "B"), (9, "a"), (None, "C"), (None, "c"), (5, "C"), (None, "D"), (None, None)])
+    kept = ed.drop_rows(docs, ed.mark_duplicates(docs))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == \
+        sorted([(7, "B"), (9, "a"), (5, "C"), (None, "D"), (None, None)], key=repr)
+    text = "one two three four five six seven eight"
+    docs = _docs(spark, [(3, text), (7, text), (7, "a text of its own that nobody else has"), (None, text)])
+    kept = ed.drop_rows(docs, mh.near_duplicates(docs, digests=True))
+    assert {(r.doc_id, r.text[:3]) for r in kept.collect()} == {(3, "one"), (7, "a t"), (None, "one")}
+
+
 # near duplicates
 
 def _shingles(text):
