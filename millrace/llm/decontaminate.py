@@ -113,9 +113,11 @@ def _runs(hit: np.ndarray) -> list[int]:
 def ngram_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int = WINDOW,
                  block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[Broadcast, bool]]:
     """The benchmark's window sets, broadcast one block at a time, each with
-    whether it is the last. The benchmark's size is summed before any row is
-    collected, and a block's share of it is about ``block_bytes``."""
+    whether it is the last. Copies of an item are one row, written once; the size of
+    the distinct rows is summed before any is collected, and a block's share of it
+    is about ``block_bytes``, or one longer item."""
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), text_bytes(text_col).alias("raw"))
+    rows = cut(rows.distinct(), "benchmark-items")
     size = rows.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
     for k in range(blocks):

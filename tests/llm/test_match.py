@@ -249,3 +249,10 @@ def test_spans_are_cut(spark):
     assert dc.cut_spans(texts[5], runs[5], "[]") == "x [] y"
     assert dc.cut_spans(texts[6], runs[6]) == "" and dc.cut_spans(texts[7], runs[7]) == texts[7]
     assert dc.cut_spans(texts[1], runs[1], "#") == "He said: # off."
+
+
+def test_copies_of_a_benchmark_item_cost_nothing(spark):
+    item = ("i1", " ".join(f"w{k}" for k in range(300)))
+    benchmark = spark.createDataFrame([item] * 400 + [("i2", "a b c")], "item_id string, text string")
+    blocks = [b.value for b, _ in dc.ngram_blocks(benchmark, "item_id", "text", block_bytes=4000)]
+    assert len(blocks) == 1 and len(dc.NgramSet.load(blocks[0]).by_size) == 2
