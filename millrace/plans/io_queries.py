@@ -104,6 +104,31 @@ def q_multi_file_ingest(spark, sf_dir):
     return found.select(*orders.columns)
 
 
+def _rises(file_a, key_a, file_b, key_b):
+    return (file_a < file_b) | ((file_a == file_b) & (key_a < key_b))
+
+
+def in_file_order(rows):
+    """Per priority: n, first_key, last_key and whether (source_file, o_orderkey) rise with
+    ``place``: neighbours within each ``part`` of the read, and the first row of a part
+    against the last of the one before (one small row per part)."""
+    before = Window.partitionBy("part").orderBy("place")
+    steps = rows.select("o_orderpriority", "o_orderkey", F.lit(1).cast("long").alias("counted"), F.coalesce(
+        _rises(F.lag("source_file").over(before), F.lag("o_orderkey").over(before),
+               F.col("source_file"), F.col("o_orderkey")), F.lit(True)).alias("rises"))
+    row = F.struct("source_file", "o_orderkey", "o_orderpriority")
+    edges = (rows.groupBy("part").agg(F.min_by(row, "place").alias("top"), F.max_by(row, "place").alias("end"))
+             .withColumn("above", F.lag("end").over(Window.orderBy("part"))))
+    borders = edges.select(
+        F.col("top.o_orderpriority").alias("o_orderpriority"), F.lit(None).cast(rows.schema["o_orderkey"].dataType)
+        .alias("o_orderkey"), F.lit(0).cast("long").alias("counted"), F.coalesce(
+            _rises(F.col("above.source_file"), F.col("above.o_orderkey"),
+                   F.col("top.source_file"), F.col("top.o_orderkey")), F.lit(True)).alias("rises"))
+    return steps.unionByName(borders).groupBy("o_orderpriority").agg(
+        F.sum("counted").alias("n"), F.min("o_orderkey").cast("long").alias("first_key"),
+        F.max("o_orderkey").cast("long").alias("last_key"), F.min("rises").alias("in_file_order"))
+
+
 @query("ordered_ingest", sql="""
 SELECT o_orderpriority, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key,
        true AS in_file_order
@@ -114,20 +139,16 @@ def q_ordered_ingest(spark, sf_dir):
     they were written: files and, within a file, keys must rise."""
     path = shared_path(spark, "ordered-files")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    (orders.repartition("o_orderpriority").sortWithinPartitions("o_orderpriority", "o_orderkey")
+    # ranges: a priority is written by many tasks, and its files' names rise with the keys
+    (orders.repartitionByRange("o_orderpriority", "o_orderkey").sortWithinPartitions("o_orderpriority", "o_orderkey")
      .write.partitionBy("o_orderpriority").option("header", True).csv(path))
     rows = read_many(spark, path, ordered=True).select(
         "o_orderpriority", "o_orderkey", "source_file", F.monotonically_increasing_id().alias("place"),
         F.spark_partition_id().alias("part"))
-    # neighbours within a partition of the sorted read
-    before = Window.partitionBy("part").orderBy("place")
-    steps = rows.withColumn("rises", F.coalesce(
-        (F.lag("source_file").over(before) < F.col("source_file"))
-        | ((F.lag("source_file").over(before) == F.col("source_file"))
-           & (F.lag("o_orderkey").over(before) < F.col("o_orderkey"))), F.lit(True)))
-    return steps.groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n"), F.min("o_orderkey").cast("long").alias("first_key"),
-        F.max("o_orderkey").cast("long").alias("last_key"), F.min("rises").alias("in_file_order"))
+    # written, so that rows and borders are of the same read
+    held = shared_path(spark, "ordered-rows")
+    rows.write.parquet(held)
+    return in_file_order(spark.read.schema(rows.schema).parquet(held))
 
 
 @query("sink_text", sql=f"""

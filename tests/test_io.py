@@ -134,3 +134,13 @@ def test_tuple_text_prints_dates_as_text(spark, scratch):
     path = scratch("dates")
     write_tuples_text(df, path)
     assert read_lines(spark, path).first().value == "(2020-01-02,1.5)"
+
+
+def test_file_order_is_checked_across_partition_borders(spark):
+    from millrace.plans.io_queries import in_file_order
+    schema = "o_orderpriority string, o_orderkey long, source_file string, place long, part int"
+    rows = [("a", 1, "f1", 0, 0), ("a", 5, "f1", 1, 0), ("a", 3, "f1", 10, 1), ("b", 1, "f2", 11, 1)]
+    found = {r.o_orderpriority: tuple(r)[1:] for r in in_file_order(spark.createDataFrame(rows, schema)).collect()}
+    assert found == {"a": (3, 1, 5, False), "b": (1, 1, 1, True)}
+    rows[2] = ("a", 6, "f1", 10, 1)
+    assert all(r.in_file_order for r in in_file_order(spark.createDataFrame(rows, schema)).collect())
