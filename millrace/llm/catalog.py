@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.llm import queries_format, queries_match, queries_text
+from millrace.llm import queries_format, queries_match, queries_repeats, queries_text
 
-MODULES = (queries_format, queries_match, queries_text)
+MODULES = (queries_format, queries_match, queries_repeats, queries_text)
 
 
 def queries():
