@@ -35,13 +35,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, text_bytes, worker_keeps
+from millrace.llm.common import cut, key_filter, may_hold, text_bytes, worker_keeps
 from millrace.llm.minhash import Sketcher
 
 MAX_WORDS, MIN_COUNT, TOP, PERCENT = 5, 100, 2000, 100
 FLUSH_WORDS = 2_000_000  # words of a filter
 RANGE_BYTES = 4 << 20  # text per range of the quotient
-BLOOM_BITS, PROBES = 1 << 27, 3
+BLOOM_BITS = 1 << 27
 NO_LANG = "und"
 
 # A-Z become a-z, ends of pieces a line feed, tabs a blank
@@ -257,39 +257,15 @@ def gram_keys(ids: np.ndarray, places: int) -> np.ndarray:
     return out
 
 
-def _probes(keys: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    for j in range(PROBES):
-        yield _mix(keys + np.uint64(j * 0x632BE59BD9B4E019 % 2 ** 64)) >> np.uint64(65 - bits.bit_length())
-
-
-def bloom_of(keys: DataFrame, places: int) -> Broadcast:
-    """A Bloom filter of the phrases in column ``ids``: 16 bits for each, at most ``BLOOM_BITS``."""
-    wanted = max(1024, 16 * keys.count())
-    bits = min(BLOOM_BITS, 1 << (wanted - 1).bit_length())
+def bloom_of(phrases: DataFrame, places: int) -> Broadcast:
+    """A Bloom filter of the phrases in column ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
             flat = batch.column("ids").flatten().to_numpy().view(np.uint64)
-            key = gram_keys(flat, places)[::places]
-            at = np.unique(np.concatenate(list(_probes(key, bits))))
-            slots, first = np.unique(at >> np.uint64(6), return_index=True)
-            value = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
-            yield pa.RecordBatch.from_arrays([pa.array(slots.view(np.int64)), pa.array(value.view(np.int64))], ["slot", "value"])
-
-    table = keys.select("ids").mapInArrow(run, "slot long, value long").groupBy("slot").agg(F.bit_or("value").alias("value"))
-    found = table.toPandas()  # at most BLOOM_BITS / 64 rows
-    words = np.zeros(bits // 64, np.uint64)
-    words[found["slot"].to_numpy()] = found["value"].to_numpy().view(np.uint64)
-    return keys.sparkSession.sparkContext.broadcast(words)
-
-
-def _may_be(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    out = np.ones(len(keys), bool)
-    for at in _probes(keys, len(bloom) * 64):
-        out &= (bloom[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-    return out
+            yield pa.RecordBatch.from_arrays([pa.array(gram_keys(flat, places)[::places].view(np.int64))], ["key"])
+
+    return key_filter(phrases.select("ids").mapInArrow(run, "key long"), BLOOM_BITS)
 
 
 def count_phrases(rows: DataFrame, places: int, bloom: Broadcast, attempt: int, min_count: int, range_bits: int) -> DataFrame:
@@ -315,7 +291,7 @@ def count_phrases(rows: DataFrame, places: int, bloom: Broadcast, attempt: int,
                 n = len(ids) - places + 1
                 if n <= 0:
                     continue
-                known = _may_be(shorter, gram_keys(ids, places - 1))
+                known = may_hold(shorter, gram_keys(ids, places - 1))
                 at = np.flatnonzero(known[:-1] & known[1:] & (pieces[:n] == pieces[places - 1:]))
                 kept.append(np.stack([ids[at + j] for j in range(places)]))
                 held += len(at)

@@ -7,7 +7,11 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import shared_path
@@ -106,3 +110,55 @@ def text_blocks(raw: bytes, size: int) -> Iterator[bytes]:
             end = back if back > at else min((x for c in _BLANKS if (x := raw.find(c, end)) >= 0), default=len(raw))
         yield raw[at:end]
         at = end
+
+
+FILTER_BITS, PROBES = 1 << 27, 3
+
+
+def _spread(keys: np.ndarray) -> np.ndarray:
+    for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xCF1BBCDCB7A56463)):
+        keys = (keys ^ (keys >> np.uint64(shift))) * np.uint64(factor)
+    return keys ^ (keys >> np.uint64(32))
+
+
+def _probes(keys: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    for j in range(PROBES):
+        yield _spread(keys + np.uint64(j * 0x632BE59BD9B4E019 % 2 ** 64)) >> np.uint64(65 - bits.bit_length())
+
+
+def key_filter(keys: DataFrame, limit: int = FILTER_BITS) -> Broadcast:
+    """A broadcast Bloom filter of the numbers in column ``key``, 16 bits for each and at most
+    ``limit`` bits in all. Beyond that it only lets more strangers pass."""
+    bits = min(limit, 1 << (max(1024, 16 * keys.count()) - 1).bit_length())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                at = np.unique(np.concatenate(list(_probes(batch.column("key").to_numpy().view(np.uint64), bits))))
+                slots, first = np.unique(at >> np.uint64(6), return_index=True)
+                value = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
+                yield pa.RecordBatch.from_arrays([pa.array(slots.view(np.int64)), pa.array(value.view(np.int64))],
+                                                 ["slot", "value"])
+
+    slots = keys.select("key").mapInArrow(run, "slot long, value long").groupBy("slot").agg(F.bit_or("value").alias("value"))
+    found = slots.toPandas()  # at most limit / 64 rows
+    words = np.zeros(bits // 64, np.uint64)
+    words[found["slot"].to_numpy()] = found["value"].to_numpy().view(np.uint64)
+    return keys.sparkSession.sparkContext.broadcast(words)
+
+
+def may_hold(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys (unsigned) can be in a filter; false for strangers only."""
+    out = np.ones(len(keys), bool)
+    for at in _probes(keys, len(words) * 64):
+        out &= (words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return out
+
+
+def in_filter(found: Broadcast, key: Column) -> Column:
+    """``may_hold`` for a column of numbers that are not null."""
+    @F.pandas_udf("boolean")
+    def test(keys: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(found.value, keys.to_numpy(np.int64).view(np.uint64)))
+
+    return test(key)

@@ -7,10 +7,14 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import collocations, periodic_runs
+from millrace.llm import collocations, periodic_runs, repeated_spans
 from millrace.llm.common import table
 
 
+def op11_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans.span_report(table(spark, sf_dir, "documents"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -68,5 +72,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
-QUERIES = {"op12_collocations": op12_collocations, "op13_periodic_runs": op13_periodic_runs}
+QUERIES = {"op11_repeated_spans": op11_repeated_spans, "op12_collocations": op12_collocations, "op13_periodic_runs": op13_periodic_runs}
 ORACLES = {"op12_collocations": OP12_SQL}
