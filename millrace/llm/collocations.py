@@ -39,7 +39,8 @@ from millrace.llm.common import cut, key_filter, may_hold, text_bytes, worker_ke
 from millrace.llm.minhash import Sketcher
 
 MAX_WORDS, MIN_COUNT, TOP, PERCENT = 5, 100, 2000, 100
-FLUSH_WORDS = 2_000_000  # words of a filter
+FLUSH_WORDS = 600_000  # words of a filter
+ROWS_AT_ONCE = 250
 RANGE_BYTES = 4 << 20  # text per range of the quotient
 BLOOM_BITS = 1 << 27
 NO_LANG = "und"
@@ -186,11 +187,12 @@ class Words:
         return _mix(hashes ^ self._lang(lang)), pieces, raw, starts, ends
 
 
-def _by_lang(batch: pa.RecordBatch) -> dict[str, list[bytes]]:
-    out: dict[str, list[bytes]] = {}
-    for lang, raw in zip(batch.column("lang").to_pylist(), batch.column("raw").to_pylist()):
-        out.setdefault(lang, []).append(raw)
-    return out
+def _by_lang(whole: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+    for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+        batch, out = whole.slice(at, ROWS_AT_ONCE), {}
+        for lang, raw in zip(batch.column("lang").to_pylist(), batch.column("raw").to_pylist()):
+            out.setdefault(lang, []).append(raw)
+        yield from out.items()
 
 
 def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -223,15 +225,15 @@ def count_words(rows: DataFrame, attempt: int) -> DataFrame:
 
         held = 0
         for batch in batches:
-            for lang, texts in _by_lang(batch).items():
+            for lang, texts in _by_lang(batch):
                 ids, _, raw, starts, ends = reader.read(lang, texts)
                 found, first, where = np.unique(ids, return_index=True, return_inverse=True)
                 words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
                 kept.append((found, np.bincount(where, minlength=len(found)), [lang] * len(words), words))
                 held += len(found)
-            if held >= FLUSH_WORDS // 8:
-                yield flush()
-                held = 0
+                if held >= FLUSH_WORDS // 3:
+                    yield flush()
+                    held = 0
         if held:
             yield flush()
 
@@ -286,7 +288,7 @@ def count_phrases(rows: DataFrame, places: int, bloom: Broadcast, attempt: int,
 
         held = 0
         for batch in batches:
-            for lang, texts in _by_lang(batch).items():
+            for lang, texts in _by_lang(batch):
                 ids, pieces, *_ = reader.read(lang, texts)
                 n = len(ids) - places + 1
                 if n <= 0:
@@ -295,9 +297,9 @@ def count_phrases(rows: DataFrame, places: int, bloom: Broadcast, attempt: int,
                 at = np.flatnonzero(known[:-1] & known[1:] & (pieces[:n] == pieces[places - 1:]))
                 kept.append(np.stack([ids[at + j] for j in range(places)]))
                 held += len(at)
-            if held >= FLUSH_WORDS:
-                yield flush()
-                held = 0
+                if held >= FLUSH_WORDS:
+                    yield flush()
+                    held = 0
         if held:
             yield flush()
 

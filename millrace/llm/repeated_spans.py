@@ -109,28 +109,46 @@ class Namer:
         return (least[first], self.names(other, first, last + self.length), first, last + self.length,
                 passed[last] > passed[first])
 
-    def cores(self, text: np.ndarray, step: int) -> Iterator[tuple[int, int, int, int]]:
+    def cores(self, text: np.ndarray, edges: np.ndarray, step: int) -> tuple[np.ndarray, ...]:
         """(name of the core, name of all, first window, end of the last window) of the stretches
-        of one group's text: windows whose anchor is the same and equally far in steps."""
+        of many groups' texts, one after the other with these ``edges``: windows whose anchor is the
+        same and equally far in steps."""
         sums, other, span = self.sums(text, 0), self.sums(text, 1), self.length - self.gram + 1
-        grams, n = self.grams(sums), len(text) - self.length + 1
-        places = np.flatnonzero(grams == grams[:span].min())
-        windows = np.arange(n)
-        anchor = places[np.minimum(np.searchsorted(places, windows), len(places) - 1)]
+        sizes = np.diff(edges)
+        grams = np.append(self.grams(sums), np.full(self.gram - 1, 2 ** 64 - 1, np.uint64))
+        here = np.repeat(edges[1:], sizes) - np.arange(len(text))  # bytes left in the group
+        grams[here < self.gram] = 2 ** 64 - 1
+        least = np.repeat(np.minimum.reduceat(grams, edges[:-1]), sizes)
+        places = np.where(grams == least, np.arange(len(text)), len(text))
+        places = np.minimum.accumulate(places[::-1])[::-1]  # the next anchor
+        windows = np.flatnonzero(here >= self.length)
+        anchor = places[windows]
         key = anchor * self.length + (anchor - windows) // step
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        ends = np.append(first[1:], n) - 1 + self.length
-        far = (anchor[first] - first) // step * step
-        begin = anchor[first] - far  # the last window of a whole stretch
+        ends = windows[np.append(first[1:], len(windows)) - 1] + self.length
+        first = windows[first]
+        far = (places[first] - first) // step * step
+        begin = places[first] - far  # the last window of a whole stretch
         # a stretch at the far end is shorter; its core stays inside every window of it
         core = begin + self.length - np.minimum(step - 1, span - 1 - far)
-        yield from zip(self.names(sums, begin, core).tolist(), self.names(other, first, ends).tolist(), first.tolist(),
-                       ends.tolist())
+        return self.names(sums, begin, core), self.names(other, first, ends), first, ends
 
-    def windows(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Both names of every window."""
-        starts = np.arange(len(text) - self.length + 1)
-        return tuple(self.names(self.sums(text, j), starts, starts + self.length) for j in (0, 1))
+    def windows(self, text: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(both names, place) of every window of many stretches' texts."""
+        here = np.repeat(edges[1:], np.diff(edges)) - np.arange(len(text))
+        starts = np.flatnonzero(here >= self.length)
+        return *(self.names(self.sums(text, j), starts, starts + self.length) for j in (0, 1)), starts
+
+
+def _some(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Texts of at most 3 ``LENGTH`` bytes or so, some at a time: (from, to, their bytes, edges)."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends, at = np.cumsum(sizes), 0
+    while at < len(texts):
+        before = ends[at] - sizes[at]
+        to = max(at + 1, int(np.searchsorted(ends, before + BLOCK, "right")))
+        yield at, to, np.frombuffer(b"".join(texts[at:to]), np.uint8), np.append(ends[at:to] - sizes[at:to], ends[to - 1]) - before
+        at = to
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -312,18 +330,20 @@ def _cores(candidates: DataFrame, rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         namer, own = worker_keeps(("spans",), Namer), Comparer(with_data=True)
         for batch in batches:
+            docs, copies, begins, texts = [], [], [], []
             for doc, copy, raw, groups in zip(*(batch.column(c) for c in ("doc", "copy", "raw", "groups"))):
-                raw, doc, copy = raw.as_py(), doc.as_py(), copy.as_py()
-                found, data = [], []
-                pairs = groups.values.flatten()
-                for start, end in zip(pairs[0].to_pylist(), pairs[1].to_pylist()):
-                    text = raw[start:end]
-                    for core, name, a, b in namer.cores(np.frombuffer(text, np.uint8), STEP):
-                        found.append((core, name, start + a, start + b))
-                        data.append(text[a:b])
-                n, types = len(found), (np.uint64, np.uint64, np.int64, np.int64)
-                bucket, name, starts, ends = (np.array(x, t) for x, t in zip(zip(*found), types))
-                own.add(data, bucket=bucket, name=name, doc=np.full(n, doc), copy=np.full(n, copy), start=starts, end=ends)
+                raw, pairs = memoryview(raw.as_buffer()), groups.values.flatten()
+                begins += pairs[0].to_pylist()
+                texts += [raw[a:b] for a, b in zip(*(x.to_pylist() for x in pairs))]
+                docs += [doc.as_py()] * len(groups)
+                copies += [copy.as_py()] * len(groups)
+            docs, copies, begins = (np.array(x, np.int64) for x in (docs, copies, begins))
+            for at, to, text, edges in _some(texts):
+                bucket, name, start, end = namer.cores(text, edges, STEP)
+                of = np.searchsorted(edges, start, "right") - 1
+                raw, shift = text.tobytes(), begins[at + of] - edges[of]
+                own.add([raw[a:b] for a, b in zip(start.tolist(), end.tolist())], bucket=bucket, name=name,
+                        doc=docs[at + of], copy=copies[at + of], start=start + shift, end=end + shift)
                 if own.full():
                     yield from own.flush()
         yield from own.flush()
@@ -339,11 +359,12 @@ def _windows(stretches: DataFrame) -> DataFrame:
             if (kind == REPEATED).any():
                 yield batch.filter(pa.array(kind == REPEATED))
             batch = batch.filter(pa.array(kind == SHARED))
-            for doc, copy, start, data in zip(*(batch.column(c).to_pylist() for c in ("doc", "copy", "start", "data"))):
-                bucket, name = namer.windows(np.frombuffer(data, np.uint8))
-                n = len(bucket)
-                starts = start + np.arange(n)
-                own.add(bucket=bucket, name=name, doc=np.full(n, doc), copy=np.full(n, copy), start=starts, end=starts + namer.length)
+            doc, copy, begin = (batch.column(c).to_numpy() for c in ("doc", "copy", "start"))
+            for at, to, text, edges in _some(batch.column("data").to_pylist()):
+                bucket, name, start = namer.windows(text, edges)
+                of = np.searchsorted(edges, start, "right") - 1
+                start += begin[at + of] - edges[of]
+                own.add(bucket=bucket, name=name, doc=doc[at + of], copy=copy[at + of], start=start, end=start + namer.length)
                 if own.full():
                     yield from own.flush()
         yield from own.flush()

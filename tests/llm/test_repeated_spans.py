@@ -88,7 +88,7 @@ def test_template_in_every_document(spark, monkeypatch):
 
 
 def test_edges(spark):
-    long = "".join(random.Random(1).choice("abcdefghij") for _ in range(400_000))
+    long = "".join(random.Random(1).choices("abcdefghij", k=400_000))
     text = long[:250]
     rows = [(1, None), (2, ""), (3, "q" * 99), (4, "q" * 100), (None, text), (5, text), (6, long), (7, "z" * 300_000),
             (8, "é" * 200)]
