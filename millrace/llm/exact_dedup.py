@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, text_bytes
+from millrace.llm.common import cut, in_filter, key_filter, text_bytes
 
 SHARD_KEYS = 50_000
 LOAD = 2.0  # cells per key of a level
@@ -175,15 +175,21 @@ def earlier_batch(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, D
 
 def drop_rows(docs: DataFrame, marks: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``marks`` (doc_id, text_sha256, kept) does not keep.
-    Where few go, their written marks are small enough for Spark to broadcast; else
-    both sides are shuffled.
+
+    A Bloom filter of the marked rows lets all others pass without a shuffle; only rows that it
+    stops (the marked ones and a few strangers) meet the marks in an exact join.
 
     A row is known by its id and the SHA-256 of its text after lower-casing A-Z: of rows
     that share an id, only those whose text is marked go. A null id equals a null id, so
-    marked rows without an id go too. Rows equal in both go or stay together."""
-    gone = cut(marks.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_text"))
-               .distinct(), "dropped-ids")
+    marked rows without an id go too. Rows equal in both go or stay together. All columns are
+    returned as they are, whatever their names."""
+    gone = marks.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.unhex("text_sha256").alias("gone_text"))
+    gone = cut(gone.distinct(), "dropped-rows")
+    found = key_filter(gone.select(F.xxhash64("gone_id", "gone_text").alias("key")))
     lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    rows = docs.withColumn("_text_sha256", F.sha2(lower.cast("binary"), 256))
-    same = rows[id_col].cast("long").eqNullSafe(gone["_gone_id"]) & (rows["_text_sha256"] == gone["_gone_text"])
-    return rows.join(gone, same, "left_anti").select(*docs.columns)
+    digest = F.unhex(F.sha2(lower.cast("binary"), 256))
+    stopped = in_filter(found, F.xxhash64(F.col(id_col).cast("long"), digest))
+    rows = docs.where(stopped).select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("row_id"),
+                                      digest.alias("row_text"))
+    same = F.col("row_id").eqNullSafe(F.col("gone_id")) & (F.col("row_text") == F.col("gone_text"))
+    return docs.where(~stopped).union(rows.join(gone, same, "left_anti").select("row.*"))

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, sha256_hex, text_blocks, text_bytes, worker_keeps
+from millrace.llm.common import cut, in_filter, key_filter, sha256_hex, text_blocks, text_bytes, worker_keeps
 from millrace.llm.components import components
 
 SHINGLE = 5
@@ -49,7 +49,6 @@ ESTIMATE_MIN = 0.60
 SEED = 20240229
 TEXT_BLOCK = 1 << 20  # bytes of a text that are hashed at a time
 SET_BLOCK = 512  # shingles that are hashed by all functions at a time
-BROADCAST_IDS = 1_000_000  # eight bytes each
 
 _SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -199,11 +198,12 @@ def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def _full_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, shingles): the whole sets of some documents, from their texts."""
+    """(doc_id, shingles): the whole sets of some documents, from their texts. A Bloom filter of the
+    ids stops the other texts before the join."""
     ids = cut(ids.distinct(), "set-ids")
-    small = ids.count() <= BROADCAST_IDS
+    found = key_filter(ids.select(F.col("doc_id").alias("key")))
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("raw"))
-             .join(F.broadcast(ids) if small else ids, "doc_id", "left_semi"))
+             .where("doc_id IS NOT NULL").where(in_filter(found, F.col("doc_id"))).join(ids, "doc_id", "left_semi"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = worker_keeps(("sketcher",), Sketcher)

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 
+from millrace.llm import common
 from millrace.llm import decontaminate as dc
 from millrace.llm import exact_dedup as ed
 from millrace.llm import minhash as mh
@@ -84,6 +85,21 @@ def test_drop_rows_with_clashing_and_null_ids(spark):
     assert {(r.doc_id, r.text[:3]) for r in kept.collect()} == {(3, "one"), (7, "a t"), (None, "one")}
 
 
+def test_drop_rows_leaves_clashing_columns_alone(spark):
+    docs = spark.createDataFrame([(1, "same", "mine", "r", 1.5), (2, "SAME", "yours", "s", 2.5), (3, "other", None, "t", 3.5)],
+                                 "doc_id long, text string, _text_sha256 string, row string, gone_id double")
+    kept = ed.drop_rows(docs, ed.mark_duplicates(docs))
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [(2, "SAME", "yours", "s", 2.5), (3, "other", None, "t", 3.5)]
+
+
+def test_drop_rows_is_exact_behind_a_full_filter(spark, monkeypatch):
+    monkeypatch.setattr(ed, "key_filter", lambda keys: common.key_filter(keys, 1024))
+    docs = _docs(spark, [(i, f"text {i // 2}") for i in range(2000)])
+    kept = ed.drop_rows(docs, ed.mark_duplicates(docs))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(1, 2000, 2))
+
+
 # near duplicates
 
 def _shingles(text):
