@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import Memo, worker_keeps
 
-MEMO_ENTRIES = 250_000
+MEMO_ENTRIES = 400_000
 ROWS_AT_ONCE = 256
 
 # The pre-token pattern of word-end BPE vocabularies, and the
@@ -71,6 +71,8 @@ class WordEncoder:
         self.specials = [t["content"] for t in spec.get("added_tokens", [])]
         self.letters, self.model = byte_letters(), self.tokenizer.model
         self.memo = Memo(self._chunk, memo_entries)
+        # a word stands in several chunks: with capitals, with marks behind it
+        self.pieces = Memo(self._piece, memo_entries // 2)
 
     def _whole(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -82,7 +84,7 @@ class WordEncoder:
     def _chunk(self, chunk: str) -> bytes:
         """A stretch without blanks; the tokenizer never joins over blanks."""
         if self.short and PLAIN.fullmatch(chunk):
-            return b"".join(map(self._piece, PRETOKEN.findall(chunk.lower())))
+            return b"".join([*map(self.pieces.__getitem__, PRETOKEN.findall(chunk.lower()))])
         return self._whole(chunk)
 
     def encode(self, text: str) -> bytes:
