@@ -3,8 +3,9 @@
 A record is JSON text of unknown layout. The set of its nested field paths
 (``messages[].role``) is hashed; the hash selects a declarative mapping that
 says where the turns, roles and texts are. Optional fields make a mapping
-answer to several fingerprints, all computed from its declaration. Records of
-unknown fingerprint yield no turns; ``unknown_layouts`` counts them by paths.
+answer to several fingerprints, all computed from its declaration. A record of
+unknown fingerprint is hashed again by the paths that layouts know; one that still has no
+layout is a row of its own without role and layout. ``unknown_layouts`` counts them by paths.
 
 Turns are formatted as ``<|im_start|>role\\n text <|im_end|>\\n``. Where a text
 holds a control string, possibly with backslashes after its first character,
@@ -133,6 +134,11 @@ def registry(layouts: tuple[Layout, ...] = LAYOUTS) -> dict[str, Layout]:
     return found
 
 
+def known_paths(layouts: dict[str, Layout]) -> set[str]:
+    """All field paths that some layout keeps turns in."""
+    return {p for layout in set(layouts.values()) for p in layout.paths + layout.optional}
+
+
 def _get(value, path: str):
     for name in path.split(".") if path else ():
         value = value.get(name) if isinstance(value, dict) else None
@@ -160,8 +166,10 @@ def read_turns(record: str | None, layouts: dict[str, Layout]) -> tuple[str, str
         value = json.loads(record or "null")
     except ValueError:
         value = None
-    mark = fingerprint(field_paths(value) if isinstance(value, dict) else ())
-    layout = layouts.get(mark)
+    paths = set(field_paths(value)) if isinstance(value, dict) else set()
+    mark = fingerprint(paths)
+    # fields that no layout knows are left out of a second hash
+    layout = layouts.get(mark) or layouts.get(fingerprint(paths & known_paths(layouts)))
     if layout is None:
         return mark, None, []
     if layout.turns is None:
@@ -177,7 +185,9 @@ def read_turns(record: str | None, layouts: dict[str, Layout]) -> tuple[str, str
 def canonical_turns(records: DataFrame, record_col: str = "record", conv_col: str = "conv_id",
                     turn_col: str = "turn", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """(conv_id, turn, part, role, text, layout, fingerprint) of every turn of
-    every record; ``part`` numbers the turns of one record."""
+    every record; ``part`` numbers the turns of one record. Fields that no layout knows
+    are ignored. A record that no layout answers to is one row with the record as its
+    text and without role and layout, so no record goes unseen."""
     rows = records.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
                           F.col(record_col).alias("record"))
 
@@ -187,6 +197,7 @@ def canonical_turns(records: DataFrame, record_col: str = "record", conv_col: st
             out = []
             for conv, turn, record in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 mark, name, turns = read_turns(record, known)
+                turns = turns if name else [(None, record)]
                 out += [(conv, turn, i, role, text, name, mark) for i, (role, text) in enumerate(turns)]
             types = [pa.int64()] * 3 + [pa.string()] * 4
             columns = list(zip(*out)) or [[]] * 7

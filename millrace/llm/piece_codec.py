@@ -38,6 +38,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -421,9 +422,24 @@ class PieceCodec:
         """The ids of a text as native 32-bit bytes."""
         return self.encode_all([text], [variant])[0]
 
+    def spelled(self, ids) -> bytes | None:
+        """The text of ids in UTF-8; None for ids that no text gives: unknown ones, or pieces
+        that do not spell a text behind the dummy blank."""
+        raw = b"".join([self.texts.get(i, b"\xff") for i in ids])
+        if not raw:
+            return raw
+        try:
+            raw.decode("utf-8")
+        except UnicodeDecodeError:
+            return None
+        return raw[1:] if raw[:1] == b" " else None
+
     def decode(self, ids) -> str:
-        """The text of ids that ``encode`` made."""
-        return b"".join(map(self.texts.__getitem__, ids)).decode("utf-8")[1:]
+        """The text of ids that ``encode`` made; other ids raise ``ValueError``."""
+        raw = self.spelled(ids)
+        if raw is None:
+            raise ValueError("ids that no text gives")
+        return raw.decode("utf-8")
 
 
 def encode_pieces(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED,
@@ -465,8 +481,8 @@ def checked_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
-                found = [sha256_hex(codec.decode(cell.values.to_numpy().tolist()).encode()) if len(cell) else sha256_hex(b"")
-                         for cell in batch.column("ids")]
+                texts = (codec.spelled(cell.values.to_numpy().tolist()) for cell in batch.column("ids"))
+                found = [None if raw is None else sha256_hex(raw) for raw in texts]
                 for doc, got, want in zip(batch.column("doc_id"), found, batch.column("source_sha256").to_pylist()):
                     if got != want:
                         raise ValueError(f"the ids of document {doc} do not decode to its text")
@@ -479,7 +495,8 @@ def checked_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
 
 
 def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_crc32, n_chars, text_sha256, text) from the ids alone."""
+    """(doc_id, n_tokens, ids_crc32, n_chars, text_sha256, text) from the ids alone. For ids that no
+    text gives, the last three are null."""
     id_type = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -487,16 +504,17 @@ def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
-                texts, crcs, sizes = [], [], []
+                raws, crcs, sizes = [], [], []
                 for cell in batch.column("ids"):
                     ids = cell.values.to_numpy()
-                    texts.append(codec.decode(ids.tolist()))
+                    raws.append(codec.spelled(ids.tolist()))
                     crcs.append(zlib.crc32(ids.astype("<u4").tobytes()))
                     sizes.append(len(ids))
+                texts = pa.array(raws, pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64()),
-                     pa.array([len(t) for t in texts], pa.int64()),
-                     pa.array([sha256_hex(t.encode()) for t in texts], pa.string()), pa.array(texts, pa.string())],
+                     pc.utf8_length(texts).cast(pa.int64()),
+                     pa.array([None if t is None else sha256_hex(t) for t in raws], pa.string()), texts],
                     ["doc_id", "n_tokens", "ids_crc32", "n_chars", "text_sha256", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(

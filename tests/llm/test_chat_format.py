@@ -82,3 +82,15 @@ def test_unknown_layouts_are_counted_and_empty_tables_work(spark):
     assert found == {("odd",): 2, (): 1}
     none = spark.createDataFrame([], "conv_id long, turn long, record string")
     assert cf.conversation_digests(cf.format_turns(cf.canonical_turns(none))).count() == 0
+
+
+def test_no_record_is_lost(spark):
+    """Fields that no layout knows change nothing; other records are rows without a layout."""
+    records = [{"messages": [{"role": "user", "content": "a", "name": "n", "at": 1}, {"role": "assistant", "content": "b"}], "made": 3},
+               {"prompt": "p", "completion": "c", "score": 0.5, "tags": ["x", {"y": 1}]}, {"what": "ever"}, None]
+    rows = [(k, 0, json.dumps(r)) for k, r in enumerate(records)] + [(9, 0, None), (10, 0, "not json")]
+    got = cf.canonical_turns(spark.createDataFrame(rows, "conv_id long, turn long, record string")).collect()
+    turns = sorted((r.conv_id, r.part, r.role, r.text) for r in got if r.layout)
+    assert turns == [(0, 0, "user", "a"), (0, 1, "assistant", "b"), (1, 0, "user", "p"), (1, 1, "assistant", "c")]
+    assert {(r.conv_id, r.part, r.role, r.text) for r in got if not r.layout} == {
+        (2, 0, None, '{"what": "ever"}'), (3, 0, None, "null"), (9, 0, None, None), (10, 0, None, "not json")}
