@@ -15,6 +15,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.ranking import global_row_number
+
 
 def to_array(col: str | Column) -> Column:
     """ML vector -> ``array<double>``."""
@@ -40,6 +42,45 @@ def index_category(df: DataFrame, inputs: Sequence[str], outputs: Sequence[str],
     return indexer(inputs, outputs, handle_invalid).fit(df).transform(df)
 
 
+def label_ranks(df: DataFrame, col: str) -> DataFrame:
+    """(``label``, ``index``) of all values of ``col``, the most frequent first, ties by value: what
+    ``indexer`` fits, as a distributed table. Nulls have no label. Occurrences are counted
+    with partial aggregates before any value is moved, so a value that fills a third of all rows is one row
+    per task."""
+    counts = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("label"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    ranked = global_row_number(counts, [F.desc("n"), F.asc("label")], "index")
+    return ranked.select("label", F.col("index").cast("double").alias("index"))
+
+
+def index_distributed(df: DataFrame, inputs: Sequence[str], outputs: Sequence[str],
+                      handle_invalid: str = "error", labels: Sequence[DataFrame] | None = None) -> DataFrame:
+    """``index_category`` for columns of any number of values: the labels stay a table, which is
+    joined back (Spark broadcasts a small one; a frequent value's rows are split by adaptive
+    execution), so no list of labels reaches the driver.
+
+    ``labels`` are ``label_ranks`` of another frame to index by. A null, or a value without a label, raises
+    with ``error``, loses its row with ``skip``, and gets the number of labels with ``keep``."""
+    if handle_invalid not in ("error", "skip", "keep"):
+        raise ValueError(f"handle_invalid must be error, skip or keep, not {handle_invalid!r}")
+    names = list(df.columns)
+    for k, (col, out) in enumerate(zip(inputs, outputs)):
+        table = label_ranks(df, col) if labels is None else labels[k]
+        key, index, size = (f"{out}__{x}" for x in ("label", "index", "size"))
+        table = table.select(F.col("label").alias(key), F.col("index").alias(index))
+        df = df.join(table, F.col(col).cast("string") == F.col(key), "inner" if handle_invalid == "skip" else "left")
+        value = F.col(index)
+        if handle_invalid == "error":
+            value = F.coalesce(value, F.raise_error(F.concat(F.lit(f"{col} has no label for "), F.coalesce(
+                F.col(col).cast("string"), F.lit("null")))).cast("double"))
+        elif handle_invalid == "keep":
+            df = df.crossJoin(F.broadcast(table.agg(F.count(F.lit(1)).cast("double").alias(size))))  # one row
+            value = F.coalesce(value, F.col(size))
+        names = [n for n in names if n != out] + [out]
+        df = df.withColumn(out, value).select(*[F.col(f"`{n}`") for n in names])
+    return df
+
+
 def index_to_label(df: DataFrame, input_col: str, output_col: str,
                    labels: Sequence[str]) -> DataFrame:
     """Inverse of the index: index -> label text."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import class_totals
 from millrace.operators.evaluation import (accuracy, auc_hard, auc_pr, auc_score,
-                                           confusion_matrix, outcome_counts, per_class_metrics,
+                                           confusion_matrix, curve_areas, outcome_counts, per_class_metrics,
                                            regression_metrics)
 from millrace.plans.lineitem_nb import nb_fit, nb_scored, nb_sql
 from millrace.plans.registry import query, table
@@ -82,6 +82,21 @@ def q_auc_pr(spark, sf_dir):
     return auc_pr(events_binary(spark, sf_dir)).select(F.round("auc_pr", 9).alias("auc_pr"))
 
 
+@query("curve_areas", sql=f"""
+WITH s AS {_EVENTS_SQL},
+t AS (SELECT round(score) AS score, sum(label) AS pos, count(*) - sum(label) AS neg FROM s GROUP BY 1),
+c AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER w - pos AS tp0, sum(neg) OVER w - neg AS fp0
+      FROM t WINDOW w AS (ORDER BY score DESC))
+SELECT round(sum(neg * (tp0 + pos / 2)) / (sum(pos) * sum(neg)), 9) AS auc,
+       round(sum(pos * (tp / (tp + fp) + coalesce(tp0 / nullif(tp0 + fp0, 0), tp / (tp + fp))) / 2) / sum(pos), 9) AS auc_pr
+FROM c
+""")
+def q_curve_areas(spark, sf_dir):
+    """Both areas from one curve over scores with many ties."""
+    rounded = events_binary(spark, sf_dir).withColumn("score", F.round("score"))
+    return curve_areas(rounded).select(F.round("auc", 9).alias("auc"), F.round("auc_pr", 9).alias("auc_pr"))
+
+
 @query("accuracy", sql=nb_sql("""
 SELECT avg(CAST(label = prediction AS DOUBLE)) AS accuracy FROM scored
 """))

@@ -5,10 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.features import (assemble, bucketize, index_category, index_to_label,
-                                         indexer, normalize, one_hot, to_array)
+from millrace.operators.aggregates import tokenize
+from millrace.operators.features import (assemble, bucketize, index_category, index_distributed,
+                                         index_to_label, indexer, normalize, one_hot, to_array)
 from millrace.plans.lineitem_nb import NB_FEATURES
 from millrace.plans.registry import query, table
+from millrace.plans.text_queries import _LINES_SQL, _TOKENS_SQL
 
 _IDX_SQL = """CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE)"""
 
@@ -36,6 +38,19 @@ def q_index_category(spark, sf_dir):
     return out.select("o_orderkey", "priority_idx", "status_idx", "segment_idx")
 
 
+@query("index_distributed", sql=f"""
+WITH lines AS (SELECT doc_id, unnest({_LINES_SQL}) AS line FROM documents),
+words AS (SELECT doc_id, unnest({_TOKENS_SQL}) AS word FROM lines),
+r AS (SELECT word, {_IDX_SQL.format(c='word')} AS word_idx FROM words GROUP BY 1)
+SELECT doc_id, word_idx, count(*) AS n FROM words JOIN r USING (word) GROUP BY ALL
+""")
+def q_index_distributed(spark, sf_dir):
+    """Tokens of all documents by their rank in the corpus, a column of very many values."""
+    words = tokenize(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    indexed = index_distributed(words, ["word"], ["word_idx"])
+    return indexed.groupBy("doc_id", "word_idx").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("index_to_label", sql=f"""
 WITH p AS (SELECT o_orderpriority, {_IDX_SQL.format(c='o_orderpriority')} AS priority_idx
            FROM orders GROUP BY 1)
