@@ -11,7 +11,10 @@ from millrace.operators.aggregates import count_by_key, token_count
 from millrace.plans.registry import query, table
 from millrace.plans.text_queries import _LINES_SQL, _TOKENS_SQL
 from millrace.session import shared_path
+from millrace.sinks.keyed import read_table, upsert_table
+from millrace.sinks.single import write_single_csv
 from millrace.sinks.files import write_csv, write_table, write_tuples_text
+from millrace.sources.headers import read_by_header
 from millrace.sources.files import (conform, from_rows, parse_delimited, read_csv,
                                     read_csv_schema, read_lines, read_many)
 
@@ -179,3 +182,58 @@ def q_sink_table(spark, sf_dir):
     path = shared_path(spark, "keyed-table")
     write_table(table(spark, sf_dir, "customer").select("c_name", "c_nationkey"), path)
     return spark.read.parquet(path)
+
+
+@query("multi_file_headers", sql="""
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_custkey AS o_custkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice,
+       CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority, o_orderstatus FROM orders
+""")
+def q_multi_file_headers(spark, sf_dir):
+    """Three folders of CSV files with the same columns in three orders, one of them without the
+    priority, matched by name."""
+    path = shared_path(spark, "header-orders")
+    orders = table(spark, sf_dir, "orders")
+    for status, columns in (("O", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus"]),
+                            ("F", ["o_orderstatus", "o_orderpriority", "o_totalprice", "o_custkey", "o_orderkey"]),
+                            ("P", ["o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice"])):
+        write_csv(orders.where(F.col("o_orderstatus") == status).select(*columns), f"{path}/{status}")
+    found = read_by_header(spark, f"{path}/*", match="name", file_col=None)
+    return found.select(F.col("o_orderkey").cast("long"), F.col("o_custkey").cast(orders.schema["o_custkey"].dataType),
+                        F.col("o_totalprice").cast("double"), "o_orderpriority", "o_orderstatus")
+
+
+@query("sink_upsert", sql="""
+SELECT o_custkey, last_order, total, source FROM (
+  SELECT o_custkey, o_orderkey AS last_order, o_totalprice AS total,
+         CASE WHEN o_orderkey % 2 = 0 THEN 'first' ELSE 'second' END AS source,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS k FROM orders) WHERE k = 1
+""")
+def q_sink_upsert(spark, sf_dir):
+    """Two writes with overlapping keys: of each customer the newest order stays."""
+    path = shared_path(spark, "upsert-table")
+    orders = table(spark, sf_dir, "orders")
+    for k, name in enumerate(("first", "second")):
+        part = orders.where(F.col("o_orderkey") % 2 == k).select(
+            "o_custkey", F.col("o_orderkey").alias("last_order"), F.col("o_totalprice").alias("total"), F.lit(name).alias("source"))
+        upsert_table(part, path, ["o_custkey"], ["last_order"], buckets=16)
+    return read_table(spark, path)
+
+
+@query("sink_csv_single", sql="""
+SELECT CAST(count(*) AS BIGINT) AS line_no, 'l_orderkey,l_linenumber,l_returnflag' AS head, true AS in_order FROM lineitem
+""")
+def q_sink_csv_single(spark, sf_dir):
+    """One file of sorted rows, written by many tasks: rows after the header, the header, and whether
+    no row has a lower key than the row before it in the file (within each split that is read)."""
+    path = f"{shared_path(spark, 'one-csv')}.csv"
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    write_single_csv(rows.orderBy("l_orderkey", "l_linenumber"), path)
+    lines = read_lines(spark, path).select("value", F.monotonically_increasing_id().alias("place"),
+                                           F.spark_partition_id().alias("part"))
+    head = F.col("place") == 0
+    parts = F.split("value", ",")
+    key = F.when(~head, parts[0].cast("long") * 1000 + parts[1].cast("long"))
+    before = Window.partitionBy("part").orderBy("place")
+    told = lines.select(head.alias("first"), "value", F.coalesce(F.lag(key).over(before) <= key, F.lit(True)).alias("rises"))
+    return told.agg(F.count_if(~F.col("first")).alias("line_no"), F.max(F.when(F.col("first"), F.col("value"))).alias("head"),
+                    F.min("rises").alias("in_order"))

@@ -16,6 +16,8 @@ from millrace.plans.lineitem_nb import nb_fit, nb_input, nb_sql
 from millrace.plans.registry import query, table
 from millrace.session import shared_path
 from millrace.streaming.payload import decode_payload, encode_payload
+from millrace.streaming.recovery import (committed, decode_with_rejects, load_current, publish_model,
+                                         read_committed)
 from millrace.streaming.streams import (for_each_batch, open_topic, publish_topic, score_stream,
                                         to_memory, to_parquet)
 
@@ -167,3 +169,78 @@ def q_stream_to_console_rows(spark, sf_dir):
     to_memory(stream.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")), name,
               shared_path(spark, "console-ckpt"), output_mode="complete")
     return spark.table(name)
+
+
+@query("stream_quarantine", sql="""
+SELECT reason, count(*) AS n, CAST(sum(l_orderkey) AS DECIMAL(38,0)) AS keys,
+       CASE WHEN reason IS NULL THEN CAST(sum(l_quantity) AS BIGINT) END AS quantity
+FROM (SELECT *, CASE WHEN l_orderkey % 7 = 0 THEN 'length 5, not 32' END AS reason FROM lineitem) GROUP BY reason
+""")
+def q_stream_quarantine(spark, sf_dir):
+    """Payloads of every seventh order are cut short on their way: good rows are decoded, bad ones set aside."""
+    li, keys = table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]
+    messages = encode_payload(li, PRICE_COLS, keep=keys, schema=PRICE_FIELDS, fmt="fixed")
+    cut = F.when(F.col("l_orderkey") % 7 == 0, F.substring("value", 1, 5)).otherwise(F.col("value"))
+    stream = landed(spark, messages.withColumn("value", cut), "damaged")
+    good, bad, ckpt = (shared_path(spark, f"quarantine-{x}") for x in ("rows", "rejects", "ckpt"))
+    decode_with_rejects(stream, "value", PRICE_FIELDS, "fixed", good, bad, ckpt, keep=keys)
+    rows = read_committed(spark, good).agg(
+        F.lit(None).cast("string").alias("reason"), F.count(F.lit(1)).alias("n"),
+        F.sum("l_orderkey").cast("decimal(38,0)").alias("keys"), F.sum("l_quantity").cast("long").alias("quantity"))
+    rejected = read_committed(spark, bad).groupBy(F.col("reject_reason").alias("reason")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").cast("decimal(38,0)").alias("keys"),
+        F.lit(None).cast("long").alias("quantity"))
+    return rows.unionByName(rejected)
+
+
+class _Fault(Exception):
+    """A fault that a query injects."""
+
+
+@query("stream_crash_recovery", sql="""
+SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS DECIMAL(38,0)) AS keys, 1 AS failed_runs FROM orders GROUP BY o_orderstatus
+""")
+def q_stream_crash_recovery(spark, sf_dir):
+    """The first run fails inside its first micro-batch, after the data and before the manifest; the
+    second one starts from the same checkpoint. Every order counts once."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    path, out, ckpt = (shared_path(spark, f"crash-{x}") for x in ("topic", "sink", "ckpt"))
+    publish_topic(orders, "orders", "parquet", path=path)
+
+    def fault(batch_id):
+        raise _Fault(f"lost before batch {batch_id} was committed")
+
+    failed = 0
+    for hook in (fault, None):
+        stream = open_topic(spark, "orders", "parquet", path=path, maxFilesPerTrigger=FILES_PER_TRIGGER)
+        try:
+            for_each_batch(stream, committed(lambda batch, batch_id: {out: batch}, hook), ckpt)
+        except Exception as error:
+            if "was committed" not in str(error):
+                raise
+            failed += 1
+            if read_committed(spark, out, orders.schema).count():
+                raise AssertionError("rows of a batch that was not committed are seen")
+    rows = read_committed(spark, out)
+    return rows.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").cast("decimal(38,0)").alias("keys"),
+                                             F.lit(failed).alias("failed_runs"))
+
+
+@query("model_versions", sql=nb_sql("""
+SELECT l_orderkey, l_linenumber, prediction, run FROM scored, (VALUES (1), (2)) r(run)
+"""))
+def q_model_versions(spark, sf_dir):
+    """A stream loads the published model; while a later version is only half saved, the
+    earlier one goes on scoring, and after it is published the stream's rows are scored by it."""
+    model, _ = nb_fit(spark, sf_dir)
+    root = shared_path(spark, "model-root")
+    publish_model(model, root, spark)
+    model.stages[0].write().save(f"{root}/versions/half/stages/0")  # a version without metadata, not pointed at
+    rows = nb_input(spark, sf_dir).drop("l_returnflag")
+    columns = ["l_orderkey", "l_linenumber", "prediction"]
+    before = load_current(spark, root).transform(rows).select(*columns, F.lit(1).alias("run"))
+    publish_model(model, root, spark)
+    out, ckpt = shared_path(spark, "versions-sink"), shared_path(spark, "versions-ckpt")
+    scored = score_stream(load_current(spark, root), landed(spark, rows, "versions"))
+    to_parquet(scored.select(*columns), out, ckpt)
+    return spark.read.parquet(out).withColumn("run", F.lit(2)).unionByName(before)
