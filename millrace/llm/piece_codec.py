@@ -100,6 +100,41 @@ class Pool:
         return begin
 
 
+class PairTable:
+    """Pieces by the pair of pieces that they are merged from: open addressing in two arrays."""
+
+    def __init__(self, keys: np.ndarray, pieces: np.ndarray):
+        self.shift = np.uint64(64 - max(4, int(len(keys) * 8).bit_length()))
+        size = 1 << 64 - int(self.shift)
+        self.last = size - 1
+        self.keys, self.pieces = np.full(size, -1, np.int64), np.zeros(size, np.int32)
+        slots, rest = self._slots(keys), np.arange(len(keys))
+        while len(rest):
+            free = rest[self.keys[slots[rest]] < 0]
+            self.keys[slots[free]] = keys[free]  # of several for one slot, one stays
+            placed = self.keys[slots[rest]] == keys[rest]
+            self.pieces[slots[rest[placed]]] = pieces[rest[placed]]
+            rest = rest[~placed]
+            slots[rest] = slots[rest] + 1 & self.last
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(STEP) >> self.shift).astype(np.int64)
+
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are in the table (those below zero are not), and their pieces."""
+        asked = np.flatnonzero(keys >= 0)
+        wanted = keys[asked]
+        slots, hits = self._slots(wanted), []
+        while len(asked):
+            held = self.keys[slots]
+            hit = held == wanted
+            hits.append((asked[hit], self.pieces[slots[hit]]))
+            on = np.flatnonzero(~hit & (held >= 0))
+            asked, wanted, slots = asked[on], wanted[on], slots[on] + 1 & self.last
+        found, pieces = (np.concatenate(x) for x in zip(*hits)) if hits else (np.zeros(0, np.int64), np.zeros(0, np.int32))
+        return found, pieces
+
+
 class Trees:
     """Per stretch, what the agenda does: a node has the candidates that come up
     after the skips that lead to it, the node behind each of them and the ids if
@@ -136,21 +171,46 @@ class Trees:
         ids = self.codec.spelt(self.codec.agenda(stretch, skip))
         return self._node(stretch, skips, passed, came[passed:], ids)
 
-    def root(self, stretch: str) -> int:
-        """The node of a stretch; below zero where it is long or not met often enough."""
-        if (number := self.roots.get(stretch)) is not None:
-            return number
-        if len(stretch) >= SHORT:
-            return -1
-        if (met := self.seen.get(stretch, 0) + 1) < SIGHTS:
-            if not met - 1 and len(self.seen) >= self.codec.memo_entries:
+    def roots_of(self, stretches: list[str], times: np.ndarray) -> np.ndarray:
+        """The node of each stretch, which now occurs so many times; below zero where it
+        is long or not met often enough."""
+        number = np.array([self.roots.get(t, -1) for t in stretches], np.int64)
+        due = []
+        for k in np.flatnonzero(number < 0).tolist():
+            stretch = stretches[k]
+            if len(stretch) >= SHORT:
+                continue
+            if (met := self.seen.pop(stretch, 0) + int(times[k])) >= SIGHTS:
+                due.append(k)
+                continue
+            if len(self.seen) >= self.codec.memo_entries:
                 self.seen.clear()
             self.seen[stretch] = met
-            return -1
-        self.seen.pop(stretch, None)
-        self.roots[stretch] = number = self._grow(stretch, (), 0)
+        together = [due[k] for k in self.codec.together([stretches[k] for k in due])]
+        for at in range(0, len(together), TOGETHER):
+            some = together[at:at + TOGETHER]
+            number[some] = self._grow_many([stretches[k] for k in some])
+        for k in due:
+            if number[k] < 0:
+                number[k] = self._grow(stretches[k], (), 0)
+            self.roots[stretches[k]] = int(number[k])
         return number
 
+    def _grow_many(self, stretches: list[str]) -> np.ndarray:
+        """Root nodes of many stretches."""
+        merges: list[tuple] = []
+        spelt = self.codec.merge_many(stretches, None, merges=merges)
+        rows, pieces, places = (np.concatenate(x) for x in zip(*merges)) if merges else (np.zeros(0, np.int64),) * 3
+        order, came = np.argsort(rows, kind="stable"), np.bincount(rows, minlength=len(stretches))
+        numbers = np.arange(len(stretches)) + len(self.made)
+        self.made += [(t, (), 0) for t in stretches]
+        rows = rows[order]
+        first = self.candidates.add(np.stack([pieces[order], places[order], np.full(len(rows), -SIGHTS), numbers[rows]], 1))
+        sizes = np.fromiter(map(len, spelt), np.int64, len(spelt)) // 4
+        begin = self.ids.add(np.frombuffer(b"".join(spelt), np.uint32))
+        self.nodes.add(np.stack([first + np.cumsum(came) - came, came, begin + np.cumsum(sizes) - sizes, sizes], 1))
+        return numbers
+
     def after(self, slot: int) -> int:
         """Make the node behind the candidate in ``slot``, which is skipped."""
         piece, place, number, owner = self.candidates.data[slot].tolist()
@@ -191,9 +251,8 @@ class PieceCodec:
         self.pieces = model.vocab_size()
         splits = {(self.ids[p[:k]], self.ids[p[k:]]): i for p, i in self.ids.items() for k in range(1, len(p))
                   if p[:k] in self.ids and p[k:] in self.ids}
-        order = sorted(splits)
-        self.pair_keys = np.array([a * self.pieces + b for a, b in order] + [2 ** 62], np.int64)
-        self.pair_piece = np.array([splits[x] for x in order] + [0], np.int64)
+        self.pairs = PairTable(np.array([a * self.pieces + b for a, b in splits], np.int64),
+                               np.array(list(splits.values()), np.int32))
         self.piece_rank = np.full(self.pieces, NEVER, np.int32)
         self.piece_rank[list(self.ids.values())] = [self.rank[p] for p in self.ids]
         self.rank_piece = np.zeros(len(scores), np.int32)
@@ -267,27 +326,44 @@ class PieceCodec:
     def spelt(self, pieces: list[str]) -> bytes:
         return b"".join([self.spell.get(p) or self._bytes(p) for p in pieces])
 
-    def _ranks(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, draws: np.ndarray,
+    def _ranks(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, draws: np.ndarray | None,
                keys_of: np.ndarray | None) -> np.ndarray:
         """Rank of merging ``left`` and ``right``; NEVER if no piece is spelt so or it is
-        skipped at this place. ``draws`` by piece are of one key, or of each row's."""
+        skipped at this place. ``draws`` by piece are of one key, or of each row's; without
+        draws nothing is skipped."""
         keys = left.astype(np.int64) * self.pieces + right
-        at = np.searchsorted(self.pair_keys, keys)
-        found = np.flatnonzero(((self.pair_keys[at] == keys) & (left >= 0) & (right >= 0)).ravel())
-        piece = self.pair_piece[at.ravel()[found]]
-        draw = draws[piece]
-        if keys_of is not None:
-            draw = draw + (np.repeat(keys_of, keys.shape[1]) if keys.ndim == 2 else keys_of)[found]
-        taken = candidate_hashes(draw, place.ravel()[found]) >= np.uint64(self.limit)
+        keys[(left < 0) | (right < 0)] = -1
+        found, piece = self.pairs.look_up(keys.ravel())
+        if draws is not None:
+            draw = draws[piece]
+            if keys_of is not None:
+                draw = draw + (np.repeat(keys_of, keys.shape[1]) if keys.ndim == 2 else keys_of)[found]
+            taken = candidate_hashes(draw, place.ravel()[found]) >= np.uint64(self.limit)
+            found, piece = found[taken], piece[taken]
         out = np.full(keys.shape, NEVER, np.int32)
-        out.ravel()[found[taken]] = self.piece_rank[piece[taken]]
+        out.ravel()[found] = self.piece_rank[piece]
         return out
 
-    def merge_many(self, stretches: list[str], draws: np.ndarray, keys_of: np.ndarray | None = None,
-                   starts: np.ndarray | int = 0) -> list[bytes]:
+    def together(self, stretches: list[str]) -> list[int]:
+        """Which stretches ``merge_many`` can take, by length: not those of several blanks
+        (their pieces share ranks) or with characters of several bytes."""
+        if self.one_by_one:
+            return []
+        short = [k for k, t in enumerate(stretches) if 0 < len(t) < SHORT and BLANK * 2 not in t]
+        if not short:
+            return []
+        lengths = np.fromiter((len(stretches[k]) for k in short), np.int64, len(short))
+        points = np.frombuffer("".join([stretches[k] for k in short]).encode("utf-32-le"), np.uint32)
+        known = np.minimum.reduceat(self.char_id[points], np.cumsum(lengths) - lengths) >= 0
+        order = np.argsort(lengths, kind="stable")
+        return np.array(short)[order[known[order]]].tolist()
+
+    def merge_many(self, stretches: list[str], draws: np.ndarray | None, keys_of: np.ndarray | None = None,
+                   starts: np.ndarray | int = 0, merges: list | None = None) -> list[bytes]:
         """``merge`` and spelling of many short stretches together: in each round every
         stretch takes the first candidate of its agenda. With ``keys_of``, the key of each
-        stretch's document, ``draws`` are those of key 0."""
+        stretch's document, ``draws`` are those of key 0. The merges of each round (stretches,
+        pieces, places) are added to ``merges``."""
         lengths = np.fromiter(map(len, stretches), np.int64, len(stretches))
         width = int(lengths.max()) + 1
         columns = np.arange(width, dtype=np.int32)
@@ -311,12 +387,14 @@ class PieceCodec:
                 rows, at, best, line = rows[going], at[going], best[going], line[:int(going.sum())]
                 symbols, places, ranks = symbols[going], places[going], ranks[going]
                 keys_of = None if keys_of is None else keys_of[going]
+            piece = self.rank_piece[best]
+            if merges is not None and len(rows):
+                merges.append((rows, piece, places[line, at]))
             # the right part goes, all behind it move up
             moved = columns[:-1] > at[:, None]
             for table, fill in ((symbols, -1), (places, 0), (ranks, NEVER)):
                 np.copyto(table[:, :-1], table[:, 1:].copy(), where=moved)
                 table[:, -1] = fill
-            piece = self.rank_piece[best]
             symbols[line, at] = piece
             ranks[line, at] = self._ranks(piece, symbols[line, at + 1], places[line, at], draws, keys_of)
             has = np.flatnonzero(at)
@@ -335,31 +413,26 @@ class PieceCodec:
     def cut(self, text: str) -> list[str]:
         """The stretches of a text, in order; an empty one is a blank mark that stands in
         the text itself."""
-        if not text:
-            return []
+        return self.parted(text).split(" ") if text else []
+
+    def parted(self, text: str) -> str:
+        """The stretches of a text that is not empty, with a blank between two (none has one)."""
         lines = text.replace("\n", " \n")
         if self.newline_alone and not ("  " in lines or BLANK in lines or lines[0] == " " or lines[-1] == " "):
-            return (BLANK + text.replace(" ", " " + BLANK).replace("\n", " \n")).split(" ")
+            return BLANK + text.replace(" ", " " + BLANK).replace("\n", " \n")
         out: list[str] = []
         for k, part in enumerate((" " + text).split(BLANK)):
             out += [""] * (k > 0) + self.stretches.findall(part.replace(" ", BLANK))
-        return out
+        return " ".join(out)
 
     def _direct(self, stretches: list[str], keys: np.ndarray, starts: np.ndarray) -> list[bytes]:
         """Stretches merged with their draws."""
         out: list[bytes | None] = [None] * len(stretches)
-        if not self.one_by_one:
-            # one by one: several blanks (their pieces share ranks), characters of several bytes
-            short = sorted((k for k, t in enumerate(stretches) if len(t) < SHORT and BLANK * 2 not in t), key=lambda k: len(stretches[k]))
-            for at in range(0, len(short), TOGETHER):
-                some = short[at:at + TOGETHER]
-                points = np.frombuffer("".join([stretches[k] for k in some]).encode("utf-32-le"), np.uint32)
-                if (self.char_id[points] < 0).any():
-                    some = [k for k in some if (self.char_id[list(map(ord, stretches[k]))] >= 0).all()]
-                if some:
-                    texts = [stretches[k] for k in some]
-                    for k, data in zip(some, self.merge_many(texts, self.piece_step, keys[some], starts[some])):
-                        out[k] = data
+        together = self.together(stretches)
+        for at in range(0, len(together), TOGETHER):
+            some = together[at:at + TOGETHER]
+            for k, data in zip(some, self.merge_many([stretches[k] for k in some], self.piece_step, keys[some], starts[some])):
+                out[k] = data
         return [self.spelt(self._merge_keyed(t, int(keys[k]), int(starts[k]))) if out[k] is None else out[k]
                 for k, t in enumerate(stretches)]
 
@@ -377,18 +450,19 @@ class PieceCodec:
     def _encode_some(self, texts: list[str], variants: list[int]) -> list[bytes]:
         if len(self.trees.made) >= self.memo_entries:
             self.trees = Trees(self)
-        trees, cuts = self.trees, [self.cut(t) for t in texts]
-        units = [u for c in cuts for u in c]
-        counts = np.array([len(c) for c in cuts], np.int64)
+        trees, parted = self.trees, [self.parted(t) if t else "" for t in texts]
+        counts = np.array([t.count(" ") + 1 if t else 0 for t in parted], np.int64)
+        if not counts.any():
+            return [b""] * len(texts)
+        # each different stretch is looked up once
+        units = pc.split_pattern(pa.array([" ".join([t for t in parted if t])], pa.large_string()), " ").values.dictionary_encode()
+        words, word = units.dictionary.to_numpy(zero_copy_only=False).tolist(), units.indices.to_numpy().astype(np.int64)
         keys = np.repeat(np.array(variants, np.uint64), counts)
-        lengths = np.maximum(np.fromiter(map(len, units), np.int64, len(units)), 1)
+        lengths = np.maximum(pc.utf8_length(units.dictionary).to_numpy(), 1)[word]
         ends = np.concatenate(([0], np.cumsum(lengths)))
         edges = np.concatenate(([0], np.cumsum(counts)))
         starts = ends[:-1] - np.repeat(ends[edges[:-1]], counts)
-        known = trees.roots
-        node = np.array([known.get(u, -1) for u in units], np.int64)
-        for k in np.flatnonzero(node < 0).tolist():
-            node[k] = trees.root(units[k])
+        node = trees.roots_of(words, np.bincount(word))[word]
         going = np.flatnonzero(node >= 0)
         while len(going):
             at = trees.nodes.data[node[going]]
@@ -408,7 +482,7 @@ class PieceCodec:
             going = going[behind >= 0]
         direct = np.flatnonzero(node < 0)
         begin, sizes = trees.nodes.data[node, 2], trees.nodes.data[node, 3]
-        data = self._direct([units[k] for k in direct.tolist()], keys[direct], starts[direct])
+        data = self._direct([words[k] for k in word[direct].tolist()], keys[direct], starts[direct])
         # the pool's end is free for them until nodes are added
         used = trees.ids.used
         sizes[direct] = [len(x) // 4 for x in data]
