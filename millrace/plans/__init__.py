@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from millrace.plans import (column_queries, eval_queries, feature_queries,  # noqa: F401
                             io_queries, model_queries, quality_queries, stream_queries,
-                            text_queries)
+                            text_queries, tuning_queries)
 from millrace.plans import registry
 
 
