@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import shared_path
+
 
 def union_all(frames: Sequence[DataFrame], by_name: bool = False,
               allow_missing: bool = False) -> DataFrame:
@@ -29,10 +31,20 @@ def split_draw(seed: int, keys: Sequence[str]):
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 2 ** 32
 
 
+def _free(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores before them as ``df`` leaves free."""
+    taken = {c.lower() for c in df.columns}
+    before = "_"
+    while any(before + n in taken for n in names):
+        before += "_"
+    return [before + n for n in names]
+
+
 def tag_split(df: DataFrame, weights: Sequence[float], seed: int,
               names: Sequence[str] | None = None, col: str = "split",
               keys: Sequence[str] | None = None) -> DataFrame:
-    """All rows with a ``split`` column naming their part. Weights are normalised to
+    """All rows with a column ``split`` naming their part (a column of that name is replaced, every
+    other one is kept, whatever its name). Weights are normalised to
     sum 1. With ``keys`` it is one pass without a shuffle, and rows that agree in
     them go to the same part. Without, every row has a draw of its own: equal rows
     are numbered, and the draw is that of the whole row (columns of any type) and
@@ -43,11 +55,13 @@ def tag_split(df: DataFrame, weights: Sequence[float], seed: int,
     for name, w in zip(names[:-1], weights):
         below += w / total
         cases.append((name, below))
+    draw, row, number = _free(df, "draw", "row", "number")
     for name, bound in reversed(cases):
-        part = F.when(F.col("_draw") < bound, F.lit(name)).otherwise(part)
+        part = F.when(F.col(draw) < bound, F.lit(name)).otherwise(part)
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() != col.lower()]
     if not keys:
-        df, keys = _numbered(df), ["_row", "_number"]
-    return df.withColumn("_draw", split_draw(seed, keys)).withColumn(col, part).drop("_draw", "_row", "_number")
+        df, keys = _numbered(df, row, number), [row, number]
+    return df.withColumn(draw, split_draw(seed, keys)).select(*kept, part.alias(col))
 
 
 COPIES_AT_ONCE = 10_000
@@ -64,8 +78,8 @@ def _as_text(field: T.StructField):
                                         "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
 
 
-def _numbered(df: DataFrame) -> DataFrame:
-    """``df`` with ``_row``, a digest of all columns, and ``_number``, which counts equal
+def _numbered(df: DataFrame, row: str, number: str) -> DataFrame:
+    """``df`` with ``row``, a digest of all columns, and ``number``, which counts equal
     rows from 0. Copies are counted (in the map tasks first) and written out again
     in runs of ``COPIES_AT_ONCE``, dealt to many tasks."""
     digest = F.sha2(F.to_json(F.array(*map(_as_text, df.schema.fields))), 256)
@@ -76,12 +90,21 @@ def _numbered(df: DataFrame) -> DataFrame:
     begin = F.col("_run") * COPIES_AT_ONCE
     dealt = runs.repartition("_row", "_run")
     return (dealt.withColumn("_number", F.explode(F.sequence(begin, F.least(last, begin + COPIES_AT_ONCE - 1))))
-            .select("_value.*", "_row", "_number"))
+            .select("_value.*", F.col("_row").alias(row), F.col("_number").alias(number)))
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int,
                  keys: Sequence[str] | None = None) -> list[DataFrame]:
-    """Seeded split into one frame per weight, each a filter of the tagged input
-    (``tag_split``): by ``keys``, or row by row where none are named."""
-    tagged = tag_split(df, weights, seed, col="_part", keys=keys)
-    return [tagged.filter(F.col("_part") == f"part{i}").drop("_part") for i in range(len(weights))]
+    """Seeded split into one frame per weight, by ``keys`` or row by row where none are named
+    (``tag_split``).
+
+    With keys each frame is a filter of the input. Without, the tagged rows are written once to the shared
+    folder, a folder per part, and each frame reads its own: the shuffle that numbers equal rows is
+    done once for all parts, when this is called. An empty table gives empty parts."""
+    part, = _free(df, "part")
+    tagged = tag_split(df, weights, seed, col=part, keys=keys)
+    if not keys:
+        path = shared_path(df.sparkSession, "split")
+        tagged.write.partitionBy(part).parquet(path)
+        tagged = df.sparkSession.read.schema(tagged.schema).parquet(path)
+    return [tagged.filter(F.col(part) == f"part{i}").drop(part) for i in range(len(weights))]

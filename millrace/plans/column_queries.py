@@ -157,6 +157,19 @@ def q_random_split(spark, sf_dir):
     return tag_split(li, [0.8, 0.2], seed=11, names=["train", "test"], keys=LINE_KEYS)
 
 
+FLAGS = ["l_returnflag", "l_linestatus"]
+NUMBERED_SQL = f"""(SELECT *, row_number() OVER (PARTITION BY r) - 1 AS number
+ FROM (SELECT {", ".join(FLAGS)}, sha256('["' || l_returnflag || '","' || l_linestatus || '"]') AS r FROM lineitem))"""
+
+
+@query("random_split_rows", sql=split_sql(11, [0.7, 0.2, 0.1], ["part0", "part1", "part2"], "r, number",
+                                          NUMBERED_SQL, ", ".join(FLAGS)))
+def q_random_split_rows(spark, sf_dir):
+    """Rows without a key, most of them equal to very many others, dealt one by one."""
+    parts = random_split(table(spark, sf_dir, "lineitem").select(*FLAGS), [0.7, 0.2, 0.1], seed=11)
+    return union_all([p.withColumn("split", F.lit(f"part{i}")) for i, p in enumerate(parts)])
+
+
 @query("random_split_unnormalised",
        sql=split_sql(11, [0.3, 0.3], ["train", "test"], ", ".join(LINE_KEYS), "lineitem"))
 def q_random_split_unnormalised(spark, sf_dir):

@@ -130,3 +130,23 @@ def test_tag_split_three_way_proportions(spark):
               .collect()}
     sigma = (300000 * (1 / 3) * (2 / 3)) ** 0.5
     assert all(abs(counts[k] - 100000) <= 4 * sigma for k in "abc"), counts
+
+
+def test_random_split_keeps_columns_of_any_name(spark):
+    names = ["_row", "_number", "_draw", "_part", "__row", "part"]
+    df = spark.createDataFrame([(i % 3, i, "a", "b", None, 1.5) for i in range(60)] * 2,
+                               "_row int, _number int, _draw string, _part string, __row string, part double")
+    for keys in (None, ["_number"]):
+        parts = random_split(df, [0.6, 0.4], seed=5, keys=keys)
+        assert all(p.columns == names for p in parts)
+        assert union_all(parts).exceptAll(df).count() == 0 and df.exceptAll(union_all(parts)).count() == 0
+
+
+def test_unkeyed_split_shuffles_once(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS a")
+    parts = random_split(df, [0.5, 0.3, 0.2], seed=5)
+    for k, p in enumerate(parts):
+        plan = p._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "PartitionFilters" in plan and f"part{k}" in plan
+    assert sum(p.count() for p in parts) == 1000
+    assert [p.count() for p in random_split(df.limit(0), [0.5, 0.5], seed=5)] == [0, 0]
