@@ -64,6 +64,12 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1 ... (sizes[0] numbers), begin[1] ..."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + sizes, sizes)
+
+
 class Memo(dict):
     """``memo[key]`` is ``make(key)``, kept for the ``entries`` keys that came
     last or again since the last turnover: at most twice as many are held."""

@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import sha256_hex, worker_keeps
+from millrace.llm.common import sha256_hex, spread, worker_keeps
 
 BLANK = "▁"
 DROPOUT, SEED = 0.1, 42
@@ -76,12 +76,6 @@ def candidate_hashes(draws: np.ndarray, places: np.ndarray) -> np.ndarray:
     return z >> np.uint64(32)
 
 
-def _spread(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """begin[0], begin[0] + 1 ... (sizes[0] numbers), begin[1] ..."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + sizes, sizes)
-
-
 class Pool:
     """Rows of numbers in a numpy array that grows at its end."""
 
@@ -466,7 +460,7 @@ class PieceCodec:
         going = np.flatnonzero(node >= 0)
         while len(going):
             at = trees.nodes.data[node[going]]
-            slots, unit = _spread(at[:, 0], at[:, 1]), np.repeat(going, at[:, 1])
+            slots, unit = spread(at[:, 0], at[:, 1]), np.repeat(going, at[:, 1])
             came = trees.candidates.data[slots]
             hashes = candidate_hashes(keys[unit] + self.piece_step[came[:, 0]], starts[unit] + came[:, 1])
             skipped = np.flatnonzero(hashes < np.uint64(self.limit))
@@ -488,7 +482,7 @@ class PieceCodec:
         sizes[direct] = [len(x) // 4 for x in data]
         begin[direct] = trees.ids.add(np.frombuffer(b"".join(data), np.uint32)) + np.cumsum(sizes[direct]) - sizes[direct]
         trees.ids.used = used
-        spelt = trees.ids.data[_spread(begin, sizes)].tobytes()
+        spelt = trees.ids.data[spread(begin, sizes)].tobytes()
         bounds = (np.concatenate(([0], np.cumsum(sizes)))[edges] * 4).tolist()
         return [spelt[a:b] for a, b in zip(bounds, bounds[1:])]
 

@@ -30,13 +30,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Memo, worker_keeps
+from millrace.llm.common import Memo, spread, worker_keeps
 
 MEMO_ENTRIES = 400_000
-ROWS_AT_ONCE = 256
+ROWS_AT_ONCE = 1024
 
 # The pre-token pattern of word-end BPE vocabularies, and the
 # texts on which it is applied here (printable ASCII, tab, line ends and
@@ -92,6 +93,21 @@ class WordEncoder:
             return self._whole(text)
         return b"".join(map(self.memo.__getitem__, text.replace("\n", " ").split(" ")))
 
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has; each different
+        chunk of the column is looked up once."""
+        if any(pc.any(pc.match_substring(texts, s)).as_py() for s in self.specials):
+            found = [self.encode(t) for t in texts.to_pylist()]
+            return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        chunks = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = chunks.flatten().dictionary_encode()
+        data = [*map(self.memo.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist())]
+        sizes, index = np.fromiter(map(len, data), np.int64, len(data)) // 4, coded.indices.to_numpy()
+        ids = np.frombuffer(b"".join(data), "<u4")[spread((np.cumsum(sizes) - sizes)[index], sizes[index])]
+        ends = np.concatenate(([0], np.cumsum(sizes[index])))
+        edges = np.concatenate(([0], np.cumsum(pc.list_value_length(chunks).to_numpy())))
+        return ids, np.diff(ends[edges])
+
 
 def encode_sorted(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id",
                   text_col: str = "text", parts: int | None = None) -> DataFrame:
@@ -104,13 +120,14 @@ def encode_sorted(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, start = worker_keeps(("words", tokenizer_path), lambda: WordEncoder(tokenizer_path)), 0
-        end = array.array("I", [end_id]).tobytes()
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
-                ids = [encoder.encode(t) + end for t in batch.column("text").to_pylist()]
-                edges = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int64)
-                flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
+                found, sizes = encoder.encode_column(batch.column("text"))
+                edges = np.concatenate(([0], np.cumsum(sizes + 1)))
+                flat, inside = np.full(edges[-1], end_id, np.int32), np.ones(edges[-1], bool)
+                inside[edges[1:] - 1] = False
+                flat[inside] = found
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("part"), batch.column("doc_id"), pa.array(start + edges[:-1]),
                      pa.array(np.diff(edges).astype(np.int32)),
