@@ -8,13 +8,15 @@ weighted mean is scored. Only document labels are given: which passages matter
 is learned by the attention weights.
 
 Training uses at most ``TRAIN_DOCS`` labelled documents, those with the smallest
-hash of their id, and of each at most ``TRAIN_PASSAGES`` passages, evenly spaced;
-scoring reads whole texts, block by block, keeping two numbers per passage.
+hash of their id, and every passage of each; a step works through a batch's
+passages ``STEP_ROWS`` at a time. Scoring reads whole texts, block by block, keeping
+two numbers per passage.
 
 Edge cases: null and empty texts are one passage without words and get the score
 the model gives it; a null id is scored and never trains; a null label does not
-train; rows that repeat an id in the labels count with the largest label; a
-training set without both labels gives the constant score of its share of ones
+train; rows that repeat an id in the labels count with the largest label; of
+documents that repeat an id with other texts, the one whose features come first as
+bytes trains, whatever the order of the rows; a training set without both labels gives the constant score of its share of ones
 (0.5 without any); an empty table gives no rows; other columns are not read.
 """
 
@@ -31,10 +33,11 @@ from pyspark.sql import functions as F
 from millrace.llm.common import cut, text_blocks, text_bytes
 
 PASSAGE = 64
-TRAIN_DOCS, TRAIN_PASSAGES = 6000, 64
+TRAIN_DOCS = 6000
 HIDDEN, GATE = 24, 16
 EPOCHS, BATCH, RATE, DECAY = 30, 64, 3e-3, 1e-4
 SEED = 7
+STEP_ROWS = 1 << 14
 TEXT_BLOCK = 1 << 18
 
 # byte classes: letters by case, digits, white space, marks one by one, non-ASCII
@@ -120,11 +123,14 @@ class Model:
     constant: float | None = None
 
     @classmethod
-    def fresh(cls, x: np.ndarray, seed: int = SEED) -> "Model":
+    def fresh(cls, bags: list[np.ndarray], seed: int = SEED) -> "Model":
         draw = np.random.default_rng(seed)
         some = lambda *shape: draw.normal(0, 1 / np.sqrt(shape[0]), shape)
-        return cls({"mean": x.mean(axis=0), "scale": 1 / (x.std(axis=0) + 1e-3),
-                    "E": some(x.shape[1], HIDDEN), "e": np.zeros(HIDDEN), "V": some(HIDDEN, GATE), "U": some(HIDDEN, GATE),
+        n = sum(map(len, bags))
+        mean = sum(x.sum(axis=0, dtype=np.float64) for x in bags) / n
+        spread = np.sqrt(sum(((x - mean) ** 2).sum(axis=0) for x in bags) / n)
+        return cls({"mean": mean.astype(np.float32), "scale": (1 / (spread + 1e-3)).astype(np.float32),
+                    "E": some(len(mean), HIDDEN), "e": np.zeros(HIDDEN), "V": some(HIDDEN, GATE), "U": some(HIDDEN, GATE),
                     "w": some(GATE, 1), "c": some(HIDDEN, 1), "c0": np.zeros(1)})
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -149,12 +155,42 @@ class Model:
         return float(_sigmoid((a * np.concatenate(values)).sum() / a.sum() + self.weights["c0"])[0])
 
 
+def slopes(model: Model, bags: list[np.ndarray], labels: np.ndarray) -> dict[str, np.ndarray]:
+    """The gradient of the documents' mean log loss, by name of the weights."""
+    p = model.weights
+    sizes = np.array([len(x) for x in bags])
+    begins, bag = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(bags)), sizes)
+    rows = np.concatenate(bags)
+    starts = range(0, len(rows), STEP_ROWS)
+    kept = [model.encode(rows)] if len(starts) == 1 else []
+    blocks = lambda: kept or (model.encode(rows[at:at + STEP_ROWS]) for at in starts)
+    passes = [(a[:, 0], (h @ p["c"])[:, 0]) for _, h, _, _, a in blocks()]
+    logit, value = (np.concatenate(column) for column in zip(*passes))
+    weight = np.exp(logit - np.maximum.reduceat(logit, begins)[bag])
+    weight /= np.add.reduceat(weight, begins)[bag]
+    bag_value = np.add.reduceat(weight * value, begins)
+    off = (_sigmoid(bag_value + p["c0"]) - labels) / len(bags)
+    out = {k: np.zeros_like(p[k]) for k in ("E", "e", "V", "U", "w", "c")} | {"c0": np.array([off.sum()])}
+    # back through the weighted mean, the attention and the encoding
+    d_value = off[bag] * weight
+    d_logit = d_value * (value - bag_value[bag])
+    for at, (x, h, v, u, _) in zip(starts, blocks()):
+        d_a, d_c = (d[at:at + STEP_ROWS, None] for d in (d_logit, d_value))
+        d_gate = d_a @ p["w"].T
+        d_v, d_u = d_gate * u * (1 - v * v), d_gate * v * u * (1 - u)
+        d_h = (d_c @ p["c"].T + d_v @ p["V"].T + d_u @ p["U"].T) * (1 - h * h)
+        for k, slope in {"E": x.T @ d_h, "e": d_h.sum(axis=0), "V": h.T @ d_v, "U": h.T @ d_u,
+                         "w": (v * u).T @ d_a, "c": h.T @ d_c}.items():
+            out[k] += slope
+    return out
+
+
 def train(bags: list[np.ndarray], labels: np.ndarray) -> Model:
     """Gradient descent (Adam) on the documents' log loss; the same bags in the
     same order give the same model."""
     if len(set(labels.tolist())) < 2:
         return Model({}, float(labels.mean()) if len(labels) else 0.5)
-    model = Model.fresh(np.concatenate(bags))
+    model = Model.fresh(bags)
     p, names = model.weights, ["E", "e", "V", "U", "w", "c", "c0"]
     first, second = ({k: np.zeros_like(p[k]) for k in names} for _ in range(2))
     draw, step = np.random.default_rng(SEED), 0
@@ -162,26 +198,10 @@ def train(bags: list[np.ndarray], labels: np.ndarray) -> Model:
         order = draw.permutation(len(bags))
         for at in range(0, len(order), BATCH):
             picked = order[at:at + BATCH]
-            sizes = np.array([len(bags[i]) for i in picked])
-            begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            bag = np.repeat(np.arange(len(picked)), sizes)
-            x, h, v, u, a = model.encode(np.concatenate([bags[i] for i in picked]))
-            weight = np.exp(a[:, 0] - np.maximum.reduceat(a[:, 0], begins)[bag])
-            weight /= np.add.reduceat(weight, begins)[bag]
-            value = (h @ p["c"])[:, 0]
-            bag_value = np.add.reduceat(weight * value, begins)
-            off = (_sigmoid(bag_value + p["c0"]) - labels[picked]) / len(picked)
-            # back through the weighted mean, the attention and the encoding
-            d_a = (off[bag] * weight * (value - bag_value[bag]))[:, None]
-            d_gate = d_a @ p["w"].T
-            d_v, d_u = d_gate * u * (1 - v * v), d_gate * v * u * (1 - u)
-            d_h = (off[bag] * weight)[:, None] @ p["c"].T + d_v @ p["V"].T + d_u @ p["U"].T
-            d_h = d_h * (1 - h * h)
-            slopes = {"E": x.T @ d_h, "e": d_h.sum(axis=0), "V": h.T @ d_v, "U": h.T @ d_u, "w": (v * u).T @ d_a,
-                      "c": h.T @ (off[bag] * weight)[:, None], "c0": np.array([off.sum()])}
+            found = slopes(model, [bags[i] for i in picked], labels[picked])
             step += 1
             for k in names:
-                slope = slopes[k] + DECAY * p[k]
+                slope = found[k] + DECAY * p[k]
                 first[k] = 0.9 * first[k] + 0.1 * slope
                 second[k] = 0.999 * second[k] + 0.001 * slope * slope
                 p[k] = p[k] - RATE * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)
@@ -189,10 +209,9 @@ def train(bags: list[np.ndarray], labels: np.ndarray) -> Model:
 
 
 def training_bags(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  label_col: str = "quality", docs_at_most: int = TRAIN_DOCS,
-                  passages_at_most: int = TRAIN_PASSAGES) -> tuple[list[np.ndarray], np.ndarray]:
-    """The training sample on the driver, in order of its ids' hashes; it is
-    bounded by both numbers, whatever the tables hold."""
+                  label_col: str = "quality", docs_at_most: int = TRAIN_DOCS) -> tuple[list[np.ndarray], np.ndarray]:
+    """The training sample on the driver, in order of its ids' hashes: the passages of at most
+    ``docs_at_most`` whole texts, about as large as these texts."""
     named = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
              .where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label")))
     picked = cut(named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(docs_at_most), "training-ids")
@@ -203,14 +222,13 @@ def training_bags(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         for batch in batches:
             found = []
             for raw in batch.column("raw"):
-                x = np.concatenate(list(passages(raw.as_py())))
-                x = x[np.unique(np.linspace(0, len(x) - 1, passages_at_most).astype(int))]
-                found.append(x.astype(np.float32).tobytes())
+                found.append(np.concatenate(list(passages(raw.as_py()))).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary()),
                                               batch.column("label")], ["doc_id", "bag", "label"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    bags = rows.mapInArrow(run, f"doc_id {id_type}, bag binary, label int").dropDuplicates(["doc_id"])
+    bags = (rows.mapInArrow(run, f"doc_id {id_type}, bag binary, label int")
+            .groupBy("doc_id").agg(F.min("bag").alias("bag"), F.max("label").alias("label")))
     sample = bags.orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     return ([np.frombuffer(r.bag, np.float32).reshape(-1, FEATURES) for r in sample],
             np.array([r.label for r in sample], np.float64))

@@ -282,13 +282,89 @@ def test_training_lowers_the_loss_and_finds_the_passage():
         labels.append(1.0 - i % 2)
     labels = np.array(labels)
     model = qm.train(bags[:300], labels[:300])
-    assert _loss(model, bags[300:], labels[300:]) < 0.2 < _loss(qm.Model.fresh(np.concatenate(bags)), bags[300:], labels[300:])
+    assert _loss(model, bags[300:], labels[300:]) < 0.2 < _loss(qm.Model.fresh(bags), bags[300:], labels[300:])
     hits = [np.argmax(model.encode(b)[4][:, 0]) == np.argmax(b[:, :3].sum(axis=1)) for b in bags[301::2]]
     assert np.mean(hits) > 0.9
     again = qm.train(bags[:300], labels[:300])
     assert all((again.weights[k] == v).all() for k, v in model.weights.items())
 
 
+def test_slopes_equal_finite_differences(monkeypatch):
+    rng = np.random.default_rng(3)
+    bags = [rng.normal(0, 1, (n, qm.FEATURES)).astype(np.float32) for n in (1, 7, 30, 2)]
+    labels = np.array([1.0, 0.0, 1.0, 0.0])
+    model = qm.Model.fresh(bags)
+    model.weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    found = qm.slopes(model, bags, labels)
+    for name, slope in found.items():
+        flat = model.weights[name].reshape(-1)
+        for at in rng.choice(flat.size, min(5, flat.size), replace=False):
+            at_old, ends = flat[at], []
+            for step in (1e-5, -1e-5):
+                flat[at] = at_old + step
+                ends.append(_loss(model, bags, labels))
+            flat[at] = at_old
+            assert abs((ends[0] - ends[1]) / 2e-5 - slope.reshape(-1)[at]) < 1e-6, name
+    monkeypatch.setattr(qm, "STEP_ROWS", 3)  # a text in several steps
+    assert all(np.allclose(v, found[k], atol=1e-12) for k, v in qm.slopes(model, bags, labels).items())
+
+
+def _naive_features(raw):
+    """The features of a text, passage by passage, in plain Python."""
+    groups = [b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\r", b"\n",
+              *(bytes([b]) for b in b".,!?;:|*$&%#@=/-_"), b"'\"", b"()[]{}<>"]
+    kind = lambda b: len(groups) + 1 if b >= 128 else next((i for i, g in enumerate(groups) if b in g), len(groups))
+    words = [(m.start(), m.group()) for m in re.finditer(rb"[^ \t-\r]+", raw)]
+    starts = [0] + [words[i][0] for i in range(64, len(words), 64)] + [len(raw)]
+    out = []
+    for k, (a, b) in enumerate(zip(starts, starts[1:])):
+        own, row = [w for _, w in words[64 * k:64 * k + 64]], np.zeros(qm.FEATURES)
+        for i in range(a, b):
+            row[kind(raw[i])] += 1 / (b - a)
+            if i:
+                row[qm.CLASSES + (kind(raw[i - 1]) * 31 + kind(raw[i]) * 7) % qm.PAIRS] += 1 / (b - a)
+        at = qm.CLASSES + qm.PAIRS
+        for w in own:  # a word's bucket is that of a text of this word alone
+            row[at + np.argmax(qm.block_features(w)[0, at:at + qm.WORDS])] += 1 / len(own)
+        before = [words[64 * k - 1][1] if k else None] + own
+        mark = lambda b: not (chr(b).isalnum() or b >= 128)
+        row[at + qm.WORDS:] = [
+            np.mean([len(w) for w in own]) / 10, np.sqrt(np.mean([len(w) ** 2 for w in own])) / 10,
+            np.mean([x == y for x, y in zip(before, own)]), len(set(own)) / len(own), np.mean([mark(w[-1]) for w in own]),
+            np.mean([mark(w[0]) for w in own]), np.mean([kind(w[0]) == 1 and kind(w[-1]) != 0 for w in own]),
+            np.log1p(len(own)) / 4]
+        out.append(row)
+    return np.array(out)
+
+
+def test_scores_equal_a_plain_forward_pass(monkeypatch):
+    rng = random.Random(4)
+    text = " ".join(rng.choice(["Ein", "Satz", "satz,", "(und", "été!", "123", "USA", "a", "a", "\n", "x_y"])
+                    for _ in range(300)).encode()
+    x = qm.block_features(text)
+    assert np.allclose(x, _naive_features(text), atol=1e-5)
+    model = qm.Model.fresh([x, x[:2] * 2])
+    p = {k: np.asarray(v, float) for k, v in model.weights.items()}
+    top = bottom = 0.0
+    for row in _naive_features(text):
+        row = np.clip((row - p["mean"]) * p["scale"], -5, 5)
+        h = np.tanh(row @ p["E"] + p["e"])
+        weight = np.exp((np.tanh(h @ p["V"]) / (1 + np.exp(-(h @ p["U"])))) @ p["w"])[0]
+        top, bottom = top + weight * (h @ p["c"])[0], bottom + weight
+    assert abs(model.score(text) - 1 / (1 + np.exp(-(top / bottom + p["c0"][0])))) < 1e-3
+
+
+def test_training_reads_whole_texts_and_one_of_repeated_ids(spark):
+    long = " ".join(f"word{i}" for i in range(64 * 200))
+    rows = [(1, long), (2, "a b c"), (2, "d, e. f"), (2, None), (3, ""), (4, None), (None, "x")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (3, 0), (4, None), (None, 1)], "doc_id long, quality int")
+    sample = lambda some: qm.training_bags(_docs(spark, some), labels)
+    bags, marks = sample(rows)
+    assert sorted(map(len, bags)) == [1, 1, 200] and sorted(marks.tolist()) == [0, 1, 1]
+    again, _ = sample(rows[::-1])
+    assert all((x == y).all() for x, y in zip(bags, again))
+
+
 def test_features_are_whole_and_finite():
     text = ("Ein Satz, noch ein Satz. " * 400 + "!!! $$$ ").encode()
     x = qm.block_features(text)
