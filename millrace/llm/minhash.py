@@ -13,7 +13,10 @@
 4. Documents that share a bucket but not a component are compared exactly: their
    shingles are put in one order, rare ones first. Two sets that the
    threshold links have a shingle in common among the first quarter of each, and
-   at the first such place enough shingles are left on both sides. Pairs of
+   at the first such place enough shingles are left on both sides. The longer set of a
+   pair asks in bands of set sizes that its place allows, and a shorter one answers only
+   from the first places that any longer one allows (a seventh of its set at 75), so
+   a passage that many otherwise different texts share pairs none of them. Pairs of
    different components that pass this are checked by signature and on full
    sets, so no pair of a bucket that the threshold links is lost. Texts that
    differ have shingles of their own, which fill their first quarter, so few
@@ -48,6 +51,7 @@ PERCENT = 75
 ESTIMATE_MIN = 0.60
 SEED = 20240229
 TEXT_BLOCK = 1 << 20  # bytes of a text that are hashed at a time
+SIZE_BAND = 1.04  # set sizes of a band differ by less than this factor
 SET_BLOCK = 512  # shingles that are hashed by all functions at a time
 
 _SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
@@ -242,11 +246,21 @@ def _prefix_pairs(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .withColumn("place", F.col("n_shingles") - F.count("*").over(each) + F.row_number().over(ranked) - 1)
             .where(F.expr(f"place <= n_shingles - ceil({percent} * n_shingles / 100)")))
     rows = cut(rows.select("shingle", "doc_id", "n_shingles", "component", "place"), "prefixes")
-    can = F.expr(f"""x.component < y.component
-        AND x.n_shingles * 100 >= y.n_shingles * {percent} AND y.n_shingles * 100 >= x.n_shingles * {percent}
-        AND least(x.n_shingles - x.place, y.n_shingles - y.place) * {100 + percent}
-            >= {percent} * (x.n_shingles + y.n_shingles)""")
-    pairs = rows.alias("x").join(rows.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & can)
+
+    def band(size: str):
+        return F.floor(F.log(size) / float(np.log(SIZE_BAND)))
+
+    # sets that link have percent / (100 + percent) of their sizes together in common, at
+    # this place and after it; x is the longer set, of equally long ones that with the larger id
+    asks = (rows.withColumn("lo", F.expr(f"ceil({percent} * n_shingles / 100)"))
+            .withColumn("hi", F.expr(f"least(n_shingles, (n_shingles - place) * {100 + percent} div {percent} - n_shingles)"))
+            .where("lo <= hi").withColumn("band", F.explode(F.sequence(band("lo"), band("hi")))))
+    answers = (rows.where(f"(n_shingles - place) * {100 + percent} >= {2 * percent} * n_shingles")
+               .withColumn("band", band("n_shingles")))
+    can = F.expr(f"""x.shingle = y.shingle AND x.band = y.band AND x.component <> y.component
+        AND y.n_shingles BETWEEN x.lo AND x.hi AND (x.n_shingles > y.n_shingles OR x.doc_id > y.doc_id)
+        AND (y.n_shingles - y.place) * {100 + percent} >= {percent} * (x.n_shingles + y.n_shingles)""")
+    pairs = asks.alias("x").join(answers.alias("y"), can)
     return pairs.select(*_pair(F.col("x.doc_id"), F.col("y.doc_id"))).distinct()
 
 

@@ -152,6 +152,26 @@ def test_near_duplicates_equal_brute_force(spark):
     assert found == _expected_components(rows)
 
 
+def test_prefix_pairs_hold_every_link_and_spare_templates(spark):
+    rng = random.Random(11)
+    sets = {}
+    for i in range(60):  # sets around the threshold, of many sizes, and of shared frequent shingles
+        base = rng.sample(range(3 * (i // 12), 3 * (i // 12) + 60), rng.randint(4, 50))
+        sets[i] = sorted(set(base) | {1000 + i % 12})
+    # a template of 80 shingles, each time with own ones: alike when they are few
+    template = list(range(5000, 5080))
+    for i in range(100, 160):
+        own = 16 if i < 140 else i - 138
+        sets[i] = template + [10_000 * i + j for j in range(own)]
+    rows = spark.createDataFrame(list(sets.items()), "doc_id long, shingles array<long>")
+    apart = spark.createDataFrame([(i, i, len(s)) for i, s in sets.items()], "doc_id long, component long, n_shingles long")
+    found = {(r.a, r.b) for r in mh._prefix_pairs(apart, rows, 75).collect()}
+    linked = {(a, b) for a in sets for b in sets if a < b
+              and 100 * len(set(sets[a]) & set(sets[b])) >= 75 * len(set(sets[a]) | set(sets[b]))}
+    assert linked and linked <= found
+    assert {p for p in found if p[0] >= 100} == {p for p in linked if p[0] >= 100}  # no template pair beyond the links
+
+
 def test_near_duplicates_of_nothing(spark):
     assert mh.near_duplicates(_docs(spark, [])).count() == 0
 
