@@ -11,7 +11,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes,
@@ -20,7 +24,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,7 +149,36 @@ def cross_validate(estimator, grid: list, evaluator, df: DataFrame, folds: int =
     if fold_col:
         cv = cv.setFoldCol(fold_col)
         columns += [fold_col] if fold_col not in columns else []
-    return cv.fit(df.select(*columns))
+    df = df.select(*columns)
+    metrics = _fitted_metrics(cv, df)
+    means = np.mean(metrics, axis=0)
+    best = int(np.argmax(means) if evaluator.isLargerBetter() else np.argmin(means))
+    model = CrossValidatorModel(estimator.fit(df, grid[best]), means.tolist(), stdMetrics=np.std(metrics, axis=0).tolist())
+    return cv._copyValues(model)
+
+
+def _fitted_metrics(cv: CrossValidator, df: DataFrame) -> list[list[float]]:
+    """The metric of every parameter map in every fold, each from a fit of its own.
+
+    As in ``CrossValidator.fit``, but a candidate's thread has local properties of its own. There the
+    candidates of a fold share one set (Spark 4.1), so one may take away the execution id that
+    another reads ("Cannot parse null string")."""
+    estimator, grid, evaluator = cv.getEstimator(), cv.getEstimatorParamMaps(), cv.getEvaluator()
+
+    def candidate(train: DataFrame, validation: DataFrame, params) -> float:
+        return evaluator.evaluate(estimator.fit(train, params).transform(validation, params))
+
+    metrics = []
+    with ThreadPool(min(cv.getParallelism(), len(grid))) as pool:
+        for train, validation in cv._kFold(df):
+            train, validation = train.persist(), validation.persist()
+            try:
+                tasks = [inheritable_thread_target(df.sparkSession)(partial(candidate, train, validation, p)) for p in grid]
+                metrics.append(pool.map(lambda task: task(), tasks, chunksize=1))
+            finally:
+                train.unpersist()
+                validation.unpersist()
+    return metrics
 
 
 def accuracy_evaluator(label: str = "label", prediction: str = "prediction") -> MulticlassClassificationEvaluator:

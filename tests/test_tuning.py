@@ -1,12 +1,16 @@
 import math
+import threading
 
 import pytest
+from pyspark.ml import Estimator, Model
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.param import Param
 from pyspark.sql import functions as F
 
 from conftest import SF001
 from millrace.operators.fold_search import fold_statistics, naive_bayes_search
-from millrace.operators.models import decision_tree
+from millrace.operators.models import cross_validate, decision_tree
 from millrace.operators.tree_splits import tree_splits
 from millrace.plans.lineitem_nb import NB_FEATURES
 from millrace.plans.model_queries import signal_frame
@@ -111,3 +115,37 @@ def test_root_is_that_of_the_fitted_tree(spark):
     assert found.feature == root.split().featureIndex()
     assert found.threshold == pytest.approx(root.split().threshold())
     assert found.gain == pytest.approx(root.gain(), abs=1e-9)
+
+
+class Plain(Model):
+    def _transform(self, dataset):
+        return dataset
+
+
+class Both(Estimator):
+    """Each of two fits sets a local property and reads it when the other has set its own."""
+    here, got = threading.Barrier(2, timeout=60), []
+
+    def __init__(self):
+        super().__init__()
+        self.mine = Param(self, "mine", "")
+
+    def _fit(self, dataset):
+        mine, context = self.getOrDefault(self.mine), dataset.sparkSession.sparkContext
+        if threading.current_thread() is not threading.main_thread():
+            context.setLocalProperty("millrace.mine", mine)
+            self.here.wait()
+            self.got.append((mine, context.getLocalProperty("millrace.mine")))
+        return Plain()
+
+
+class One(Evaluator):
+    def _evaluate(self, dataset):
+        return 1.0
+
+
+def test_candidates_of_a_fold_do_not_share_local_properties(spark):
+    both = Both()
+    df = spark.createDataFrame([(k % 2,) for k in range(8)], "fold int")
+    cross_validate(both, [{both.mine: "a"}, {both.mine: "b"}], One(), df, folds=2, parallelism=2, fold_col="fold")
+    assert sorted(both.got) == [("a", "a")] * 2 + [("b", "b")] * 2
