@@ -2,16 +2,18 @@ import math
 import threading
 
 import pytest
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param
 from pyspark.sql import functions as F
 
 from conftest import SF001
+from millrace.operators import models
 from millrace.operators.fold_search import fold_statistics, naive_bayes_search
 from millrace.operators.models import cross_validate, decision_tree
 from millrace.operators.tree_splits import tree_splits
+from millrace.plans import queries
 from millrace.plans.lineitem_nb import NB_FEATURES
 from millrace.plans.model_queries import signal_frame
 
@@ -149,3 +151,47 @@ def test_candidates_of_a_fold_do_not_share_local_properties(spark):
     df = spark.createDataFrame([(k % 2,) for k in range(8)], "fold int")
     cross_validate(both, [{both.mine: "a"}, {both.mine: "b"}], One(), df, folds=2, parallelism=2, fold_col="fold")
     assert sorted(both.got) == [("a", "a")] * 2 + [("b", "b")] * 2
+
+
+def search_of(rows, spark, smoothings=(0.1, 1.0, 30.0), folds=4):
+    """The search over rows, and that by separate fits."""
+    nb = models.naive_bayes()
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="features"), nb])
+    grid = models.param_grid(nb, {"smoothing": list(smoothings)})
+    df = frame(spark, rows)
+
+    def run():
+        return cross_validate(pipe, grid, models.accuracy_evaluator(), df, folds=folds, fold_col="fold")
+
+    counted = run()
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(models, "_counted_metrics", lambda cv, df: None)
+        return counted, run()
+
+
+def test_cross_validation_of_naive_bayes_is_that_of_fits(spark):
+    rows = [(i % 4, float(i * 7 % 3), float(i * 5 % 11), float(i * 3 % 7)) for i in range(60)]
+    rows += [(1, 2.0, 5.0, 3.0)] * 9  # repeated rows
+    counted, fitted = search_of(rows, spark)
+    assert counted.avgMetrics == pytest.approx(fitted.avgMetrics, abs=1e-12)
+    assert counted.avgMetrics == pytest.approx([plain_accuracy(rows, s) for s in (0.1, 1.0, 30.0)], abs=1e-12)
+    assert counted.stdMetrics == pytest.approx(fitted.stdMetrics, abs=1e-12)
+    best, other = (m.bestModel.stages[-1] for m in (counted, fitted))
+    assert best.getSmoothing() == other.getSmoothing() and best.pi == other.pi
+
+
+def test_the_queries_search_without_fits_by_fold(spark, monkeypatch):
+    monkeypatch.setattr(models, "_fitted_metrics", None)
+    assert len(queries()["cross_validate"](spark, SF001).collect()) == 12
+
+
+def test_cross_validation_of_odd_rows_is_that_of_fits(spark):
+    rows = [(i % 2, float(i % 3), float(i), 1.0) for i in range(30)]
+    counted, fitted = search_of([(f, c + 1, a, b) for f, c, a, b in rows], spark, [1.0], 2)  # no class 0
+    assert counted.avgMetrics == fitted.avgMetrics
+    for bad in ((0, None, 1.0, 1.0), (0, 1.0, None, 1.0), (0, 1.0, float("nan"), 1.0), (0, 1.0, -1.0, 1.0),
+                (0, 0.5, 1.0, 1.0), (2, 1.0, 1.0, 1.0), (None, 1.0, 1.0, 1.0)):
+        with pytest.raises(Exception):
+            search_of([*rows, bad], spark, [1.0], 2)
+    with pytest.raises(ValueError, match="empty"):
+        search_of(rows, spark, [1.0], 3)
