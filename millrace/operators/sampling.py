@@ -42,13 +42,14 @@ def _free(df: DataFrame, *names: str) -> list[str]:
 
 def tag_split(df: DataFrame, weights: Sequence[float], seed: int,
               names: Sequence[str] | None = None, col: str = "split",
-              keys: Sequence[str] | None = None) -> DataFrame:
+              keys: Sequence[str] | None = None, tasks: int | None = None) -> DataFrame:
     """All rows with a column ``split`` naming their part (a column of that name is replaced, every
     other one is kept, whatever its name). Weights are normalised to
     sum 1. With ``keys`` it is one pass without a shuffle, and rows that agree in
     them go to the same part. Without, every row has a draw of its own: equal rows
     are numbered, and the draw is that of the whole row (columns of any type) and
-    its number, which costs one aggregation by row."""
+    its number, which costs one aggregation by row; the rows leave in ``tasks`` parts (the
+    session's number of shuffle partitions unless given)."""
     names = list(names or [f"part{i}" for i in range(len(weights))])
     total, below, part = float(sum(weights)), 0.0, F.lit(names[-1])
     cases = []
@@ -60,11 +61,14 @@ def tag_split(df: DataFrame, weights: Sequence[float], seed: int,
         part = F.when(F.col(draw) < bound, F.lit(name)).otherwise(part)
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() != col.lower()]
     if not keys:
-        df, keys = _numbered(df, row, number), [row, number]
+        df, keys = _numbered(df, row, number, tasks), [row, number]
     return df.withColumn(draw, split_draw(seed, keys)).select(*kept, part.alias(col))
 
 
-COPIES_AT_ONCE = 10_000
+COPIES_AT_ONCE, ROWS_A_TASK = 10_000, 500_000
+# types whose equal values have one form, so grouping by them changes none
+PLAIN = (T.StringType, T.BinaryType, T.BooleanType, T.IntegralType, T.DecimalType, T.DateType, T.TimestampType,
+         T.TimestampNTZType)
 
 
 def _as_text(field: T.StructField):
@@ -78,19 +82,26 @@ def _as_text(field: T.StructField):
                                         "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
 
 
-def _numbered(df: DataFrame, row: str, number: str) -> DataFrame:
+def _numbered(df: DataFrame, row: str, number: str, tasks: int | None = None) -> DataFrame:
     """``df`` with ``row``, a digest of all columns, and ``number``, which counts equal
     rows from 0. Copies are counted (in the map tasks first) and written out again
-    in runs of ``COPIES_AT_ONCE``, dealt to many tasks."""
+    in runs of ``COPIES_AT_ONCE``, dealt to ``tasks`` tasks. Their number is given to Spark, which
+    would else put the few bytes of very many copies together in one task."""
     digest = F.sha2(F.to_json(F.array(*map(_as_text, df.schema.fields))), 256)
-    counted = (df.select(digest.alias("_row"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_value"))
-               .groupBy("_row").agg(F.first("_value").alias("_value"), F.count(F.lit(1)).alias("_copies")))
+    named = [F.col(f"`{f.name}`").alias(f"_c{i}") for i, f in enumerate(df.schema.fields)]
+    plain = [isinstance(f.dataType, PLAIN) for f in df.schema.fields]
+    # plain columns are the same in all rows of a digest: as keys they are hashed, not sorted
+    keys = ["_row", *[f"_c{i}" for i, p in enumerate(plain) if p]]
+    rest = [F.first(f"_c{i}").alias(f"_c{i}") for i, p in enumerate(plain) if not p]
+    counted = df.select(digest.alias("_row"), *named).groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), *rest)
     last = F.col("_copies") - 1
     runs = counted.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / COPIES_AT_ONCE))))
     begin = F.col("_run") * COPIES_AT_ONCE
-    dealt = runs.repartition("_row", "_run")
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = runs.repartition(tasks, "_row", "_run")
     return (dealt.withColumn("_number", F.explode(F.sequence(begin, F.least(last, begin + COPIES_AT_ONCE - 1))))
-            .select("_value.*", F.col("_row").alias(row), F.col("_number").alias(number)))
+            .select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(df.columns)],
+                    F.col("_row").alias(row), F.col("_number").alias(number)))
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int,
@@ -100,9 +111,11 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int,
 
     With keys each frame is a filter of the input. Without, the tagged rows are written once to the shared
     folder, a folder per part, and each frame reads its own: the shuffle that numbers equal rows is
-    done once for all parts, when this is called. An empty table gives empty parts."""
+    done once for all parts, when this is called. A task sorts its rows by part to write them, so the rows are
+    counted first and dealt ``ROWS_A_TASK`` to a task. An empty table gives empty parts."""
     part, = _free(df, "part")
-    tagged = tag_split(df, weights, seed, col=part, keys=keys)
+    tasks = None if keys else max(1, -(-df.count() // ROWS_A_TASK))
+    tagged = tag_split(df, weights, seed, col=part, keys=keys, tasks=tasks)
     if not keys:
         path = shared_path(df.sparkSession, "split")
         tagged.write.partitionBy(part).parquet(path)

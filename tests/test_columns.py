@@ -114,6 +114,17 @@ def test_random_split_deals_copies_and_complex_columns_row_by_row(spark):
         [(float(i), [i, None]) for i in range(1000)]
 
 
+def test_random_split_deals_many_copies_to_many_tasks(spark, monkeypatch):
+    from millrace.operators import sampling
+    monkeypatch.setattr(sampling, "COPIES_AT_ONCE", 100)
+    monkeypatch.setattr(sampling, "ROWS_A_TASK", 1000, raising=False)
+    rows = spark.range(20000).select(F.lit("a").alias("t"), F.lit(-0.0).alias("x"))
+    part = random_split(rows, [0.5, 0.5], seed=1)[0]
+    files = [r["count"] for r in part.groupBy(F.input_file_name()).count().collect()]
+    assert len(files) > 10 and max(files) < 2000
+    assert {r.x for r in part.select(F.col("x").cast("string").alias("x")).collect()} == {"-0.0"}
+
+
 def test_zero_fill_then_mean_reproduces_the_chain(spark):
     from millrace.operators.quality import impute_mean
     df = spark.createDataFrame([(360.0,), (None,), (180.0,)], "term double")
