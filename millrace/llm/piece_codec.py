@@ -46,8 +46,8 @@ from millrace.llm.common import sha256_hex, spread, worker_keeps
 
 BLANK = "▁"
 DROPOUT, SEED = 0.1, 42
-MEMO_ENTRIES = 250_000  # nodes of the trees
-ROWS_AT_ONCE, CHARACTERS = 512, 500_000
+MEMO_ENTRIES = 200_000  # nodes of the trees
+ROWS_AT_ONCE, CHARACTERS = 512, 200_000
 SIGHTS = 4
 SHORT, TOGETHER = 40, 2048  # characters of a short stretch; stretches merged together
 NEVER = 1 << 30

@@ -397,3 +397,17 @@ def test_held_out_accuracy_and_edge_rows(spark):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == \
         {r.doc_id for r in scored if r.score >= 0.3 and r.doc_id is not None and r.doc_id >= 0}
     assert qm.score_documents(_docs(spark, []), model).count() == 0
+
+
+def test_pieces_of_many_texts_are_made_in_small_parts():
+    import tracemalloc
+    codec = pc.PieceCodec(MODEL)
+    texts = [" ".join(f"word{k * k % 701} of the" for k in range(at, at + 400)) for at in range(0, 60_000, 400)]
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        size = sum(map(len, codec.encode_all(texts, list(range(len(texts))))))
+        peak = tracemalloc.get_traced_memory()[1] - before - size
+    finally:
+        tracemalloc.stop()
+    assert size > 1_000_000 and peak < 18_000_000
