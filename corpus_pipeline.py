@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import decontaminate, exact_dedup, minhash, piece_codec, quality_mil
-from millrace.llm.common import bounded_batches, cut, table
+from millrace.llm.common import bounded_batches, bounded_reads, cut, table
 from millrace.llm.queries_text import QUALITY_THRESHOLD, quality_model
 
 
@@ -41,6 +41,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     read again and decoded; the digest is that of the decoded text, which must be
     the encoded one."""
     bounded_batches(spark)
+    bounded_reads(spark)
     model = public_tokenizers.path("piece_bpe_32k.model")
     return piece_codec.checked_pieces(cut(piece_codec.encode_pieces(docs, model, digests=True), "piece-ids"), model)
 

@@ -48,7 +48,7 @@ BLANK = "▁"
 DROPOUT, SEED = 0.1, 42
 MEMO_ENTRIES = 200_000  # nodes of the trees
 ROWS_AT_ONCE, CHARACTERS = 512, 200_000
-SIGHTS = 4
+SIGHTS, SEEN = 4, 1 << 20  # sightings before a node is made, slots that count them
 SHORT, TOGETHER = 40, 2048  # characters of a short stretch; stretches merged together
 NEVER = 1 << 30
 WHOLE = (1 << 64) - 1
@@ -86,8 +86,9 @@ class Pool:
         """Where the rows begin."""
         begin, end = self.used, self.used + len(rows)
         if end > len(self.data):
-            more = np.zeros((max(end, len(self.data)), *self.data.shape[1:]), self.data.dtype)
-            self.data = np.concatenate([self.data, more])
+            wider = np.zeros((max(end, 2 * len(self.data)), *self.data.shape[1:]), self.data.dtype)
+            wider[:begin] = self.data[:begin]  # what is not used yet takes no memory
+            self.data = wider
         if end > begin:
             self.data[begin:end] = rows
         self.used = end
@@ -132,28 +133,32 @@ class PairTable:
 class Trees:
     """Per stretch, what the agenda does: a node has the candidates that come up
     after the skips that lead to it, the node behind each of them and the ids if
-    none of them is skipped. A node is made when it is met ``SIGHTS`` times."""
+    none of them is skipped. A node is made when it is met ``SIGHTS`` times. All but
+    the stretches themselves are numbers in a few arrays."""
 
     def __init__(self, codec: "PieceCodec"):
         self.codec = codec
         self.roots: dict[str, int] = {}
-        self.seen: dict[str, int] = {}
-        self.made: list[tuple] = []  # (stretch, skips, candidates passed before)
-        self.nodes = Pool(np.int64, 4)  # first candidate, candidates, first id, ids
+        self.stretches: list[str] = []
+        self.seen = np.zeros(SEEN, np.uint8)  # how often stretches without a node were met, by hash
+        # first candidate, candidates, first id, ids, slot of the candidate skipped last
+        # (below zero in a root), stretch
+        self.nodes = Pool(np.int32, 6)
         # piece, place, node behind (below zero: how often it must yet be met), node
         self.candidates = Pool(np.int32, 4)
         self.ids = Pool(np.uint32)
-        self._node("", (), 0, [], codec.mark)
+        self.stretches.append("")
+        self._node(0, -1, [], codec.mark)
         self.roots[""] = 0  # a blank mark of the text itself
 
-    def _node(self, stretch: str, skips: tuple, passed: int, came: list, ids: bytes) -> int:
-        number, spelt = len(self.made), np.frombuffer(ids, np.uint32)
-        self.made.append((stretch, skips, passed))
+    def _node(self, stretch: int, skipped: int, came: list, ids: bytes) -> int:
+        number, spelt = self.nodes.used, np.frombuffer(ids, np.uint32)
         first = self.candidates.add([(piece, place, -SIGHTS, number) for piece, place in came])
-        self.nodes.add([(first, len(came), self.ids.add(spelt), len(spelt))])
+        self.nodes.add([(first, len(came), self.ids.add(spelt), len(spelt), skipped, stretch)])
         return number
 
-    def _grow(self, stretch: str, skips: tuple, passed: int) -> int:
+    def _grow(self, stretch: int, skipped: int = -1) -> int:
+        skips, passed = self._skips(skipped)
         came: list[tuple[int, int]] = []
 
         def skip(piece: int, place: int) -> bool:
@@ -162,64 +167,82 @@ class Trees:
             came.append((piece, place))
             return False
 
-        ids = self.codec.spelt(self.codec.agenda(stretch, skip))
-        return self._node(stretch, skips, passed, came[passed:], ids)
+        ids = self.codec.spelt(self.codec.agenda(self.stretches[stretch], skip))
+        return self._node(stretch, skipped, came[passed:], ids)
+
+    def _skips(self, slot: int) -> tuple[list[tuple[int, int]], int]:
+        """The skips that lead behind the candidate in ``slot``, its own first, and how many
+        candidates were passed before it."""
+        skips, passed = [], 0
+        while slot >= 0:
+            piece, place, _, owner = self.candidates.data[slot].tolist()
+            first, _, _, _, before, _ = self.nodes.data[owner].tolist()
+            skips.append((piece, place))
+            passed += slot - first
+            slot = before
+        return skips, passed
 
     def roots_of(self, stretches: list[str], times: np.ndarray) -> np.ndarray:
         """The node of each stretch, which now occurs so many times; below zero where it
         is long or not met often enough."""
         number = np.array([self.roots.get(t, -1) for t in stretches], np.int64)
-        due = []
-        for k in np.flatnonzero(number < 0).tolist():
-            stretch = stretches[k]
-            if len(stretch) >= SHORT:
-                continue
-            if (met := self.seen.pop(stretch, 0) + int(times[k])) >= SIGHTS:
-                due.append(k)
-                continue
-            if len(self.seen) >= self.codec.memo_entries:
-                self.seen.clear()
-            self.seen[stretch] = met
+        due = self._due([k for k in np.flatnonzero(number < 0).tolist() if len(stretches[k]) < SHORT], stretches, times)
         together = [due[k] for k in self.codec.together([stretches[k] for k in due])]
         for at in range(0, len(together), TOGETHER):
             some = together[at:at + TOGETHER]
             number[some] = self._grow_many([stretches[k] for k in some])
         for k in due:
             if number[k] < 0:
-                number[k] = self._grow(stretches[k], (), 0)
+                self.stretches.append(stretches[k])
+                number[k] = self._grow(len(self.stretches) - 1)
             self.roots[stretches[k]] = int(number[k])
         return number
 
+    def _due(self, new: list[int], stretches: list[str], times: np.ndarray) -> list[int]:
+        """Those of the stretches without a node that are now met often enough. Stretches of
+        one hash are counted together: a node may be made early, which changes no id."""
+        if not new:
+            return []
+        if np.count_nonzero(self.seen) >= min(self.codec.memo_entries, SEEN // 4):
+            self.seen.fill(0)
+        slots = np.fromiter((hash(stretches[k]) % SEEN for k in new), np.int64, len(new))
+        met = np.minimum(self.seen[slots] + times[new], SIGHTS)
+        self.seen[slots] = np.where(met < SIGHTS, met, 0)
+        return [k for k, often in zip(new, (met == SIGHTS).tolist()) if often]
+
     def _grow_many(self, stretches: list[str]) -> np.ndarray:
         """Root nodes of many stretches."""
         merges: list[tuple] = []
         spelt = self.codec.merge_many(stretches, None, merges=merges)
         rows, pieces, places = (np.concatenate(x) for x in zip(*merges)) if merges else (np.zeros(0, np.int64),) * 3
         order, came = np.argsort(rows, kind="stable"), np.bincount(rows, minlength=len(stretches))
-        numbers = np.arange(len(stretches)) + len(self.made)
-        self.made += [(t, (), 0) for t in stretches]
+        numbers = np.arange(len(stretches)) + self.nodes.used
+        named = np.arange(len(stretches)) + len(self.stretches)
+        self.stretches += stretches
         rows = rows[order]
         first = self.candidates.add(np.stack([pieces[order], places[order], np.full(len(rows), -SIGHTS), numbers[rows]], 1))
         sizes = np.fromiter(map(len, spelt), np.int64, len(spelt)) // 4
         begin = self.ids.add(np.frombuffer(b"".join(spelt), np.uint32))
-        self.nodes.add(np.stack([first + np.cumsum(came) - came, came, begin + np.cumsum(sizes) - sizes, sizes], 1))
+        self.nodes.add(np.stack([first + np.cumsum(came) - came, came, begin + np.cumsum(sizes) - sizes, sizes,
+                                 np.full(len(stretches), -1), named], 1))
         return numbers
 
     def after(self, slot: int) -> int:
         """Make the node behind the candidate in ``slot``, which is skipped."""
-        piece, place, number, owner = self.candidates.data[slot].tolist()
+        number, owner = self.candidates.data[slot, 2:].tolist()
         if number < 0:
-            stretch, skips, passed = self.made[owner]
-            passed += slot - int(self.nodes.data[owner, 0])
-            number = self._grow(stretch, (*skips, (piece, place)), passed)
+            number = self._grow(int(self.nodes.data[owner, 5]), slot)
             self.candidates.data[slot, 2] = number
         return number
 
 
-class PieceCodec:
-    """Encoder and decoder of one model file."""
+class PieceTexts:
+    """Decoder of one model file."""
 
-    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, memo_entries: int = MEMO_ENTRIES):
+    def __init__(self, path: str):
+        self._read(path)
+
+    def _read(self, path: str):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -229,6 +252,35 @@ class PieceCodec:
             raise ValueError("the model has no byte pieces")
         self.ids = {p: i for i, p in pieces
                     if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))}
+        self.texts = {i: p.replace(BLANK, " ").encode() for p, i in self.ids.items()}
+        self.texts |= {i: bytes([b]) for b, i in self.bytes.items()}
+        return model
+
+    def spelled(self, ids) -> bytes | None:
+        """The text of ids in UTF-8; None for ids that no text gives: unknown ones, or pieces
+        that do not spell a text behind the dummy blank."""
+        raw = b"".join([self.texts.get(i, b"\xff") for i in ids])
+        if not raw:
+            return raw
+        try:
+            raw.decode("utf-8")
+        except UnicodeDecodeError:
+            return None
+        return raw[1:] if raw[:1] == b" " else None
+
+    def decode(self, ids) -> str:
+        """The text of ids that ``encode`` made; other ids raise ``ValueError``."""
+        raw = self.spelled(ids)
+        if raw is None:
+            raise ValueError("ids that no text gives")
+        return raw.decode("utf-8")
+
+
+class PieceCodec(PieceTexts):
+    """Encoder and decoder of one model file."""
+
+    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, memo_entries: int = MEMO_ENTRIES):
+        model = self._read(path)
         # candidates in order of falling score; equal scores are told apart by place
         scores = sorted({model.get_score(i) for i in self.ids.values()}, reverse=True)
         rank = {x: k for k, x in enumerate(scores)}
@@ -240,8 +292,6 @@ class PieceCodec:
         alone = "".join(sorted(c for c in ("\n", "\t", "\r") if c not in joined))
         self.stretches = re.compile(f"[{alone}]|{BLANK}*[^{BLANK}{alone}]+|{BLANK}+" if alone
                                     else f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-        self.texts = {i: p.replace(BLANK, " ").encode() for p, i in self.ids.items()}
-        self.texts |= {i: bytes([b]) for b, i in self.bytes.items()}
         self.pieces = model.vocab_size()
         splits = {(self.ids[p[:k]], self.ids[p[k:]]): i for p, i in self.ids.items() for k in range(1, len(p))
                   if p[:k] in self.ids and p[k:] in self.ids}
@@ -442,7 +492,7 @@ class PieceCodec:
         return out
 
     def _encode_some(self, texts: list[str], variants: list[int]) -> list[bytes]:
-        if len(self.trees.made) >= self.memo_entries:
+        if self.trees.nodes.used >= self.memo_entries:
             self.trees = Trees(self)
         trees, parted = self.trees, [self.parted(t) if t else "" for t in texts]
         counts = np.array([t.count(" ") + 1 if t else 0 for t in parted], np.int64)
@@ -490,25 +540,6 @@ class PieceCodec:
         """The ids of a text as native 32-bit bytes."""
         return self.encode_all([text], [variant])[0]
 
-    def spelled(self, ids) -> bytes | None:
-        """The text of ids in UTF-8; None for ids that no text gives: unknown ones, or pieces
-        that do not spell a text behind the dummy blank."""
-        raw = b"".join([self.texts.get(i, b"\xff") for i in ids])
-        if not raw:
-            return raw
-        try:
-            raw.decode("utf-8")
-        except UnicodeDecodeError:
-            return None
-        return raw[1:] if raw[:1] == b" " else None
-
-    def decode(self, ids) -> str:
-        """The text of ids that ``encode`` made; other ids raise ``ValueError``."""
-        raw = self.spelled(ids)
-        if raw is None:
-            raise ValueError("ids that no text gives")
-        return raw.decode("utf-8")
-
 
 def encode_pieces(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED,
                   id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
@@ -545,7 +576,7 @@ def checked_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
     id_type = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_keeps(("pieces", model_path), lambda: PieceCodec(model_path))
+        codec = worker_keeps(("texts", model_path), lambda: PieceTexts(model_path))
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
@@ -568,7 +599,7 @@ def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
     id_type = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_keeps(("pieces", model_path), lambda: PieceCodec(model_path))
+        codec = worker_keeps(("texts", model_path), lambda: PieceTexts(model_path))
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)

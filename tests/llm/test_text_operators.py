@@ -411,3 +411,40 @@ def test_pieces_of_many_texts_are_made_in_small_parts():
     finally:
         tracemalloc.stop()
     assert size > 1_000_000 and peak < 18_000_000
+
+
+def test_trees_of_a_worker_are_held_in_arrays():
+    import tracemalloc
+    codec, rng = pc.PieceCodec(MODEL), random.Random(11)
+    words = ["".join(rng.choice("etaoinshr") for _ in range(9)) for _ in range(60_000)]
+    texts = [" ".join(words[at:at + 500] * 6) for at in range(0, 12_000, 500)] + [" ".join(words[12_000:])]
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        size = sum(map(len, codec.encode_all(texts, list(range(len(texts))))))
+        held = tracemalloc.get_traced_memory()[0] - before
+    finally:
+        tracemalloc.stop()
+    assert size > 1_000_000 and len(codec.trees.roots) > 11_000
+    assert held < 8_000_000  # 12 MB as tuples and dictionaries
+
+
+def test_decoding_holds_no_encoder():
+    texts, codec = pc.PieceTexts(MODEL), pc.PieceCodec(MODEL)
+    assert not hasattr(texts, "trees") and not hasattr(texts, "pairs")
+    for text in ODD:
+        assert texts.decode(_numbers(codec.encode(text, 5))) == text
+    assert texts.spelled([10 ** 6]) is None
+
+
+def test_pipeline_stage_reads_in_bounded_batches(spark):
+    from millrace.llm.common import BATCH_ROWS, bounded_reads
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+    try:
+        for given, kept in (("4096", BATCH_ROWS), ("64", 64)):
+            spark.conf.set(key, given)
+            bounded_reads(spark)
+            assert int(spark.conf.get(key)) == kept
+    finally:
+        spark.conf.set(key, before)
