@@ -309,7 +309,7 @@ def _with_texts(wanted: DataFrame, rows: DataFrame) -> DataFrame:
 
 def _groups(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        namer, own = worker_keeps(("spans",), Namer), Comparer()
+        namer, own = worker_keeps(("spans", BLOCK), Namer), Comparer()
         for batch in batches:
             for doc, copy, raw in zip(batch.column("doc").to_pylist(), batch.column("copy").to_pylist(), batch.column("raw")):
                 text = np.frombuffer(raw.as_buffer(), np.uint8) if len(raw.as_buffer()) else np.zeros(0, np.uint8)
@@ -328,7 +328,7 @@ def _cores(candidates: DataFrame, rows: DataFrame) -> DataFrame:
     wanted = candidates.groupBy("doc", "copy").agg(F.collect_list(F.struct("start", "end")).alias("groups"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        namer, own = worker_keeps(("spans",), Namer), Comparer(with_data=True)
+        namer, own = worker_keeps(("spans", BLOCK), Namer), Comparer(with_data=True)
         for batch in batches:
             docs, copies, begins, texts = [], [], [], []
             for doc, copy, raw, groups in zip(*(batch.column(c) for c in ("doc", "copy", "raw", "groups"))):
@@ -353,7 +353,7 @@ def _cores(candidates: DataFrame, rows: DataFrame) -> DataFrame:
 
 def _windows(stretches: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        namer, own = worker_keeps(("spans",), Namer), Comparer(last=True)
+        namer, own = worker_keeps(("spans", BLOCK), Namer), Comparer(last=True)
         for batch in batches:
             kind = batch.column("kind").to_numpy()
             if (kind == REPEATED).any():
